@@ -196,7 +196,13 @@ def values_at_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _flat(traces: DataFrame, cycle: str, *arrays: str) -> DataFrame:
     """Arrays as text, so that they compare in any engine."""
-    joined = {a: F.array_join(F.transform(a, lambda v: v.cast("string")), ",", "null") for a in arrays}
+    kinds = {"ndvi": "decimal(10,4)"}
+
+    def text(name: str) -> Column:
+        plain = F.col(name).cast(f"array<{kinds.get(name, 'string')}>")
+        return F.array_join(plain.cast("array<string>"), ",", "null")
+
+    joined = {a: text(a) for a in arrays}
     return traces.select(
         "lot_id",
         F.col(cycle).cast("string").alias("cycle"),
@@ -335,12 +341,13 @@ def zonal_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 def pooled_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Statistics per (supplier, part), pooled per supplier."""
+    v = F.col("l_quantity") / F.col("l_extendedprice")
     parts = t.table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(
-        F.count("l_discount").alias("v_count"),
-        F.avg("l_discount").alias("v_mean"),
-        F.max("l_discount").alias("v_max"),
-        F.min("l_discount").alias("v_min"),
-        F.stddev_pop("l_discount").alias("v_std"),
+        F.count(v).alias("v_count"),
+        F.avg(v).alias("v_mean"),
+        F.max(v).alias("v_max"),
+        F.min(v).alias("v_min"),
+        F.stddev_pop(v).alias("v_std"),
     )
     pooled = raster.pool_stats(parts, ["l_suppkey"], ["v"])
     return raster.finalize_stats(pooled, ["v"], DIGITS)
