@@ -223,6 +223,30 @@ SELECT index, slope, intercept, year = 2000 AS test, count(*) AS n,
        avg(abs(y - slope * x - intercept)) AS mae
 FROM pairs JOIN holdout_line USING (index) GROUP BY ALL"""
 
+# robust line by reweighting; label 0 trains on all years, label y on all years but y
+VIEWS["huber_rows"] = """
+SELECT CAST(label AS INTEGER) AS label, x, y FROM pairs, (SELECT DISTINCT year AS label FROM pairs UNION ALL SELECT 0)
+WHERE index = 'msi11' AND year <> label"""
+
+VIEWS["huber_0"] = """
+SELECT label, regr_slope(y, x) AS a, regr_intercept(y, x) AS b,
+       sqrt(var_pop(y) * (1 - regr_r2(y, x))) AS s FROM huber_rows GROUP BY label"""
+
+HUBER_STEPS = 40
+for _k in range(HUBER_STEPS):
+    VIEWS[f"huber_{_k + 1}"] = f"""
+SELECT label, a, my - a * mx AS b, new_s AS s FROM (
+  SELECT label, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my,
+         (sum(w * x * y) - sum(w * x) * sum(w * y) / sum(w))
+           / (sum(w * x * x) - sum(w * x) ** 2 / sum(w) + 1e-4 * any_value(s)) AS a,
+         sqrt(sum(r * r) FILTER (w = 1) / (count(*) - 1.8225 * count(*) FILTER (w < 1))) AS new_s
+  FROM (SELECT label, x, y, s, y - a * x - b AS r, least(1, 1.35 * s / abs(y - a * x - b)) AS w
+        FROM huber_rows JOIN huber_{_k} USING (label)) GROUP BY label)"""
+
+VIEWS["huber_scores"] = f"""
+SELECT l.label, p.year = l.label AS test, p.year, a AS slope, b AS intercept, y, y - a * x - b AS r
+FROM pairs p, huber_{HUBER_STEPS} l WHERE p.index = 'msi11'"""
+
 VIEWS["corrected"] = """
 SELECT *, ndvi_corrected - ndvi_ref AS ndvi_diff, ndwi11_corrected - ndwi11_ref AS ndwi11_diff,
        msi11_corrected - msi11_ref AS msi11_diff
@@ -540,6 +564,23 @@ _STATEMENTS: dict[str, str] = {
                a.n AS train_n, round(a.r2, 6) AS train_r2, round(a.mae, 6) AS train_mae,
                b.n AS test_n, round(b.r2, 6) AS test_r2, round(b.mae, 6) AS test_mae
         FROM holdout_scores a JOIN holdout_scores b ON a.index = b.index AND NOT a.test AND b.test""",
+    "huber_final": f"""
+        SELECT 'msi11' AS index, round(a, 6) AS slope, round(b, 6) AS intercept
+        FROM huber_{HUBER_STEPS} WHERE label = 0""",
+    "huber_cross_validation": """
+        SELECT 'msi11' AS index, label AS year, count(*) AS n, round(slope, 6) AS slope,
+               round(intercept, 6) AS intercept, round(1 - sum(r * r) / (var_pop(y) * count(*)), 6) AS r2,
+               round(avg(abs(r)), 6) AS mae
+        FROM huber_scores WHERE test GROUP BY label, slope, intercept""",
+    "huber_holdout": """
+        SELECT 'msi11' AS index, round(slope, 6) AS slope, round(intercept, 6) AS intercept,
+               count(*) FILTER (NOT test) AS train_n,
+               round(1 - sum(r * r) FILTER (NOT test) / (var_pop(y) FILTER (NOT test) * count(*) FILTER (NOT test)), 6) AS train_r2,
+               round(avg(abs(r)) FILTER (NOT test), 6) AS train_mae,
+               count(*) FILTER (test) AS test_n,
+               round(1 - sum(r * r) FILTER (test) / (var_pop(y) FILTER (test) * count(*) FILTER (test)), 6) AS test_r2,
+               round(avg(abs(r)) FILTER (test), 6) AS test_mae
+        FROM huber_scores WHERE label = 2000 GROUP BY slope, intercept""",
     "apply_correction": "SELECT * FROM corrected",
     "difference_summary": _each(
         """SELECT '$' AS index, round(avg($_diff), 6) AS mean, round(stddev_samp($_diff), 6) AS std,

@@ -26,6 +26,7 @@ from lotseries.operators import (
 from lotseries.operators.matching import clean_ranges
 from lotseries.plans import extraction
 from lotseries.plans.calibration import matched_sources
+from lotseries.sources.stored import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,6 +115,11 @@ def _cycles(spark: SparkSession, sf: str) -> DataFrame:
     return cycles.add_cycles(t.master(spark, sf))
 
 
+def _stored_cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """The master with cycles as a stored table, for queries that read it more than once."""
+    return stored(_cycles(spark, sf))
+
+
 def valid_cycles(spark: SparkSession, sf: str) -> DataFrame:
     return _cycles(spark, sf).select("lot_id", "obs_date", "harvest", *cycles.CYCLE_COLUMNS)
 
@@ -175,21 +181,21 @@ def growth_lots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def growth_curves(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _cycles(spark, sf)
+    rows = _stored_cycles(spark, sf)
     return reports.growth_curves(rows, reports.growth_sample(rows))
 
 
 def sampled_renovations(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.sampled_renovations(_cycles(spark, sf))
+    return reports.sampled_renovations(_stored_cycles(spark, sf))
 
 
 def renovated_history(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _cycles(spark, sf)
+    rows = _stored_cycles(spark, sf)
     return reports.renovated_history(rows, reports.sampled_renovations(rows))
 
 
 def values_at_events(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _cycles(spark, sf)
+    rows = _stored_cycles(spark, sf)
     events = reports.renovated_harvests(rows)
     return reports.values_at_events(reports.renovated_history(rows, events), events)
 
@@ -214,12 +220,12 @@ def _flat(traces: DataFrame, cycle: str, *arrays: str) -> DataFrame:
 
 
 def history_traces(spark: SparkSession, sf: str) -> DataFrame:
-    history = reports.lot_history(_cycles(spark, sf), _lot_list(spark, sf))
+    history = reports.lot_history(_stored_cycles(spark, sf), _lot_list(spark, sf))
     return _flat(reports.history_traces(history), "cycle_end", "dates", "ndvi", "age")
 
 
 def renovated_traces(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _cycles(spark, sf)
+    rows = _stored_cycles(spark, sf)
     history = reports.renovated_history(rows, reports.renovated_harvests(rows))
     return _flat(reports.renovated_traces(history), "harvest", "dates", "ndvi", "age")
 
@@ -294,18 +300,18 @@ def ols_holdout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def huber_final(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(calibrate.fit_final_huber(_matched(spark, sf), "msi11"), 4)
+    return _rounded(calibrate.fit_final_huber(_matched(spark, sf), "msi11"))
 
 
 def huber_holdout(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(calibrate.fit_holdout_huber(_matched(spark, sf), "msi11", TEST_YEAR), 4)
+    return _rounded(calibrate.fit_holdout_huber(_matched(spark, sf), "msi11", TEST_YEAR))
 
 
 def huber_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     matched = _matched(spark, sf)
     # one row per calendar year
     years = sorted(r[0] for r in t.reference_source(spark, sf).select("year").distinct().collect())
-    return _rounded(calibrate.cross_validate_huber(matched, "msi11", years), 4)
+    return _rounded(calibrate.cross_validate_huber(matched, "msi11", years))
 
 
 def apply_correction(spark: SparkSession, sf: str) -> DataFrame:
@@ -496,8 +502,7 @@ def html_cells(spark: SparkSession, sf: str) -> DataFrame:
 def html_table(spark: SparkSession, sf: str) -> DataFrame:
     """Lists of the pages as a table: five columns, so that rows are cut; blank cells are null."""
     rows = report_html.page_rows(t.table(spark, sf, "pages"), "page_id", row_tag="ul", cell_tags="li")
-    filled = rows.where(report_html.filled_cells(F.col("cells")) > 0)
-    return report_html.to_columns(filled, [f"c{i}" for i in range(8)], ["page_id"])
+    return report_html.to_columns(rows, [f"c{i}" for i in range(8)], ["page_id"])
 
 
 def slug_columns(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,8 +10,15 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|infinity)$"
 INTEGER = r"^[+-]?\d{1,18}$"
+NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
+
+# White space as Python's str.strip() understands it.
+SPACES = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def html_rows(html: Column, row_tag: str = "tr") -> Column:
@@ -29,8 +36,9 @@ def html_cells(row: Column, cell_tags: str = "t[dh]") -> Column:
 
 def clean_cell(cell: Column) -> Column:
     """Strip tags, turn no-break spaces into spaces, trim all white space."""
-    text = F.replace(F.regexp_replace(cell, r"<[^>]+>", ""), F.lit(" "), F.lit(" "))
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    plain = F.when(F.contains(cell, F.lit("<")), F.regexp_replace(cell, r"<[^>]+>", ""))
+    text = F.replace(F.coalesce(plain, cell), F.lit("\u00a0"), F.lit(" "))
+    return F.trim(text, F.lit(SPACES))
 
 
 def _slug_rule() -> Callable[[str], str]:
@@ -59,7 +67,7 @@ def slug_column(names: Column) -> Column:
 
 def number(text: Column) -> Column:
     """Double value of a cell that is a number as a whole, else null."""
-    return F.when(F.lower(text).rlike(NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def first_date(name: Column) -> Column:

@@ -159,26 +159,123 @@ def fit_holdout(
 
 
 # --- robust fit -----------------------------------------------------------------------
-
-
-def fit_huber(pairs: DataFrame) -> tuple[float, float]:
-    """Huber line of ``x, y``; only the two coefficients come to the driver.
+#
+# Every pass over the rows serves all training sets at once. A pass splits the rows of each
+# set into near and far ones by the current line and scale, and sums them up; the driver
+# then solves the (convex) problem for that split, which needs the sums only. The split
+# settles after a few passes.
+
+Line = tuple[float, float]
+
+HUBER_MAX_PASSES = 60
+HUBER_TOLERANCE = 1e-10
+
+
+def _split_sums(label: int, rows: Column, line: tuple[float, float, float]) -> list[Column]:
+    """Sums of the near rows, and signs of the far ones, for one training set."""
+    a, b, scale = line
+    x, y = F.col("x"), F.col("y")
+    rest = y - (F.lit(a) * x + F.lit(b))
+    near = rows & (F.abs(rest) <= HUBER_EPSILON * scale)
+    far = rows & (F.abs(rest) > HUBER_EPSILON * scale)
+    side = F.signum(rest)
+    sums = {
+        "n": F.count(F.when(near, 1)),
+        "x": F.sum(F.when(near, x)),
+        "y": F.sum(F.when(near, y)),
+        "xx": F.sum(F.when(near, x * x)),
+        "xy": F.sum(F.when(near, x * y)),
+        "yy": F.sum(F.when(near, y * y)),
+        "far": F.count(F.when(far, 1)),
+        "side": F.sum(F.when(far, side)),
+        "side_x": F.sum(F.when(far, side * x)),
+    }
+    return [F.coalesce(c, F.lit(0)).cast("double").alias(f"{n}_{label}") for n, c in sums.items()]
+
+
+def _solve_split(s: dict[str, float], scale: float) -> tuple[float, float, float] | None:
+    """Minimum of the Huber objective while near and far rows stay as they are."""
+    dof = s["n"] + s["far"] - HUBER_EPSILON**2 * s["far"]
+    if dof <= 0 or s["n"] == 0:
+        return None
+    for _ in range(500):
+        xx = s["xx"] + HUBER_ALPHA * scale
+        rhs_x = s["xy"] + scale * HUBER_EPSILON * s["side_x"]
+        rhs_1 = s["y"] + scale * HUBER_EPSILON * s["side"]
+        det = xx * s["n"] - s["x"] * s["x"]
+        if det <= 0:
+            return None
+        a = (rhs_x * s["n"] - rhs_1 * s["x"]) / det
+        b = (rhs_1 * xx - rhs_x * s["x"]) / det
+        near = s["yy"] - 2 * a * s["xy"] - 2 * b * s["y"] + a * a * s["xx"] + 2 * a * b * s["x"] + b * b * s["n"]
+        new = (max(near, 0.0) / dof) ** 0.5
+        if abs(new - scale) <= 1e-14 * max(new, 1e-300):
+            break
+        scale = new
+    return a, b, new
+
+
+def fit_huber_lines(pairs: DataFrame, training: dict[int, Column]) -> dict[int, Line]:
+    """Huber lines of ``x, y`` for several training conditions; ``pairs`` should be cached.
+
+    Only sums come to the driver: nine numbers per training set and pass.
+    """
+    first = pairs.agg(
+        F.avg("x").alias("x"),
+        F.avg("y").alias("y"),
+        *[
+            fitting.moments(F.when(rows, F.col("x")), F.col("y")).alias(f"m_{label}")
+            for label, rows in training.items()
+        ],
+    ).first()
+    x0, y0 = first["x"], first["y"]
+    # shifted values keep the plain sums accurate
+    shifted = pairs.withColumns({"x": F.col("x") - x0, "y": F.col("y") - y0})
+    lines = {}
+    for label in training:
+        m = first[f"m_{label}"]
+        a = m["sxy"] / m["sxx"] if m["sxx"] else 0.0
+        spread = max(m["syy"] - a * m["sxy"], 0.0) / max(m["n"], 1)
+        lines[label] = (a, m["my"] - y0 - a * (m["mx"] - x0), max(spread**0.5, 1e-9))
+    active = set(training)
+    for _ in range(HUBER_MAX_PASSES):
+        columns = [c for k in active for c in _split_sums(k, training[k], lines[k])]
+        sums = shifted.agg(*columns).first().asDict()
+        for k in list(active):
+            own = {n.rsplit("_", 1)[0]: v for n, v in sums.items() if n.rsplit("_", 1)[1] == str(k)}
+            solved = _solve_split(own, lines[k][2])
+            if solved is None:
+                return _fit_by_descent(pairs, training)
+            moved = max(abs(p - q) for p, q in zip(solved, lines[k]))
+            lines[k] = solved
+            if moved <= HUBER_TOLERANCE * max(1.0, abs(solved[0])):
+                active.discard(k)
+        if not active:
+            return {k: (a, b + y0 - a * x0) for k, (a, b, _) in lines.items()}
+    return _fit_by_descent(pairs, training)
+
+
+def _fit_by_descent(pairs: DataFrame, training: dict[int, Column]) -> dict[int, Line]:
+    """The same lines by Spark ML, one training set at a time, if the split does not settle.
 
     The ML objective is averaged over the rows and has half the penalty, hence
     the factor 2 / n on the usual alpha.
     """
-    rows = pairs.count()
-    model = LinearRegression(
-        featuresCol="features",
-        labelCol="y",
-        loss="huber",
-        epsilon=HUBER_EPSILON,
-        regParam=2 * HUBER_ALPHA / rows,
-        standardization=False,
-        maxIter=200,
-        tol=1e-9,
-    ).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(pairs))
-    return float(model.coefficients[0]), float(model.intercept)
+    lines = {}
+    for label, rows in training.items():
+        chosen = pairs.where(rows)
+        model = LinearRegression(
+            featuresCol="features",
+            labelCol="y",
+            loss="huber",
+            epsilon=HUBER_EPSILON,
+            regParam=2 * HUBER_ALPHA / chosen.count(),
+            standardization=False,
+            maxIter=200,
+            tol=1e-9,
+        ).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(chosen))
+        lines[label] = (float(model.coefficients[0]), float(model.intercept))
+    return lines
 
 
 def _score(pairs: DataFrame, by: Column, a: Column, b: Column) -> DataFrame:
@@ -202,17 +299,17 @@ def _score(pairs: DataFrame, by: Column, a: Column, b: Column) -> DataFrame:
     )
 
 
-def _fit_each(pairs: DataFrame, training: dict[int, Column]) -> dict[int, tuple[float, float]]:
-    """One robust fit per training condition, over pairs kept in memory meanwhile."""
+def _fit_each(pairs: DataFrame, training: dict[int, Column]) -> dict[int, Line]:
+    """Robust fits over pairs that stay cached meanwhile; lost blocks are computed again."""
     held = pairs.persist()
     try:
-        return {label: fit_huber(held.where(rows)) for label, rows in training.items()}
+        return fit_huber_lines(held, training)
     finally:
         held.unpersist()
 
 
 def cross_validate_huber(matched: DataFrame, index: str, years: Sequence[int]) -> DataFrame:
-    """Leave-one-year-out scores of the robust line: one fit per year, one scoring pass."""
+    """Leave-one-year-out scores of the robust line: fits side by side, one scoring pass."""
     pairs = complete_pairs(matched, index).where(F.col("year").isin(list(years)))
     lines = _fit_each(pairs, {y: F.col("year") != y for y in years})
 

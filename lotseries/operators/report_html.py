@@ -21,7 +21,7 @@ POSITION = ["file", "block", "line", "pos"]
 
 
 def read_report_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Cells of every row of the reports at a path, with the row's position.
+    """Cells of every row with any content of the reports at a path, with its position.
 
     A file that writes ``</TR>`` stays whole in one piece; its rows are found all the same.
     """
@@ -37,7 +37,7 @@ def read_report_rows(spark: SparkSession, path: str) -> DataFrame:
     )
     whole = F.concat("value", F.lit("</tr>"))
     rows = pieces.select("file", "block", "line", F.posexplode(html_rows(whole)).alias("pos", "row"))
-    return rows.select(*POSITION, html_cells(F.col("row")).alias("cells"))
+    return rows.select(*POSITION, filled_rows(F.col("row")).alias("cells"))
 
 
 def page_rows(
@@ -47,22 +47,33 @@ def page_rows(
     row_tag: str = "tr",
     cell_tags: str = "t[dh]",
 ) -> DataFrame:
-    """Cells of every row of HTML texts held in a column: ``key, pos, cells``."""
+    """Cells of every row with any content of HTML texts held in a column: ``key, pos, cells``."""
     rows = pages.select(key, F.posexplode(html_rows(F.col(html), row_tag)).alias("pos", "row"))
-    return rows.select(key, "pos", html_cells(F.col("row"), cell_tags).alias("cells"))
+    return rows.select(key, "pos", filled_rows(F.col("row"), cell_tags).alias("cells"))
 
 
 def filled_cells(cells: Column) -> Column:
     return F.size(F.filter(cells, lambda c: c != ""))
 
 
+def filled_rows(row: Column, cell_tags: str = "t[dh]") -> Column:
+    """Cells of a row; blank rows vanish.
+
+    A generator rather than a filter, because a filter would be pushed down and
+    extract the cells a second time.
+    """
+    cells = F.array(html_cells(row, cell_tags))
+    return F.explode(F.filter(cells, lambda c: F.exists(c, lambda x: x != "")))
+
+
 def find_header(
     rows: DataFrame, position: Sequence[str] = POSITION, min_cells: int = HEADER_MIN_CELLS
 ) -> DataFrame:
     """First row with enough non-empty cells (no row if there is none)."""
     first = F.min_by(F.struct(*position, "cells"), F.struct(*position)).alias("header")
-    enough = rows.where(filled_cells(F.col("cells")) >= min_cells)
-    return enough.agg(first).where("header is not null").select("header.*")
+    enough = F.when(filled_cells(F.col("cells")) >= min_cells, F.struct(*position, "cells"))
+    candidates = rows.select(F.explode(F.filter(F.array(enough), lambda r: r.isNotNull())).alias("r"))
+    return candidates.select("r.*").agg(first).where("header is not null").select("header.*")
 
 
 def column_names(header: Sequence[str]) -> list[str]:
@@ -72,10 +83,10 @@ def column_names(header: Sequence[str]) -> list[str]:
 
 
 def data_rows(rows: DataFrame, header: Sequence[object], position: Sequence[str] = POSITION) -> DataFrame:
-    """Rows after the header that have any content."""
+    """Rows after the header."""
     here = F.struct(*position)
     there = F.struct(*[F.lit(v).alias(p) for p, v in zip(position, header)])
-    return rows.where((here > there) & (filled_cells(F.col("cells")) > 0))
+    return rows.where(here > there)
 
 
 def to_columns(rows: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
