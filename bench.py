@@ -12,6 +12,7 @@ import time
 from pyspark.sql import SparkSession
 
 from lotseries.bindings.queries import QUERIES
+from lotseries.session import prepare
 
 HEADLINE = [
     "master_left_join",
@@ -48,12 +49,11 @@ def main() -> None:
         .appName("lotseries-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    prepare(spark).sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").count().collect()
     timings = {}
     for name in HEADLINE:

@@ -74,7 +74,15 @@ def _previous_harvest(triples: DataFrame) -> DataFrame:
 
 
 def _with_previous(master: DataFrame, triples: DataFrame) -> DataFrame:
-    return master.join(_previous_harvest(triples), ["lot_id", "season"], "left")
+    """Add the previous harvest to the rows.
+
+    The join is on the combined key on purpose: the lookup, grouped by (lot,
+    season), then gets a shuffle of its own, and only a join of two shuffles can
+    have a hot key split by the adaptive skew join.
+    """
+    key = lot_season(F.col("lot_id"), F.col("season"))
+    lookup = _previous_harvest(triples).select(key.alias("_key"), "previous_harvest")
+    return master.withColumn("_key", key).join(lookup, "_key", "left").drop("_key")
 
 
 def age_since_known_harvest(master: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from lotseries.functions.geometry import (
 from lotseries.schema import INDICES, STATISTICS
 
 PIXEL_KEY = ["scene_id", "row", "col"]
+BAND_ROWS = 64
 
 
 def transform_columns(prefix: str = "") -> dict[str, Column]:
@@ -36,7 +37,12 @@ def transform_columns(prefix: str = "") -> dict[str, Column]:
 
 
 def polygon_mask(polygons: DataFrame) -> DataFrame:
-    """Pixels whose centre lies in a polygon: ``scene_id, polygon_id, row, col``."""
+    """Pixels whose centre lies in a polygon: ``scene_id, polygon_id, row, col``.
+
+    A polygon first becomes bands of a few pixel rows, which are spread over all
+    tasks: one huge polygon does not unfold in a single task. The number of
+    partitions is explicit because the bands are small and grow afterwards.
+    """
     t = transform_columns()
 
     def vertex(p: Column) -> Column:
@@ -48,11 +54,18 @@ def polygon_mask(polygons: DataFrame) -> DataFrame:
     ).select("scene_id", "polygon_id", ring_edges(F.col("ring")).alias("edges"))
     ys = F.transform("edges", lambda e: e["y1"])
     # centres v + 0.5 within [ymin, ymax)
-    first_row = F.ceil(F.array_min(ys) - 0.5).cast("int")
-    last_row = F.ceil(F.array_max(ys) - 0.5).cast("int") - 1
-    rows = in_pixels.where(first_row <= last_row).withColumn(
-        "row", F.explode(F.sequence(first_row, last_row))
-    )
+    extent = in_pixels.withColumns(
+        {
+            "first_row": F.ceil(F.array_min(ys) - 0.5).cast("int"),
+            "last_row": F.ceil(F.array_max(ys) - 0.5).cast("int") - 1,
+        }
+    ).where("first_row <= last_row")
+    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bands = extent.withColumn(
+        "band", F.explode(F.sequence("first_row", "last_row", F.lit(BAND_ROWS)))
+    ).repartition(tasks, "scene_id", "polygon_id", "band")
+    band_end = F.least(F.col("band") + (BAND_ROWS - 1), F.col("last_row"))
+    rows = bands.withColumn("row", F.explode(F.sequence(F.col("band"), band_end)))
     line = F.col("row") + F.lit(0.5)
     crossings = F.array_sort(
         F.transform(
@@ -76,11 +89,14 @@ def zonal_stats(pixels: DataFrame, polygons: DataFrame, values: Sequence[str]) -
 
     Null and NaN pixels do not count. Polygons without pixels are kept with count 0.
     """
-    clean = pixels.select(
-        *PIXEL_KEY, *[F.when(~F.isnan(v), F.col(v)).alias(v) for v in values]
-    )
-    covered = polygon_mask(polygons).join(clean, PIXEL_KEY)
-    stats = covered.groupBy("scene_id", "polygon_id").agg(
+    columns = pixels.select(*PIXEL_KEY, *values)
+    return summarize(polygon_mask(polygons).join(columns, PIXEL_KEY), polygons, values)
+
+
+def summarize(covered: DataFrame, polygons: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Statistics per polygon of covered pixels that already have their values."""
+    valid = covered.withColumns({v: F.when(~F.isnan(v), F.col(v)) for v in values})
+    stats = valid.groupBy("scene_id", "polygon_id").agg(
         *[
             measure
             for v in values
@@ -137,51 +153,73 @@ def finalize_stats(pooled: DataFrame, values: Sequence[str] = INDICES, digits: i
     return pooled.select(*kept, *out)
 
 
-def clip_pixels(pixels: DataFrame, bounds: DataFrame) -> DataFrame:
+def clip_pixels(pixels: DataFrame, bounds: DataFrame, margin: float = 0.0) -> DataFrame:
     """Window read: the pixels whose centre lies in the bounds of their scene.
 
-    ``bounds`` has one row per scene: ``scene_id``, a box and the transform columns.
+    ``bounds`` has one row per scene: ``scene_id``, a box and the transform
+    columns; scenes without bounds are dropped. ``margin`` widens the box by so
+    many pixels. Run before a shuffle, this keeps unused pixels out of it.
     """
-    x, y = pixel_center(F.col("col"), F.col("row"), transform_columns())
-    inside = x.between(F.col("xmin"), F.col("xmax")) & y.between(F.col("ymin"), F.col("ymax"))
+    t = transform_columns()
+    x, y = pixel_center(F.col("col"), F.col("row"), t)
+    dx = (F.abs(t["a"]) + F.abs(t["b"])) * margin
+    dy = (F.abs(t["d"]) + F.abs(t["e"])) * margin
+    inside = x.between(F.col("xmin") - dx, F.col("xmax") + dx) & y.between(
+        F.col("ymin") - dy, F.col("ymax") + dy
+    )
     clipped = pixels.join(bounds, "scene_id").where(inside)
     return clipped.select(*pixels.columns)
 
 
-def resample_bilinear(
-    targets: DataFrame, coarse: DataFrame, value: str = "value"
-) -> DataFrame:
+def resample_bilinear(targets: DataFrame, coarse: DataFrame, value: str = "value") -> DataFrame:
     """Value of a coarse band at the centre of every target pixel, by bilinear weights.
 
     ``targets`` has the pixel key and the transforms ``fine_a..f`` and
-    ``coarse_a..f``; ``coarse`` has the pixel key and the value. Neighbours
-    outside the band or without a value are left out and the weights rescaled.
+    ``coarse_a..f``, which are dropped; other columns stay. ``coarse`` has the
+    pixel key and the value. Neighbours outside the band or without a value are
+    left out and the weights rescaled; null if none is left.
+
+    The coarse band is first regrouped into cells of 2 x 2 neighbours, so every
+    target pixel travels once, to its cell, and not once per neighbour.
     """
+    names = [f"v{j}{i}" for j in (0, 1) for i in (0, 1)]
+    member = F.array(
+        *[
+            F.struct(
+                (F.col("row") - j).alias("cell_row"),
+                (F.col("col") - i).alias("cell_col"),
+                F.lit(f"v{j}{i}").alias("place"),
+            )
+            for j in (0, 1)
+            for i in (0, 1)
+        ]
+    )
+    cells = (
+        coarse.where(F.col(value).isNotNull() & ~F.isnan(value))
+        .select("scene_id", F.col(value), F.inline(member))
+        .groupBy("scene_id", "cell_row", "cell_col")
+        .agg(*[F.max(F.when(F.col("place") == n, F.col(value))).alias(n) for n in names])
+    )
     x, y = pixel_center(F.col("col"), F.col("row"), transform_columns("fine_"))
     u, v = to_pixel(x, y, transform_columns("coarse_"))
-    at = targets.select(*PIXEL_KEY, (u - 0.5).alias("u"), (v - 0.5).alias("v"))
-    du, dv = F.col("u") - F.floor("u"), F.col("v") - F.floor("v")
-
-    def neighbour(i: int, j: int) -> Column:
-        weight = (du if i else 1 - du) * (dv if j else 1 - dv)
-        return F.struct(
-            (F.floor("v") + j).cast("int").alias("coarse_row"),
-            (F.floor("u") + i).cast("int").alias("coarse_col"),
-            weight.alias("weight"),
-        )
-
-    corners = F.array(*[neighbour(i, j) for j in (0, 1) for i in (0, 1)])
-    wanted = at.select(*PIXEL_KEY, F.inline(corners)).where("weight > 0")
-    band = coarse.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
-        "scene_id",
-        F.col("row").alias("coarse_row"),
-        F.col("col").alias("coarse_col"),
-        F.col(value).alias(value),
-    )
-    found = wanted.join(band, ["scene_id", "coarse_row", "coarse_col"])
-    return found.groupBy(*PIXEL_KEY).agg(
-        (F.sum(F.col("weight") * F.col(value)) / F.sum("weight")).alias(value)
+    transforms = [f"{p}{n}" for p in ("fine_", "coarse_") for n in TRANSFORM]
+    kept = [c for c in targets.columns if c not in transforms]
+    at = targets.withColumns({"u": u - 0.5, "v": v - 0.5}).select(
+        *kept,
+        F.floor("v").cast("int").alias("cell_row"),
+        F.floor("u").cast("int").alias("cell_col"),
+        (F.col("u") - F.floor("u")).alias("du"),
+        (F.col("v") - F.floor("v")).alias("dv"),
     )
+    du, dv = F.col("du"), F.col("dv")
+    weights = {
+        f"v{j}{i}": (du if i else 1 - du) * (dv if j else 1 - dv) for j in (0, 1) for i in (0, 1)
+    }
+    zero = F.lit(0.0)
+    total = sum((F.when(F.col(n).isNotNull(), w).otherwise(zero) for n, w in weights.items()), zero)
+    part = sum((F.coalesce(F.col(n) * w, zero) for n, w in weights.items()), zero)
+    found = at.join(cells, ["scene_id", "cell_row", "cell_col"], "left")
+    return found.select(*kept, (part / F.nullif(total, zero)).alias(value))
 
 
 def coverage(indices: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from lotseries.functions.indices import spectral_indices
 from lotseries.operators import catalog, manifest, raster
 from lotseries.operators.raster import PIXEL_KEY
 from lotseries.schema import INDEX_COLUMNS, INDICES
+from lotseries.sources.stored import stored
 
 COARSE_BAND = "swir16"
 
@@ -30,22 +31,30 @@ def choose_scenes(lots: DataFrame, catalogue: DataFrame) -> DataFrame:
     return catalog.with_required_assets(catalog.best_scene_per_tile(found))
 
 
-def scene_pixels(covered: DataFrame, pixels: DataFrame, transforms: DataFrame) -> DataFrame:
-    """Index values of the covered pixels: fine bands looked up, the coarse band resampled."""
-    fine = covered.select(*PIXEL_KEY).distinct()
+def _windows(polygons: DataFrame, grids: DataFrame) -> DataFrame:
+    """Bounds of the polygons measured in each scene, with the scene's transform."""
+    return catalog.total_bounds(polygons, ["scene_id"]).join(grids, "scene_id")
+
+
+def band_values(polygons: DataFrame, pixels: DataFrame, transforms: DataFrame) -> DataFrame:
+    """Index values of the pixels covered by polygons: fine bands looked up, the coarse resampled."""
+
+    def window(band: str, margin: float) -> DataFrame:
+        bounds = _windows(polygons, _grids(transforms, band))
+        return raster.clip_pixels(_band(pixels, band), bounds, margin)
+
     grids = _grids(transforms, "nir", "fine_").join(
         _grids(transforms, COARSE_BAND, "coarse_"), "scene_id"
     )
-    swir = raster.resample_bilinear(
-        fine.join(grids, "scene_id"), _band(pixels, COARSE_BAND), COARSE_BAND
-    )
+    covered = raster.polygon_mask(polygons).join(grids, "scene_id")
+    # a coarse neighbour may lie up to one coarse pixel outside the window
     bands = (
-        fine.join(_band(pixels, "nir"), PIXEL_KEY, "left")
-        .join(_band(pixels, "red"), PIXEL_KEY, "left")
-        .join(swir, PIXEL_KEY, "left")
+        raster.resample_bilinear(covered, window(COARSE_BAND, 1.5), COARSE_BAND)
+        .join(window("nir", 0.5), PIXEL_KEY, "left")
+        .join(window("red", 0.5), PIXEL_KEY, "left")
     )
     values = spectral_indices(F.col("nir"), F.col("red"), F.col(COARSE_BAND))
-    return bands.select(*PIXEL_KEY, *[c.alias(n) for n, c in values.items()])
+    return bands.select("polygon_id", *PIXEL_KEY, *[c.alias(n) for n, c in values.items()])
 
 
 def extract_scene_indices(
@@ -58,21 +67,20 @@ def extract_scene_indices(
     """Indices per lot and day from scene bands.
 
     ``lots``: ``obs_date, polygon_id, lot_id, ring``, one set per day. Pixels and
-    transforms hold the bands nir, red and swir16 of every scene.
+    transforms hold the bands nir, red and swir16 of every scene. The choice of
+    scene per polygon is stored, since windows, masks and results all start from it.
     """
     scenes = choose_scenes(lots, catalogue).select(
         "obs_date", "tile_order", "scene_id", *catalog.BOX
     )
     pairs = catalog.lots_touching_tiles(lots, scenes, cell, ["obs_date"])
-    assigned = (
+    assigned = stored(
         catalog.assign_first_tile(pairs, ["obs_date"])
         .drop(*catalog.BOX)
         .join(_grids(transforms, "nir"), "scene_id")
     )
-    values = scene_pixels(raster.polygon_mask(assigned), pixels, transforms)
-    stats = raster.zonal_stats(values, assigned, INDICES).withColumn(
-        "image_id", F.col("scene_id")
-    )
+    values = band_values(assigned, pixels, transforms)
+    stats = raster.summarize(values, assigned, INDICES).withColumn("image_id", F.col("scene_id"))
     pooled = raster.pool_stats(stats, ["lot_id", "obs_date"], order="tile_order")
     return _output(raster.finalize_stats(pooled))
 
@@ -96,14 +104,12 @@ def extract_raster_indices(
             "image_id": F.element_at(F.split("ndvi", "/"), -2),
         }
     )
-    rasters = sets.select(
-        "obs_date",
-        "stem",
-        "image_id",
-        F.inline(F.array(*[F.struct(F.lit(i).alias("index"), F.col(i).alias("scene_id")) for i in INDICES])),
-    )
-    polygons = lots.join(rasters, "stem").join(raster.effective_transforms(transforms), "scene_id")
-    stats = raster.zonal_stats(pixels, polygons, ["value"])
+    kinds = [F.struct(F.lit(i).alias("index"), F.col(i).alias("scene_id")) for i in INDICES]
+    rasters = sets.select("obs_date", "stem", "image_id", F.inline(F.array(*kinds)))
+    grids = raster.effective_transforms(transforms)
+    polygons = stored(lots.join(rasters, "stem").join(grids, "scene_id"))
+    window = raster.clip_pixels(pixels, _windows(polygons, grids), 0.5)
+    stats = raster.zonal_stats(window, polygons, ["value"])
     # one column group per index, so that the three rasters of a date meet in one aggregate
     by_index = stats.withColumns(
         {

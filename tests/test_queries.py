@@ -39,7 +39,12 @@ def content(table):
 @pytest.mark.skipif(not DIR.exists(), reason="test tables are not there")
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_equals_its_sql(spark, duck, name):
-    got = content(entry.queries()[name](spark, str(DIR)).toArrow())
+    df = entry.queries()[name](spark, str(DIR))
+    text = df._jdf.queryExecution().toString()
+    physical = text[text.index("== Physical Plan ==") :]
+    assert "CartesianProduct" not in physical and "NestedLoopJoin" not in physical
+    assert ("EvalPython" in physical) == (name == "slug_columns")
+    got = content(df.toArrow())
     want = content(duck.execute(entry.oracle_sql()[name]).to_arrow_table())
     assert got[0] == want[0]
     assert got[1] == want[1]
