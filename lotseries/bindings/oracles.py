@@ -582,6 +582,15 @@ _STATEMENTS: dict[str, str] = {
                round(avg(abs(r)) FILTER (test), 6) AS test_mae
         FROM huber_scores WHERE label = 2000 GROUP BY slope, intercept""",
     "apply_correction": "SELECT * FROM corrected",
+    "corrected_observations": """
+        SELECT lot_id, obs_date, image_id, ndvi_corrected, ndvi_ref, ndwi11_corrected, ndwi11_ref,
+               msi11_corrected, msi11_ref FROM corrected""",
+    "csv_round_trip": """
+        SELECT lot_id, obs_date, image_id, ndvi_corrected, ndvi_ref, ndwi11_corrected, ndwi11_ref,
+               msi11_corrected, msi11_ref FROM corrected""",
+    "index_files_round_trip": """
+        SELECT lot_id, obs_date, year, ndvi AS ndvi_mean, ndwi11 AS ndwi11_mean, msi11 AS msi11_mean
+        FROM ref_source""",
     "difference_summary": _each(
         """SELECT '$' AS index, round(avg($_diff), 6) AS mean, round(stddev_samp($_diff), 6) AS std,
                   round(avg(abs($_diff)), 6) AS mae FROM corrected"""

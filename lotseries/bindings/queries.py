@@ -26,7 +26,8 @@ from lotseries.operators import (
 from lotseries.operators.matching import clean_ranges
 from lotseries.plans import extraction
 from lotseries.plans.calibration import matched_sources
-from lotseries.sources.stored import stored
+from lotseries.sources import readers, writers
+from lotseries.sources.stored import fresh_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,6 +319,24 @@ def apply_correction(spark: SparkSession, sf: str) -> DataFrame:
     return calibrate.apply_correction(_matched(spark, sf))
 
 
+def corrected_observations(spark: SparkSession, sf: str) -> DataFrame:
+    return calibrate.to_observations(calibrate.apply_correction(_matched(spark, sf)))
+
+
+def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Corrected rows written as CSV and read back as observations."""
+    path = fresh_path(spark)
+    writers.write_csv(calibrate.apply_correction(_matched(spark, sf)), path)
+    return readers.read_observations_csv(spark, path)
+
+
+def index_files_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Index means written per year and read back with the year of the folder."""
+    path = fresh_path(spark)
+    writers.write_indices(t.reference_source(spark, sf), path)
+    return readers.read_reference(spark, path)
+
+
 def difference_summary(spark: SparkSession, sf: str) -> DataFrame:
     corrected = calibrate.apply_correction(_matched(spark, sf))
     return _rounded(calibrate.difference_summary(corrected))
@@ -541,7 +560,8 @@ QUERIES: dict[str, Query] = {
         clean_index_ranges, match_sources, residuals, matched_counts, source_summary,
         bias_by_year, residual_histogram, scatter_sample, line_fit, identity_range,
         ols_final, ols_cross_validation, cross_validation_summary, ols_holdout,
-        huber_final, huber_holdout, huber_cross_validation, apply_correction, difference_summary,
+        huber_final, huber_holdout, huber_cross_validation, apply_correction, corrected_observations, csv_round_trip,
+        index_files_round_trip, difference_summary,
         index_algebra, affine_pixels, zonal_stats, pooled_stats, clip_window, bilinear_resample,
         extract_scenes, extract_rasters, lot_coverage,
         total_bounds, search_scenes, best_scene, required_assets, lots_in_tiles, tile_assignment,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lotseries.functions import fitting
 from lotseries.operators.explore import by_index
-from lotseries.schema import INDICES
+from lotseries.schema import INDICES, OBSERVATION_COLUMNS
 
 # Model of each index.
 INDEX_MODELS = {"ndvi": "ols", "ndwi11": "ols", "msi11": "huber"}
@@ -380,6 +380,11 @@ def apply_correction(matched: DataFrame, factors: Factors = VALIDATION_FACTORS)
     return matched.select("lot_id", "obs_date", "year", "image_id", *out)
 
 
+def to_observations(corrected: DataFrame) -> DataFrame:
+    """Corrected rows in the columns of the observation table."""
+    return corrected.select(*OBSERVATION_COLUMNS)
+
+
 def difference_summary(corrected: DataFrame, indices: Sequence[str] = INDICES) -> DataFrame:
     """Mean, sample std and mean absolute value of the difference per index."""
 

@@ -81,7 +81,10 @@ def bias_by_year(matched: DataFrame, indices: Sequence[str] = INDICES) -> DataFr
 
 
 def residual_histogram(matched: DataFrame, index: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width histogram of the residuals on [min, max]; the maximum is in the last bin."""
+    """Equal-width histogram of the residuals on [min, max]; the maximum is in the last bin.
+
+    Reads the rows twice, first for the bounds: store them if they are a costly join.
+    """
     values = matched.select(residual(index).alias("value")).where("value is not null")
     bounds = values.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
     lo, hi = bounds["lo"], bounds["hi"]

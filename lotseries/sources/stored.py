@@ -22,6 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/lotseries/{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a result as Parquet and read it back.
 
@@ -29,6 +34,6 @@ def stored(df: DataFrame) -> DataFrame:
     prune columns and push filters down.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/lotseries/{uuid.uuid4().hex}"
+    path = fresh_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

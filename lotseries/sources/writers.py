@@ -13,15 +13,13 @@ JDBC_BATCH = 10_000
 def write_indices(df: DataFrame, path: str, by: Sequence[str] = ("year",)) -> None:
     """Parquet under ``path/year=...``; a re-run replaces only the partitions it writes.
 
-    Rows are clustered by partition value first, with a few hash buckets per
-    value, so that a partition is neither one task nor thousands of files.
+    The rebalance hint gathers the rows of a partition value and splits a large
+    one over several tasks, so that no value is a single task or thousands of files.
     """
     if "year" in by and "year" not in df.columns:
         df = df.withColumn("year", F.year("obs_date"))
     (
-        df.withColumn("_bucket", F.pmod(F.xxhash64("lot_id"), F.lit(64)))
-        .repartition(*by, "_bucket")
-        .drop("_bucket")
+        df.hint("rebalance", *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)

@@ -176,6 +176,23 @@ def test_the_calibration_job(matched):
     assert job.final.count() == 3 and job.holdout.count() == 3 and job.folds.count() == 18
 
 
+def test_the_whole_job_writes_factors_and_observations(spark, matched, tmp_path):
+    from lotseries.plans import calibration
+    from lotseries.sources import readers
+
+    def source(kind):
+        means = [matched[f"{i}_{kind}"].alias(f"{i}_mean") for i in ("ndvi", "ndwi11", "msi11")]
+        return matched.select("lot_id", "obs_date", "image_id", "year", *means).dropDuplicates(["lot_id", "obs_date"])
+
+    paths = str(tmp_path / "factors"), str(tmp_path / "observations")
+    fits = calibration.run(source("ref"), source("stac"), list(range(2020, 2026)), *paths)
+    used = readers.factor_dict(readers.read_factors(spark, paths[0]))
+    assert used == readers.factor_dict(fits.holdout.select("index", "slope", "intercept"))
+    obs = readers.read_observations_csv(spark, paths[1])
+    row = obs.where("ndvi_corrected is not null").first()
+    assert obs.count() == source("ref").count() and -2 < row.ndvi_corrected < 3
+
+
 def test_one_pass_over_the_rows_without_collecting_groups(matched, plan):
     text = plan(explore.source_summary(matched))
     assert text[text.index("== Physical Plan ==") :].count("Exchange") == 1
