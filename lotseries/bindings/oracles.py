@@ -109,14 +109,14 @@ SELECT lot_id, obs_date, ndvi_ref, crop_age_days,
        lag(ndvi_ref) OVER (PARTITION BY lot_id ORDER BY obs_date, ndvi_ref NULLS LAST) AS before
 FROM aged WHERE cycle_end IS NULL AND NOT data_gap"""
 
-VIEWS["events"] = """
+VIEWS["event_rows"] = """
 SELECT lot_id, obs_date,
        CAST(sum(CASE WHEN before < 0.2 THEN 0 ELSE 1 END)
             OVER (PARTITION BY lot_id ORDER BY obs_date) AS INTEGER) AS event_id
 FROM open_rows WHERE crop_age_days > 200 AND ndvi_ref < 0.2"""
 
 VIEWS["renovations"] = """
-SELECT lot_id, event_id, min(obs_date) AS renovation_date FROM events GROUP BY ALL"""
+SELECT lot_id, event_id, min(obs_date) AS renovation_date FROM event_rows GROUP BY ALL"""
 
 VIEWS["closed"] = """
 SELECT a.* EXCLUDE (cycle_end, data_gap, crop_age_days),
@@ -398,7 +398,7 @@ VIEWS["files"] = """
 SELECT 'Reference/' || year(day) || '-raster/batch' || (event_id % 7) || '/' || stem || suffix AS path,
        'batch' || (event_id % 7) AS parent, stem, suffix, strftime(day, '%Y%m%d') AS date, kind
 FROM (SELECT event_id, day, prefix || strftime(day, '%Y%m%d') AS stem, suffix, kind
-      FROM (SELECT event_id, event_type, CAST(ts AS DATE) + CAST(user_id * 30 AS INTEGER) AS day FROM main.events)
+      FROM (SELECT event_id, event_type, CAST(ts AS DATE) + CAST(user_id * 30 AS INTEGER) AS day FROM events)
       JOIN (VALUES ('view', '01-NDVI_', '.tif', 'ndvi'), ('click', '02-NDWI-11_', '.tif', 'ndwi11'),
                    ('error', '04-MSI-11_', '.tif', 'msi11'), ('purchase', 'lots_', '.shp', 'lots'),
                    ('signup', 'readme_', '.TIF', NULL)) AS k(event_type, prefix, suffix, kind)

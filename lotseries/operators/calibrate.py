@@ -160,10 +160,10 @@ def fit_holdout(
 
 # --- robust fit -----------------------------------------------------------------------
 #
-# Every pass over the rows serves all training sets at once. A pass splits the rows of each
-# set into near and far ones by the current line and scale, and sums them up; the driver
-# then solves the (convex) problem for that split, which needs the sums only. The split
-# settles after a few passes.
+# A training set is "all years but one" or "all years". Every pass over the rows serves all
+# training sets at once: it splits the rows of each set into near and far ones by the set's
+# current line and scale, and sums them up per set. The driver then solves the (convex)
+# problem for that split, which needs the sums only. The split settles after a few passes.
 
 Line = tuple[float, float]
 
@@ -171,14 +171,26 @@ HUBER_MAX_PASSES = 60
 HUBER_TOLERANCE = 1e-10
 
 
-def _split_sums(label: int, rows: Column, line: tuple[float, float, float]) -> list[Column]:
-    """Sums of the near rows, and signs of the far ones, for one training set."""
-    a, b, scale = line
+def _split_sums(pairs: DataFrame, lines: dict[int | None, tuple[float, float, float]]) -> DataFrame:
+    """Sums of the near rows, and signs of the far ones, per training set.
+
+    The lines enter as one array, so the generated code is the same in each pass.
+    """
+    sets = [
+        F.struct(
+            F.lit(left_out).cast("int").alias("left_out"),
+            F.lit(a).alias("a"),
+            F.lit(b).alias("b"),
+            F.lit(HUBER_EPSILON * scale).alias("reach"),
+        )
+        for left_out, (a, b, scale) in lines.items()
+    ]
     x, y = F.col("x"), F.col("y")
-    rest = y - (F.lit(a) * x + F.lit(b))
-    near = rows & (F.abs(rest) <= HUBER_EPSILON * scale)
-    far = rows & (F.abs(rest) > HUBER_EPSILON * scale)
-    side = F.signum(rest)
+    rows = pairs.select("year", "x", "y", F.inline(F.array(*sets)))
+    used = rows.where("left_out is null or year <> left_out").withColumn(
+        "rest", y - (F.col("a") * x + F.col("b"))
+    )
+    near, side = F.abs("rest") <= F.col("reach"), F.signum("rest")
     sums = {
         "n": F.count(F.when(near, 1)),
         "x": F.sum(F.when(near, x)),
@@ -186,11 +198,13 @@ def _split_sums(label: int, rows: Column, line: tuple[float, float, float]) -> l
         "xx": F.sum(F.when(near, x * x)),
         "xy": F.sum(F.when(near, x * y)),
         "yy": F.sum(F.when(near, y * y)),
-        "far": F.count(F.when(far, 1)),
-        "side": F.sum(F.when(far, side)),
-        "side_x": F.sum(F.when(far, side * x)),
+        "far": F.count(F.when(~near, 1)),
+        "side": F.sum(F.when(~near, side)),
+        "side_x": F.sum(F.when(~near, side * x)),
     }
-    return [F.coalesce(c, F.lit(0)).cast("double").alias(f"{n}_{label}") for n, c in sums.items()]
+    return used.groupBy("left_out").agg(
+        *[F.coalesce(c, F.lit(0)).cast("double").alias(n) for n, c in sums.items()]
+    )
 
 
 def _solve_split(s: dict[str, float], scale: float) -> tuple[float, float, float] | None:
@@ -215,55 +229,60 @@ def _solve_split(s: dict[str, float], scale: float) -> tuple[float, float, float
     return a, b, new
 
 
-def fit_huber_lines(pairs: DataFrame, training: dict[int, Column]) -> dict[int, Line]:
-    """Huber lines of ``x, y`` for several training conditions; ``pairs`` should be cached.
+def fit_huber_lines(
+    pairs: DataFrame, left_out: Sequence[int | None]
+) -> dict[int | None, Line]:
+    """Huber lines of ``x, y``, each without the rows of one year (None: with all rows).
 
-    Only sums come to the driver: nine numbers per training set and pass.
+    ``pairs`` should be cached. Only sums come to the driver: nine numbers per
+    training set and pass.
     """
-    first = pairs.agg(
-        F.avg("x").alias("x"),
-        F.avg("y").alias("y"),
-        *[
-            fitting.moments(F.when(rows, F.col("x")), F.col("y")).alias(f"m_{label}")
-            for label, rows in training.items()
-        ],
-    ).first()
-    x0, y0 = first["x"], first["y"]
+    by_year = pairs.groupBy("year").agg(fitting.moments(F.col("x"), F.col("y")).alias("m"))
+    years = [F.struct(F.lit(y).cast("int").alias("left_out")) for y in left_out]
+    starts = (
+        by_year.select("year", "m", F.inline(F.array(*years)))
+        .where("left_out is null or year <> left_out")
+        .groupBy("left_out")
+        .agg(fitting.merge_moments(F.collect_list("m")).alias("m"))
+        .collect()
+    )
     # shifted values keep the plain sums accurate
+    x0, y0 = starts[0]["m"]["mx"], starts[0]["m"]["my"]
     shifted = pairs.withColumns({"x": F.col("x") - x0, "y": F.col("y") - y0})
     lines = {}
-    for label in training:
-        m = first[f"m_{label}"]
+    for start in starts:
+        m = start["m"]
         a = m["sxy"] / m["sxx"] if m["sxx"] else 0.0
         spread = max(m["syy"] - a * m["sxy"], 0.0) / max(m["n"], 1)
-        lines[label] = (a, m["my"] - y0 - a * (m["mx"] - x0), max(spread**0.5, 1e-9))
-    active = set(training)
+        line = (a, m["my"] - y0 - a * (m["mx"] - x0), max(spread**0.5, 1e-9))
+        lines[start["left_out"]] = line
+    active = dict(lines)
     for _ in range(HUBER_MAX_PASSES):
-        columns = [c for k in active for c in _split_sums(k, training[k], lines[k])]
-        sums = shifted.agg(*columns).first().asDict()
-        for k in list(active):
-            own = {n.rsplit("_", 1)[0]: v for n, v in sums.items() if n.rsplit("_", 1)[1] == str(k)}
-            solved = _solve_split(own, lines[k][2])
+        for row in _split_sums(shifted, active).collect():
+            key = row["left_out"]
+            solved = _solve_split(row.asDict(), lines[key][2])
             if solved is None:
-                return _fit_by_descent(pairs, training)
-            moved = max(abs(p - q) for p, q in zip(solved, lines[k]))
-            lines[k] = solved
+                return _fit_by_descent(pairs, left_out)
+            moved = max(abs(p - q) for p, q in zip(solved, lines[key]))
+            lines[key] = active[key] = solved
             if moved <= HUBER_TOLERANCE * max(1.0, abs(solved[0])):
-                active.discard(k)
+                del active[key]
         if not active:
             return {k: (a, b + y0 - a * x0) for k, (a, b, _) in lines.items()}
-    return _fit_by_descent(pairs, training)
+    return _fit_by_descent(pairs, left_out)
 
 
-def _fit_by_descent(pairs: DataFrame, training: dict[int, Column]) -> dict[int, Line]:
+def _fit_by_descent(
+    pairs: DataFrame, left_out: Sequence[int | None]
+) -> dict[int | None, Line]:
     """The same lines by Spark ML, one training set at a time, if the split does not settle.
 
     The ML objective is averaged over the rows and has half the penalty, hence
     the factor 2 / n on the usual alpha.
     """
     lines = {}
-    for label, rows in training.items():
-        chosen = pairs.where(rows)
+    for year in left_out:
+        chosen = pairs if year is None else pairs.where(F.col("year") != year)
         model = LinearRegression(
             featuresCol="features",
             labelCol="y",
@@ -274,7 +293,7 @@ def _fit_by_descent(pairs: DataFrame, training: dict[int, Column]) -> dict[int,
             maxIter=200,
             tol=1e-9,
         ).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(chosen))
-        lines[label] = (float(model.coefficients[0]), float(model.intercept))
+        lines[year] = (float(model.coefficients[0]), float(model.intercept))
     return lines
 
 
@@ -299,11 +318,11 @@ def _score(pairs: DataFrame, by: Column, a: Column, b: Column) -> DataFrame:
     )
 
 
-def _fit_each(pairs: DataFrame, training: dict[int, Column]) -> dict[int, Line]:
+def _fit_each(pairs: DataFrame, left_out: Sequence[int | None]) -> dict[int | None, Line]:
     """Robust fits over pairs that stay cached meanwhile; lost blocks are computed again."""
     held = pairs.persist()
     try:
-        return fit_huber_lines(held, training)
+        return fit_huber_lines(held, left_out)
     finally:
         held.unpersist()
 
@@ -311,7 +330,7 @@ def _fit_each(pairs: DataFrame, training: dict[int, Column]) -> dict[int, Line]:
 def cross_validate_huber(matched: DataFrame, index: str, years: Sequence[int]) -> DataFrame:
     """Leave-one-year-out scores of the robust line: fits side by side, one scoring pass."""
     pairs = complete_pairs(matched, index).where(F.col("year").isin(list(years)))
-    lines = _fit_each(pairs, {y: F.col("year") != y for y in years})
+    lines = _fit_each(pairs, list(years))
 
     def coefficient(k: int) -> Column:
         by_year = F.create_map(*[F.lit(v) for y in years for v in (y, lines[y][k])])
@@ -333,7 +352,7 @@ def fit_holdout_huber(matched: DataFrame, index: str, test_year: int) -> DataFra
     """``fit_holdout`` with the robust line."""
     pairs = complete_pairs(matched, index).where("year is not null")
     is_test = F.col("year") == test_year
-    line = _fit_each(pairs, {0: ~is_test})[0]
+    line = _fit_each(pairs, [test_year])[test_year]
     scores = _score(pairs, is_test.cast("int"), F.lit(line[0]), F.lit(line[1]))
 
     def of(part: int, name: str) -> Column:
@@ -353,7 +372,7 @@ def fit_holdout_huber(matched: DataFrame, index: str, test_year: int) -> DataFra
 
 def fit_final_huber(matched: DataFrame, index: str) -> DataFrame:
     """``fit_final`` with the robust line."""
-    line = _fit_each(complete_pairs(matched, index), {0: F.lit(True)})[0]
+    line = _fit_each(complete_pairs(matched, index), [None])[None]
     return matched.sparkSession.range(1).select(
         F.lit(index).alias("index"),
         F.lit(line[0]).alias("slope"),

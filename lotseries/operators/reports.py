@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotseries.operators.cycles import RENOVATION_MIN_AGE, RENOVATION_NDVI
 from lotseries.operators.sampling import sample_groups
+from lotseries.sources.stored import stored
 
 # Age limit of the renovation report, cycles a growth curve lot must have.
 REPORT_MIN_AGE = 300
@@ -89,7 +90,7 @@ def lot_history(master: DataFrame, lots: DataFrame) -> DataFrame:
         master.where("ndvi_ref is not null")
         .join(lots.select("lot_id"), "lot_id", "left_semi")
         .select("lot_id", "obs_date", "ndvi_ref", "crop_age_days", "cycle_end")
-        .orderBy("lot_id", "obs_date")
+        .orderBy("lot_id", "obs_date", "ndvi_ref")
     )
 
 
@@ -146,7 +147,7 @@ def growth_curves(master: DataFrame, lots: DataFrame) -> DataFrame:
             "obs_date",
             "image_id",
         )
-        .orderBy("lot_id", F.col("harvest").asc_nulls_last(), "crop_age_days")
+        .orderBy("lot_id", F.col("harvest").asc_nulls_last(), "crop_age_days", "image_id")
     )
 
 
@@ -164,7 +165,7 @@ def renovated_history(master: DataFrame, sampled: DataFrame) -> DataFrame:
         master.where(~F.col("data_gap") & F.col("ndvi_ref").isNotNull())
         .join(sampled.select("lot_id"), "lot_id", "left_semi")
         .select("lot_id", "harvest", "obs_date", "crop_age_days", "ndvi_ref")
-        .orderBy("lot_id", "obs_date")
+        .orderBy("lot_id", "obs_date", "ndvi_ref")
     )
 
 
@@ -214,14 +215,16 @@ def cycle_traces(
 
     A trace longer than ``chunk`` points continues in further rows with a higher
     ``chunk`` number (then ``part``, for a single day that is longer still), so
-    no array grows without bound. Equal points are counted before they travel.
+    no array grows without bound. Equal points are counted before they travel,
+    and the counted points are stored, since sizes and palette read them again.
     With ``keep_open`` the points without a cycle form one more trace, whose
     color is null.
     """
     names = list(series)
     rows = points if keep_open else points.where(F.col(cycle).isNotNull())
-    counted = (
-        rows.select("lot_id", cycle, F.col(order).alias("_at"), *[c.alias(n) for n, c in series.items()])
+    named = [c.alias(n) for n, c in series.items()]
+    counted = stored(
+        rows.select("lot_id", cycle, F.col(order).alias("_at"), *named)
         .groupBy("lot_id", cycle, "_at", *names)
         .agg(F.count("*").alias("_copies"))
     )
@@ -259,7 +262,7 @@ def cycle_traces(
         "part",
         *[F.col(f"_points.{n}").alias(n) for n in names],
     )
-    palette = cycle_colors(points, cycle, colors)
+    palette = cycle_colors(counted, cycle, colors)
     return arrays.join(palette, ["lot_id", cycle], "left")
 
 

@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotseries.operators.cycles import add_cycles
 from lotseries.operators.master import add_season, add_yield_key, build_master
 from lotseries.operators.reports import ml_dataset
+from lotseries.schema import YIELD_COLUMNS
 from lotseries.sources.writers import write_table
 
 
+def report_yields(report: DataFrame, columns: Sequence[str] = YIELD_COLUMNS) -> DataFrame:
+    """Yields for ``master_table`` from a parsed report: the given columns, keys renamed."""
+    names = {"lote": "lot", "zafra": "season", "cierre": "harvest"}
+    chosen = report.select(*columns).withColumnsRenamed(names)
+    return chosen.withColumn("lot", F.col("lot").cast("string"))
+
+
 def master_table(observations: DataFrame, yields: DataFrame) -> DataFrame:
     """Observations with their yields. ``yields``: ``lot, season`` as reported, ``harvest``, ..."""
     return build_master(add_season(observations), add_yield_key(yields))

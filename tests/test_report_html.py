@@ -86,3 +86,18 @@ def test_pages_in_a_column(spark):
     df = spark.createDataFrame([(1, html([["a", " b "], ["", " "], ["c"]])), (2, "no table")], "id int, html string")
     got = [(r.id, r.pos, r.cells) for r in rh.page_rows(df, "id").collect()]
     assert got == [(1, 0, ["a", "b"]), (1, 2, ["c"])]
+
+
+def test_from_a_report_file_to_the_master_table(spark, tmp_path):
+    from datetime import date
+
+    from lotseries.plans.training import master_table, report_yields
+
+    path = tmp_path / "sheet.htm"
+    path.write_text(html([["t"], HEAD, line(1), line(2)]), encoding="utf-8")
+    yields = report_yields(rh.read_report(spark, str(path)), ["zafra", "lote", "area_ha", "brix", "cierre"])
+    obs = spark.createDataFrame([("07-0001", date(2020, 1, 5)), ("07-0009", date(2020, 1, 5))], "lot_id string, obs_date date")
+    rows = {r.lot_id: r for r in master_table(obs, yields).collect()}
+    hit, miss = rows["07-0001"], rows["07-0009"]
+    assert (hit.harvest, hit.brix, hit.report_season, hit.season) == ("01/02/2020", 20, "Zafra 2019-2020", "2019_2020")
+    assert miss.harvest is None and miss.season == "2019_2020"
