@@ -215,16 +215,21 @@ def patch_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _mosaic_id(key: str) -> Column:
+    """Scene id of the only scene, as a value of the row: a constant would drop out of the join keys."""
+    return F.when(F.col(key) >= 0, "mosaic").alias("scene_id")
+
+
 def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All patches as one scene; negative values of the upper range count as no data."""
     pixels = patch_pixels(spark, sf_dir)
     value = F.when(F.col("value") < -0.3, F.lit(float("nan"))).otherwise(F.col("value"))
-    return pixels.select(F.lit("mosaic").alias("scene_id"), "row", "col", value.alias("value"))
+    return pixels.select(_mosaic_id("vec_id"), "row", "col", value.alias("value"))
 
 
 def mosaic_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lots(spark, sf_dir).select(
-        F.lit("mosaic").alias("scene_id"), "*", *grid(F.lit(0.25), F.lit(-0.5))
+        _mosaic_id("polygon_id"), "*", *grid(F.lit(0.25), F.lit(-0.5))
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotseries.functions.text import INTEGER, html_cells, html_rows, number, slug
+from lotseries.sources.stored import stored
 
 # Non-empty cells that make a row the header.
 HEADER_MIN_CELLS = 10
@@ -136,7 +137,12 @@ def type_table(table: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def parse_report(rows: DataFrame, position: Sequence[str] = POSITION, min_cells: int = HEADER_MIN_CELLS) -> DataFrame:
-    """Typed table of a report given its rows."""
+    """Typed table of a report given its rows.
+
+    The rows are stored once they are cut into cells: header, types and result
+    read them, and cutting is the costly part.
+    """
+    rows = stored(rows)
     header = find_header(rows, position, min_cells).first()
     if header is None:
         raise ValueError(f"no row with at least {min_cells} filled cells")
