@@ -4,30 +4,50 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-FOLDER = "spark.checkpoint.dir"
+WORK_DIR = "spark.lotseries.work.dir"
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+_written: set[str] = set()
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="lotseries-")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by the cluster; a temporary one in local mode only."""
-    named = spark.conf.get(FOLDER, None)
+    """Folder named by the session (``WORK_DIR``, else ``CHECKPOINT_DIR``).
+
+    Without either, a temporary folder in local mode; on a cluster an error, as
+    its executors share no machine-local folder.
+    """
+    named = spark.conf.get(WORK_DIR, None) or spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {FOLDER} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="lotseries-")
-    spark.conf.set(FOLDER, folder)
-    return folder
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError(f"set {WORK_DIR} or {CHECKPOINT_DIR} to a folder that all executors share")
+    return _own_folder()
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def fresh_path(spark: SparkSession) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/lotseries/{uuid.uuid4().hex}"
+    """A new path in the shared folder; it goes with ``drop_stored`` or when Spark ends."""
+    path = f"{shared_folder(spark)}/lotseries/{uuid.uuid4().hex}"
+    files, where = _file_system(spark, path)
+    files.deleteOnExit(where)
+    _written.add(path)
+    return path
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write a result as Parquet and read it back.
 
     It survives lost executors, cuts the lineage, and later readers still
@@ -35,5 +55,24 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=list(partition_by) or None)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for table in tables:
+        for path in {file[: file.rindex("/lotseries/") + 43] for file in table.inputFiles() if "/lotseries/" in file}:
+            _delete(table.sparkSession, path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete all that ``stored`` has written; call it once the results have been used."""
+    for path in list(_written):
+        _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+    _written.difference_update([p for p in _written if p.endswith(path[-32:])])

@@ -126,3 +126,34 @@ def test_only_narrow_columns_reach_the_day_table(spark, tmp_path, plan, column):
     text = plan(lot_days(spark.read.parquet(str(tmp_path / "m"))))
     schema = text.split("ReadSchema: ")[1].split(">")[0]
     assert column in schema and "notes" not in schema
+
+
+def test_stored_tables_go_when_they_are_released(spark, tmp_path):
+    from lotseries.sources.stored import WORK_DIR, drop_stored, release
+
+    spark.conf.set(WORK_DIR, str(tmp_path))
+    try:
+        first, second = (stored(spark.range(10).withColumnRenamed("id", "n")) for _ in range(2))
+        release(first)
+        assert second.count() == 10 and len(list((tmp_path / "lotseries").iterdir())) == 1
+        drop_stored(spark)
+        assert not list((tmp_path / "lotseries").iterdir())
+    finally:
+        spark.conf.unset(WORK_DIR)
+
+
+def test_stored_works_in_a_session_without_any_setting(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from lotseries.sources.stored import stored, drop_stored\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert stored(s.range(3)).count() == 3\n"
+        "drop_stored(s)\n"
+    )
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.getcwd()}
+    subprocess.run([sys.executable, "-c", code], env=env, check=True, timeout=120)
