@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, packing, secret_scan, top_k, toxicity, url_filter
+from . import neighbours, packing, personal_data, secret_scan, top_k, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES as LLM_ORACLES  # noqa: F401
 
@@ -29,6 +29,11 @@ def op4_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return top_k.exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op5_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return personal_data.find(docs, personal_data.train(docs))
+
+
 def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     scored = toxicity.score_documents(docs, toxicity.train(docs, table(spark, sf, "labels")))
@@ -65,6 +70,7 @@ LLM_QUERIES = {
     for f in (
         op3_url_filter,
         op4_exact_top_k,
+        op5_personal_data,
         op6_toxicity,
         op7_best_fit_packing,
         op8_learned_partitions,
