@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, packing, personal_data, secret_scan, top_k, toxicity, url_filter
+from . import neighbours, packing, personal_data, secret_scan, similar, top_k, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES as LLM_ORACLES  # noqa: F401
 
@@ -65,6 +65,11 @@ def op9_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    found = similar.similarity_classes(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -75,5 +80,6 @@ LLM_QUERIES = {
         op7_best_fit_packing,
         op8_learned_partitions,
         op9_secret_scan,
+        op10_ngram_jaccard,
     )
 }
