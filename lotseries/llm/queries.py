@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, packing, personal_data, secret_scan, similar, top_k, toxicity, url_filter
+from . import neighbours, packing, personal_data, secret_scan, similar, substrings, top_k, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES as LLM_ORACLES  # noqa: F401
 
@@ -19,6 +19,12 @@ URL_RULES = [
 ]
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.find_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "first_word", "end_word", "source_id", "source_first", "source_end"
+    )
+
+
 def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf, "pages").select("page_id", "url")
@@ -73,6 +79,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 LLM_QUERIES = {
     f.__name__: f
     for f in (
+        op1_substring_dedup,
         op3_url_filter,
         op4_exact_top_k,
         op5_personal_data,
