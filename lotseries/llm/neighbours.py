@@ -216,11 +216,29 @@ def nearest_neighbours(
     query_blocks = stored(blocks_of(asked, [], QUERY_BLOCK))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The blocks of a share follow each other, so a query leaves a task with its k best there.
+        best: dict[int, list[tuple[float, int]]] = {}
+        of = None
+
+        def rows() -> pd.DataFrame:
+            found = [(q, i, -s) for q, kept in best.items() for s, i in kept]
+            return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+
         for batch in batches:
             for row in batch.itertuples(index=False):
+                if of != (row.part, row.share, row.q_block):
+                    if best:
+                        yield rows()
+                    best, of = {}, (row.part, row.share, row.q_block)
                 found, values = unpack(row.ids, row.data)
                 q_ids, q = unpack(row.q_ids, row.q_data)
-                yield pd.DataFrame(_score(found, values, q_ids, q, k), columns=["query_id", "vec_id", "score"])
-
-    pairs = meet(query_blocks, vector_blocks).select("q_ids", "q_data", "ids", "data")
+                for query, i, s in _score(found, values, q_ids, q, k):
+                    best.setdefault(query, []).append((-s, i))
+                for query, kept in best.items():
+                    if len(kept) > k:
+                        best[query] = sorted(kept)[:k]
+        if best:
+            yield rows()
+
+    pairs = meet(query_blocks, vector_blocks).select("part", "share", "q_block", "q_ids", "q_data", "ids", "data")
     return best_of(pairs.mapInPandas(search, "query_id bigint, vec_id bigint, score double"), k)

@@ -13,7 +13,9 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,39 +29,80 @@ from .common import map_batches, texts_of
 
 LIMIT = 4096
 END_ID = 1
-# Words kept with their ids by each Python worker, about 150 bytes each.
+# Words kept with their ids by a Python worker, beside those of one run of texts; about 150 bytes each.
 CACHED_WORDS = 300_000
 # Pieces of one length ranked together in one window group.
-RANK_GROUP = 50_000
+RANK_GROUP = 5_000
+
+
+def _byte_letters() -> list[str]:
+    """The character a byte-level vocabulary writes for each byte: printable ones stand for themselves."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
 class WordIds:
     """Token ids of a text as little-endian bytes, for a tokenizer that drops white space.
 
-    Such a tokenizer treats what stands between blanks on its own, so ids are kept by word.
+    Such a tokenizer treats what stands between blanks on its own, so ids are kept by word. A word of
+    letters goes straight to the tokenizer's model in lower case, which is what the tokenizer's normalizer
+    and splitter make of it; a mark behind it is a token run of its own.
+    Probe words decide whether that holds for the given file.
     """
 
+    MARKS = ",.;:!?"
+    PROBES = ["the", "Thing,", "straße", "Été.", "naïve!", "ñandú", "a", "Überung:", "слово;", "κόσμος"]
+
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.direct = True
+        self.marks = {mark: self.whole([mark])[0] for mark in self.MARKS}
+        self.direct = all(self.of_word(word) == self.whole([word])[0] for word in self.PROBES)
+        self.known.clear()
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def of_word(self, word: str) -> bytes | None:
+        """Ids of letters with at most one mark behind them, else nothing."""
+        stem, tail = (word[:-1], self.marks[word[-1]]) if word[-1:] in self.marks else (word, b"")
+        if not self.direct or not stem.isalpha():
+            return None
+        low = stem.lower()
+        if not stem.isascii():
+            if not unicodedata.is_normalized("NFC", stem) or "".join(map(str.lower, stem)) != low or len(low) != len(stem):
+                return None
+        ids = self.known.get(low)
+        if ids is None:
+            text = low if low.isascii() else "".join([self.letters[b] for b in low.encode()])
+            ids = self.known[low] = array("I", [token.id for token in self.model.tokenize(text)]).tobytes()
+        return ids + tail
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
-        fresh = list(words)
-        for first in range(0, len(fresh), 10_000):
-            part = fresh[first : first + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+        rest = []
+        for word in words:
+            ids = self.of_word(word)
+            if ids is None:
+                rest.append(word)
+            else:
+                self.known[word] = ids
+        for first in range(0, len(rest), 10_000):
+            part = rest[first : first + 10_000]
+            self.known.update(zip(part, self.whole(part)))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [text.replace("\n", " ").split(" ") for text in texts]
         asked = set().union(*split)
-        missing = asked - self.known.keys()
-        if missing:
-            self.learn(missing if len(self.known) + len(missing) <= CACHED_WORDS else asked)
+        if len(self.known) > CACHED_WORDS:
+            self.known.clear()
+        self.learn(asked - self.known.keys())
         known = self.known
         for words in split:
             yield b"".join([known[word] for word in words])

@@ -412,3 +412,49 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return linked.select(*columns, F.col("least").alias("component_id")).union(
         known.where("n_shingles = 0").select(*columns, F.col("doc_id").alias("component_id"))
     )
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, of its rows that of the smallest text.
+
+    Rows without shingles all stay. A component whose ids are all null keeps its smallest text.
+    """
+    classes = similarity_classes(docs, percent).where("n_shingles > 0").select("doc_id", "node", "component_id")
+    ids = stored(
+        classes.groupBy("doc_id").agg(
+            F.count("*").alias("rows"), F.max((F.col("doc_id") != F.col("component_id")).cast("int")).alias("away")
+        )
+    )
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    # Rows whose id is theirs alone are decided by the id.
+    decided = stored(ids.where("doc_id IS NOT NULL AND (away = 1 OR rows > 1)").select("doc_id"))
+    bounded = decided.count() <= MAX_SHIPPED
+    kept = docs.where(F.col("doc_id").isNotNull()).join(
+        F.broadcast(decided) if bounded else decided, "doc_id", "left_anti"
+    )
+    kept = kept.select(*names)
+    repeated = ids.where("doc_id IS NULL OR rows > 1").select(F.col("doc_id").alias("id"))
+    row = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
+    blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    lost = row.where(F.col("id").isNull() & blank)
+    if repeated.limit(1).count():
+        known = repeated.withColumnRenamed("id", "known")
+        rows = row.join(known, F.col("id").eqNullSafe(F.col("known")), "left_semi")
+        lost = lost.union(rows.where(F.col("id").isNotNull() & blank))
+
+        def node(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            nodes = [_node(set_of(t)) for t in texts_of(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary())], ["text", "node"])
+
+        spoken = rows.where(~blank)
+        nodes = map_batches(spoken.select("text").distinct(), node, "text string, node binary")
+        labels = classes.select("node", "component_id").distinct()
+        chosen = (
+            spoken.join(nodes, "text")
+            .join(labels, "node")
+            .where(F.col("id").eqNullSafe(F.col("component_id")))
+        )
+        # Components without any id are told apart by their sets.
+        group = F.when(F.col("id").isNull(), F.col("node"))
+        lost = lost.union(chosen.groupBy("id", group).agg(F.min_by("row", "text").alias("row"), F.min("text").alias("text")).select("row", "id", "text"))
+    return kept.union(lost.select("row.*").select(*names))

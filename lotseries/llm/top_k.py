@@ -148,5 +148,6 @@ def exact_top_k(df: DataFrame, queries: Column, k: int, ident: str = "vec_id", v
         if held is not None:
             yield held.rows()
 
-    pairs = meet(query_blocks, vector_blocks).select("share", "q_block", "q_ids", "q_data", "low", "ids", "data")
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    pairs = meet(query_blocks, vector_blocks, tasks).select("share", "q_block", "q_ids", "q_data", "low", "ids", "data")
     return best_of(pairs.mapInPandas(search, "query_id bigint, vec_id bigint, score bigint"), k)

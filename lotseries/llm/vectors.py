@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Vector blocks that share the queries sent to them.
-BLOCKS_A_SHARE = 16
+# Vectors that share the queries sent to them.
+ROWS_A_SHARE = 65_536
 
 BLOCK_SCHEMA = "part int, block bigint, norm double, ids binary, data binary"
 
@@ -73,17 +73,17 @@ def unpack(ids: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return found, np.frombuffer(data, "<f8").reshape(len(found), -1)
 
 
-def meet(query_blocks: DataFrame, vector_blocks: DataFrame) -> DataFrame:
+def meet(query_blocks: DataFrame, vector_blocks: DataFrame, tasks: int = 1) -> DataFrame:
     """Every block of queries with every block of vectors of its part, largest norms first.
 
     The blocks of a part are dealt to shares, so a part that holds many rows is searched by many
-    tasks; queries go to each share of their part.
+    tasks, by ``tasks`` at least if it has as many blocks; queries go to each share of their part.
     """
-    sizes = vector_blocks.groupBy("part").agg(F.count("*").alias("n"))
-    tasks = vector_blocks.sparkSession.sparkContext.defaultParallelism
+    sizes = vector_blocks.groupBy("part").agg(
+        F.count("*").alias("blocks"), (F.sum(F.octet_length("ids")) / (8 * ROWS_A_SHARE)).alias("full")
+    )
     shares = sizes.select(
-        "part",
-        F.greatest(F.ceil(F.col("n") / BLOCKS_A_SHARE), F.least(F.col("n"), F.lit(tasks))).cast("int").alias("shares"),
+        "part", F.greatest(F.ceil("full"), F.least("blocks", F.lit(tasks))).cast("int").alias("shares")
     )
     left = vector_blocks.join(shares, "part").withColumn(
         "share", F.pmod(F.xxhash64("block"), F.col("shares")).cast("int")
