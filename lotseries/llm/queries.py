@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, packing, personal_data, secret_scan, similar, substrings, top_k, toxicity, url_filter
+from . import neighbours, packing, personal_data, pieces, secret_scan, similar, substrings, top_k, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES as LLM_ORACLES  # noqa: F401
 
@@ -25,6 +25,12 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    file = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(table(spark, sf, "documents"), file), file)
+    return found.select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.crc32("text").alias("decoded_crc32"))
+
+
 def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf, "pages").select("page_id", "url")
@@ -80,6 +86,7 @@ LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup,
+        op2_sentencepiece,
         op3_url_filter,
         op4_exact_top_k,
         op5_personal_data,
