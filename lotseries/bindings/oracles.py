@@ -24,7 +24,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS lot_id, CAST(l_shipdate AS DATE) AS obs_dat
        max(l_extendedprice) AS nir, max(l_quantity) * 500 AS red,
        max(l_quantity) * (max(l_discount) * 5000 + 200) AS swir,
        max(l_tax) AS noise, max(l_suppkey) AS part
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'N' GROUP BY ALL"""
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
 
 VIEWS["seasons"] = """
 SELECT *, CASE WHEN month(obs_date) IN (11, 12) THEN year(obs_date) || '_' || (year(obs_date) + 1)
@@ -440,14 +440,18 @@ def _each(template: str) -> str:
 _ROUNDED_LINE = "round(slope, 6) AS slope, round(intercept, 6) AS intercept"
 
 _TRACE = """
-SELECT lot_id, CAST(CYCLE AS VARCHAR) AS cycle, CAST(0 AS INTEGER) AS chunk, CAST(0 AS INTEGER) AS part,
+SELECT lot_id, CAST(CYCLE AS VARCHAR) AS cycle, chunk,
        CAST((CASE WHEN CYCLE IS NOT NULL THEN dense_rank() OVER (PARTITION BY lot_id ORDER BY CYCLE NULLS LAST) - 1 END)
             % COLORS AS INTEGER) AS color,
-       dates, ndvi, age
-FROM (SELECT lot_id, CYCLE, string_agg(CAST(obs_date AS VARCHAR), ',' ORDER BY obs_date) AS dates,
-             string_agg(CAST(CAST(ndvi_ref AS DECIMAL(10, 4)) AS VARCHAR), ',' ORDER BY obs_date, ndvi_ref) AS ndvi,
-             string_agg(coalesce(CAST(crop_age_days AS VARCHAR), 'null'), ',' ORDER BY obs_date) AS age
-      FROM SOURCE GROUP BY ALL)"""
+       dates, ndvi, age, copies
+FROM (SELECT lot_id, CYCLE, CAST(year(obs_date) AS INTEGER) AS chunk,
+             string_agg(CAST(obs_date AS VARCHAR), ',' ORDER BY obs_date, ndvi, age NULLS FIRST) AS dates,
+             string_agg(CAST(ndvi AS VARCHAR), ',' ORDER BY obs_date, ndvi, age NULLS FIRST) AS ndvi,
+             string_agg(coalesce(CAST(age AS VARCHAR), 'null'), ',' ORDER BY obs_date, ndvi, age NULLS FIRST) AS age,
+             string_agg(CAST(copies AS VARCHAR), ',' ORDER BY obs_date, ndvi, age NULLS FIRST) AS copies
+      FROM (SELECT lot_id, CYCLE, obs_date, CAST(ndvi_ref AS DECIMAL(10, 4)) AS ndvi, crop_age_days AS age,
+                   count(*) AS copies FROM SOURCE GROUP BY ALL)
+      GROUP BY ALL)"""
 
 
 def _trace(source: str, cycle: str, colors: int) -> str:

@@ -214,7 +214,6 @@ def _flat(traces: DataFrame, cycle: str, *arrays: str) -> DataFrame:
         "lot_id",
         F.col(cycle).cast("string").alias("cycle"),
         "chunk",
-        "part",
         "color",
         *[c.alias(n) for n, c in joined.items()],
     )
@@ -222,13 +221,13 @@ def _flat(traces: DataFrame, cycle: str, *arrays: str) -> DataFrame:
 
 def history_traces(spark: SparkSession, sf: str) -> DataFrame:
     history = reports.lot_history(_cycles(spark, sf), _lot_list(spark, sf))
-    return _flat(reports.history_traces(history), "cycle_end", "dates", "ndvi", "age")
+    return _flat(reports.history_traces(history), "cycle_end", "dates", "ndvi", "age", "copies")
 
 
 def renovated_traces(spark: SparkSession, sf: str) -> DataFrame:
     rows = _stored_cycles(spark, sf)
     history = reports.renovated_history(rows, reports.renovated_harvests(rows))
-    return _flat(reports.renovated_traces(history), "harvest", "dates", "ndvi", "age")
+    return _flat(reports.renovated_traces(history), "harvest", "dates", "ndvi", "age", "copies")
 
 
 # --- cleaning, matching, calibration ----------------------------------------------------

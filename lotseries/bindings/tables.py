@@ -101,8 +101,8 @@ def reference_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scene_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index means of the line items that came back, distorted; some are out of range."""
-    returned = shipments(spark, sf_dir).where(F.col("l_returnflag") != "N")
+    """Index means of all line items, distorted; some are out of range."""
+    returned = shipments(spark, sf_dir)
     noise = F.col("noise")
     return lot_bands(returned).select(
         "lot_id",

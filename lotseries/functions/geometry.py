@@ -38,7 +38,7 @@ def to_pixel(x: Column, y: Column, t: dict[str, Column]) -> tuple[Column, Column
 def world_file(text: Column) -> Column:
     """Transform struct of a world file with the lines a, d, b, e, c, f.
 
-    Null if fewer than six numbers are given. c and f are used as the corner
+    Null if one of the first six lines is no number, or missing. c and f are used as the corner
     of the first pixel.
     """
     lines = F.filter(
@@ -47,7 +47,9 @@ def world_file(text: Column) -> Column:
     values = F.transform(lines, lambda s: s.try_cast("double"))
     order = ["a", "d", "b", "e", "c", "f"]
     at = {name: F.get(values, F.lit(i)) for i, name in enumerate(order)}
-    return F.when(F.size(values) >= 6, F.struct(*[at[n].alias(n) for n in TRANSFORM]))
+    six = F.slice(values, 1, 6)
+    good = (F.size(six) == 6) & ~F.exists(six, lambda v: v.isNull())
+    return F.when(good, F.struct(*[at[n].alias(n) for n in TRANSFORM]))
 
 
 def ring_edges(ring: Column) -> Column:

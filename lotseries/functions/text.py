@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INTEGER = r"^[+-]?\d{1,18}$"
+INTEGER = r"^[+-]?\d+$"
 NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)$"
 
 # White space as Python's str.strip() understands it.
@@ -65,6 +65,11 @@ def slug_column(names: Column) -> Column:
     return slugs(names)
 
 
+def whole_number(text: Column) -> Column:
+    """64-bit value of a cell that is a whole number of that range, else null."""
+    return F.when(text.rlike(INTEGER), text.try_cast("bigint"))
+
+
 def number(text: Column) -> Column:
     """Double value of a cell that is a number as a whole, else null."""
     return F.when(text.rlike(NUMBER), text.try_cast("double"))

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,13 +28,6 @@ VALIDATION_FACTORS = {
     "ndwi11": {"slope": 0.8970826750876867, "intercept": 0.10129756238928883},
     "msi11": {"slope": 0.7499135531008353, "intercept": 0.05783716382847559},
 }
-# Published coefficients of the fit on all years.
-FINAL_FACTORS = {
-    "ndvi": {"slope": 0.8335061263110403, "intercept": 0.005057379141489571},
-    "ndwi11": {"slope": 0.8924874302218037, "intercept": 0.10275590626693369},
-    "msi11": {"slope": 0.7452828125819251, "intercept": 0.061452947183635094},
-}
-
 
 def complete_pairs(matched: DataFrame, index: str) -> DataFrame:
     """``year, x, y`` of the rows that have both values."""
@@ -54,7 +45,7 @@ def yearly_moments(matched: DataFrame, indices: Sequence[str] = INDICES) -> Data
         lambda i: {"moments": fitting.moments(F.col(f"{i}_stac"), F.col(f"{i}_ref"))},
         indices,
         ["year"],
-    ).where("year is not null")
+    )
 
 
 def _coefficients(train: Column) -> list[Column]:
@@ -104,7 +95,7 @@ def _absolute_errors(matched: DataFrame, lines: DataFrame, indices: Sequence[str
 
 def cross_validate(matched: DataFrame, indices: Sequence[str] = INDICES) -> DataFrame:
     """Leave-one-year-out scores of the least-squares line, one row per index and year."""
-    lines = _fold_lines(yearly_moments(matched, indices))
+    lines = _fold_lines(yearly_moments(matched, indices).where("year is not null"))
     errors = _absolute_errors(matched, lines.select("index", "year", "slope", "intercept"), indices)
     return lines.join(errors, ["index", "year"]).select(
         "index",
@@ -132,7 +123,7 @@ def fit_holdout(
 ) -> DataFrame:
     """Line fitted without a year, scored on the training years and on that year."""
     is_test = F.col("year") == test_year
-    parts = yearly_moments(matched, indices).groupBy("index").agg(
+    parts = yearly_moments(matched, indices).where("year is not null").groupBy("index").agg(
         fitting.merge_moments(F.collect_list(F.when(~is_test, F.col("moments")))).alias("train"),
         fitting.merge_moments(F.collect_list(F.when(is_test, F.col("moments")))).alias("test"),
     )
@@ -165,9 +156,11 @@ def fit_holdout(
 # current line and scale, and sums them up per set. The driver then solves the (convex)
 # problem for that split, which needs the sums only. The split settles after a few passes.
 
-Line = tuple[float, float]
+Line = tuple[float | None, float | None]
 
-HUBER_MAX_PASSES = 60
+# More passes than any convergent fit takes; beyond, the fit fails rather than answer with something else.
+HUBER_MAX_PASSES = 1_000
+HUBER_LEAST_SCALE = 1e-12
 HUBER_TOLERANCE = 1e-10
 
 
@@ -222,7 +215,7 @@ def _solve_split(s: dict[str, float], scale: float) -> tuple[float, float, float
         a = (rhs_x * s["n"] - rhs_1 * s["x"]) / det
         b = (rhs_1 * xx - rhs_x * s["x"]) / det
         near = s["yy"] - 2 * a * s["xy"] - 2 * b * s["y"] + a * a * s["xx"] + 2 * a * b * s["x"] + b * b * s["n"]
-        new = (max(near, 0.0) / dof) ** 0.5
+        new = max((max(near, 0.0) / dof) ** 0.5, HUBER_LEAST_SCALE)
         if abs(new - scale) <= 1e-14 * max(new, 1e-300):
             break
         scale = new
@@ -234,6 +227,8 @@ def fit_huber_lines(
 ) -> dict[int | None, Line]:
     """Huber lines of ``x, y``, each without the rows of one year (None: with all rows).
 
+    A training set without rows has a line of nulls.
+
     ``pairs`` should be cached. Only sums come to the driver: nine numbers per
     training set and pass.
     """
@@ -246,6 +241,9 @@ def fit_huber_lines(
         .agg(fitting.merge_moments(F.collect_list("m")).alias("m"))
         .collect()
     )
+    starts = [start for start in starts if start["m"]["n"]]
+    if not starts:
+        return dict.fromkeys(left_out, (None, None))
     # shifted values keep the plain sums accurate
     x0, y0 = starts[0]["m"]["mx"], starts[0]["m"]["my"]
     shifted = pairs.withColumns({"x": F.col("x") - x0, "y": F.col("y") - y0})
@@ -261,40 +259,18 @@ def fit_huber_lines(
         for row in _split_sums(shifted, active).collect():
             key = row["left_out"]
             solved = _solve_split(row.asDict(), lines[key][2])
-            if solved is None:
-                return _fit_by_descent(pairs, left_out)
+            if solved is None:  # too few near rows at this scale
+                a, b, scale = lines[key]
+                lines[key] = active[key] = (a, b, 2 * scale)
+                continue
             moved = max(abs(p - q) for p, q in zip(solved, lines[key]))
             lines[key] = active[key] = solved
             if moved <= HUBER_TOLERANCE * max(1.0, abs(solved[0])):
                 del active[key]
         if not active:
-            return {k: (a, b + y0 - a * x0) for k, (a, b, _) in lines.items()}
-    return _fit_by_descent(pairs, left_out)
-
-
-def _fit_by_descent(
-    pairs: DataFrame, left_out: Sequence[int | None]
-) -> dict[int | None, Line]:
-    """The same lines by Spark ML, one training set at a time, if the split does not settle.
-
-    The ML objective is averaged over the rows and has half the penalty, hence
-    the factor 2 / n on the usual alpha.
-    """
-    lines = {}
-    for year in left_out:
-        chosen = pairs if year is None else pairs.where(F.col("year") != year)
-        model = LinearRegression(
-            featuresCol="features",
-            labelCol="y",
-            loss="huber",
-            epsilon=HUBER_EPSILON,
-            regParam=2 * HUBER_ALPHA / chosen.count(),
-            standardization=False,
-            maxIter=200,
-            tol=1e-9,
-        ).fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(chosen))
-        lines[year] = (float(model.coefficients[0]), float(model.intercept))
-    return lines
+            fitted = {k: (a, b + y0 - a * x0) for k, (a, b, _) in lines.items()}
+            return {k: fitted.get(k, (None, None)) for k in left_out}
+    raise ArithmeticError(f"robust fit without {sorted(active, key=str)} has not settled")
 
 
 def _score(pairs: DataFrame, by: Column, a: Column, b: Column) -> DataFrame:
@@ -333,7 +309,7 @@ def cross_validate_huber(matched: DataFrame, index: str, years: Sequence[int]) -
     lines = _fit_each(pairs, list(years))
 
     def coefficient(k: int) -> Column:
-        by_year = F.create_map(*[F.lit(v) for y in years for v in (y, lines[y][k])])
+        by_year = F.create_map(*[v for y in years for v in (F.lit(y), F.lit(lines[y][k]).cast("double"))])
         return F.element_at(by_year, F.col("part"))
 
     scores = _score(pairs, F.col("year").cast("int"), coefficient(0), coefficient(1))
@@ -353,15 +329,15 @@ def fit_holdout_huber(matched: DataFrame, index: str, test_year: int) -> DataFra
     pairs = complete_pairs(matched, index).where("year is not null")
     is_test = F.col("year") == test_year
     line = _fit_each(pairs, [test_year])[test_year]
-    scores = _score(pairs, is_test.cast("int"), F.lit(line[0]), F.lit(line[1]))
+    scores = _score(pairs, is_test.cast("int"), F.lit(line[0]).cast("double"), F.lit(line[1]).cast("double"))
 
     def of(part: int, name: str) -> Column:
         return F.max(F.when(F.col("part") == part, F.col(name)))
 
     return scores.agg(
         F.lit(index).alias("index"),
-        F.lit(line[0]).alias("slope"),
-        F.lit(line[1]).alias("intercept"),
+        F.lit(line[0]).cast("double").alias("slope"),
+        F.lit(line[1]).cast("double").alias("intercept"),
         *[
             of(part, name).alias(f"{label}_{name}")
             for part, label in ((0, "train"), (1, "test"))
@@ -375,8 +351,8 @@ def fit_final_huber(matched: DataFrame, index: str) -> DataFrame:
     line = _fit_each(complete_pairs(matched, index), [None])[None]
     return matched.sparkSession.range(1).select(
         F.lit(index).alias("index"),
-        F.lit(line[0]).alias("slope"),
-        F.lit(line[1]).alias("intercept"),
+        F.lit(line[0]).cast("double").alias("slope"),
+        F.lit(line[1]).cast("double").alias("intercept"),
     )
 
 

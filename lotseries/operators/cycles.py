@@ -106,6 +106,22 @@ def with_age_and_gap(days: DataFrame) -> DataFrame:
     )
 
 
+def with_repaired_age_and_gap(days: DataFrame) -> DataFrame:
+    """The same from stored cycle ends in any order: the previous end is the lot's next smaller one,
+    and for rows without an end the lot's largest."""
+    by_end = W.partitionBy("lot_id").orderBy(F.unix_date("cycle_end")).rangeBetween(W.unboundedPreceding, -1)
+    largest = F.max("cycle_end").over(W.partitionBy("lot_id"))
+    previous = F.when(F.col("cycle_end").isNull(), largest).otherwise(F.max("cycle_end").over(by_end))
+    gap = F.coalesce(F.date_diff("cycle_end", "previous_end") > MAX_CYCLE_GAP_DAYS, F.lit(False))
+    age = F.when(~F.col("data_gap"), F.date_diff("obs_date", "previous_end"))
+    return (
+        days.withColumn("previous_end", previous)
+        .withColumn("data_gap", gap)
+        .withColumn("crop_age_days", age)
+        .drop("previous_end")
+    )
+
+
 def with_renovation_events(days: DataFrame) -> DataFrame:
     """Mark renovation days among the open days of a lot, and number their events.
 
@@ -186,9 +202,10 @@ def attach(master: DataFrame, days: DataFrame, columns: Sequence[str]) -> DataFr
 
     The key is (lot, day), so a hot lot spreads over its days.
     """
-    narrow = days.select(*DAY_KEY, *columns)
+    narrow = days.select(F.col("lot_id").alias("_lot"), F.col("obs_date").alias("_day"), *columns)
     kept = master.drop(*columns)
-    joined = kept.join(narrow, DAY_KEY, "left")
+    same = (F.col("lot_id") == F.col("_lot")) & (F.col("obs_date").cast("date") == F.col("_day"))
+    joined = kept.join(narrow, same, "left").drop("_lot", "_day")
     flags = [c for c in columns if c in ("data_gap", "valid_cycle")]
     return joined.fillna(False, flags) if flags else joined
 
@@ -210,5 +227,5 @@ def recompute_cycles(master: DataFrame) -> DataFrame:
         .groupBy("lot_id", F.col("obs_date").cast("date").alias("obs_date"))
         .agg(F.count("*").alias("row_count"), F.max("cycle_end").alias("cycle_end"))
     )
-    fixed = with_valid_cycle(with_age_and_gap(days))
+    fixed = with_valid_cycle(with_repaired_age_and_gap(days))
     return attach(master, fixed, ["crop_age_days", "data_gap", "valid_cycle"])

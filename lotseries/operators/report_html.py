@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotseries.functions.text import INTEGER, html_cells, html_rows, number, slug
+from lotseries.functions.text import html_cells, html_rows, number, slug, whole_number
 from lotseries.sources.stored import stored
 
 # Non-empty cells that make a row the header.
@@ -24,7 +24,8 @@ POSITION = ["file", "block", "line", "pos"]
 def read_report_rows(spark: SparkSession, path: str) -> DataFrame:
     """Cells of every row with any content of the reports at a path, with its position.
 
-    A file that writes ``</TR>`` stays whole in one piece; its rows are found all the same.
+    A file that writes ``</TR>`` stays whole in one piece; its rows are found all the same. What
+    follows the last closing tag of a file is no row.
     """
     pieces = (
         spark.read.option("lineSep", "</tr>")
@@ -33,11 +34,24 @@ def read_report_rows(spark: SparkSession, path: str) -> DataFrame:
             "value",
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
+            F.col("_metadata.file_size").alias("size"),
         )
         .withColumn("line", F.monotonically_increasing_id())
     )
-    whole = F.concat("value", F.lit("</tr>"))
-    rows = pieces.select("file", "block", "line", F.posexplode(html_rows(whole)).alias("pos", "row"))
+    # A file whose pieces and closing tags add up to more than its size does not end in one.
+    open_ends = (
+        pieces.groupBy("file")
+        .agg(
+            F.max(F.struct("block", "line")).alias("last"),
+            F.sum(F.octet_length("value") + F.lit(len("</tr>"))).alias("closed"),
+            F.max("size").alias("size"),
+        )
+        .where("closed > size")
+        .select("file", "last.block", "last.line", F.lit(True).alias("is_open"))
+    )
+    marked = pieces.join(open_ends, ["file", "block", "line"], "left")
+    whole = F.concat("value", F.when(F.col("is_open"), F.lit("")).otherwise(F.lit("</tr>")))
+    rows = marked.select("file", "block", "line", F.posexplode(html_rows(whole)).alias("pos", "row"))
     return rows.select(*POSITION, filled_rows(F.col("row")).alias("cells"))
 
 
@@ -109,7 +123,7 @@ def column_types(table: DataFrame, names: Sequence[str]) -> DataFrame:
             F.lit(n).alias("name"),
             F.when(F.count(n) != F.count(number(F.col(n))), "string")
             .when(
-                (F.count(F.when(F.col(n).rlike(INTEGER), 1)) == F.count("*")) & (F.count("*") > 0),
+                (F.count(whole_number(F.col(n))) == F.count("*")) & (F.count("*") > 0),
                 "bigint",
             )
             .otherwise("double")

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from lotseries.operators.cycles import RENOVATION_MIN_AGE, RENOVATION_NDVI
 from lotseries.operators.sampling import sample_groups
-from lotseries.sources.stored import stored
 
 # Age limit of the renovation report, cycles a growth curve lot must have.
 REPORT_MIN_AGE = 300
@@ -23,8 +22,6 @@ SAMPLE_SEED = 42
 HISTORY_COLORS = 15
 CURVE_COLORS = 10
 
-TRACE_CHUNK = 10_000
-
 
 def ml_dataset(master: DataFrame) -> DataFrame:
     """Rows of valid cycles that have a yield."""
@@ -195,75 +192,40 @@ def values_at_events(history: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def cycle_colors(points: DataFrame, cycle: str, colors: int) -> DataFrame:
-    """Palette position of every cycle of a lot: rank of the cycle modulo the palette size."""
-    cycles = points.where(F.col(cycle).isNotNull()).select("lot_id", cycle).distinct()
-    rank = F.row_number().over(W.partitionBy("lot_id").orderBy(cycle)) - 1
-    return cycles.withColumn("color", rank % colors)
-
-
 def cycle_traces(
     points: DataFrame,
     cycle: str,
     order: str,
     series: dict[str, Column],
+    chunk: Column,
     colors: int = CURVE_COLORS,
     keep_open: bool = False,
-    chunk: int = TRACE_CHUNK,
 ) -> DataFrame:
-    """Parallel arrays per lot and cycle, sorted by ``order``.
-
-    A trace longer than ``chunk`` points continues in further rows with a higher
-    ``chunk`` number (then ``part``, for a single day that is longer still), so
-    no array grows without bound. Equal points are counted before they travel,
-    and the counted points are stored, since sizes and palette read them again.
-    With ``keep_open`` the points without a cycle form one more trace, whose
-    color is null.
+    """Parallel arrays per lot, cycle and ``chunk`` (the calendar year, or the year of age), sorted by ``order``.
+
+    Equal points are one entry of the arrays, with their number in ``copies``, so an array holds the
+    different points of one year. ``color`` is the rank of the cycle among the lot's, modulo the palette size.
+    With ``keep_open`` the points without a cycle form one more trace, whose color is null.
     """
     names = list(series)
     rows = points if keep_open else points.where(F.col(cycle).isNotNull())
     named = [c.alias(n) for n, c in series.items()]
-    counted = stored(
-        rows.select("lot_id", cycle, F.col(order).alias("_at"), *named)
-        .groupBy("lot_id", cycle, "_at", *names)
-        .agg(F.count("*").alias("_copies"))
-    )
-    # equal points in runs of at most a chunk
-    runs = counted.withColumn(
-        "_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / chunk)))
-    ).withColumn(
-        "_copies", F.least(F.lit(chunk), F.col("_copies") - F.col("_run") * chunk).cast("int")
-    )
-    key = ["lot_id", cycle, "_at"]
-    # one row per lot, cycle and day: as many as the calendar allows
-    sizes = runs.groupBy(*key).agg(F.sum("_copies").alias("_size"))
-    so_far = W.partitionBy("lot_id", cycle).orderBy("_at").rowsBetween(
-        W.unboundedPreceding, W.currentRow
-    )
-    starts = F.sum("_size").over(so_far) - F.col("_size")
-    slots = sizes.select(
-        *[F.col(k).alias(f"{k}__") for k in key],
-        F.floor(starts / chunk).cast("int").alias("chunk"),
-        F.ceil(F.col("_size") / chunk).alias("_parts"),
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"{k}__")) for k in key]
-    placed = runs.join(slots, same[0] & same[1] & same[2]).withColumn(
-        "part", F.pmod(F.xxhash64(*names, "_run"), F.col("_parts")).cast("int")
+    counted = (
+        rows.select("lot_id", cycle, chunk.cast("int").alias("chunk"), F.col(order).alias("_at"), *named)
+        .groupBy("lot_id", cycle, "chunk", "_at", *names)
+        .agg(F.count("*").cast("int").alias("copies"))
     )
-    point = F.struct("_at", *names, "_copies")
-    traces = placed.groupBy("lot_id", cycle, "chunk", "part").agg(
-        F.sort_array(F.collect_list(point)).alias("_points")
+    traces = counted.groupBy("lot_id", cycle, "chunk").agg(
+        F.sort_array(F.collect_list(F.struct("_at", *names, "copies"))).alias("_points")
     )
-    flat = F.flatten(F.transform("_points", lambda p: F.array_repeat(p, p["_copies"])))
-    arrays = traces.withColumn("_points", flat).select(
+    rank = F.dense_rank().over(W.partitionBy("lot_id").orderBy(F.col(cycle).asc_nulls_last())) - 1
+    return traces.select(
         "lot_id",
         cycle,
         "chunk",
-        "part",
-        *[F.col(f"_points.{n}").alias(n) for n in names],
+        *[F.col(f"_points.{n}").alias(n) for n in (*names, "copies")],
+        F.when(F.col(cycle).isNotNull(), rank % colors).alias("color"),
     )
-    palette = cycle_colors(counted, cycle, colors)
-    return arrays.join(palette, ["lot_id", cycle], "left")
 
 
 def history_traces(history: DataFrame) -> DataFrame:
@@ -273,7 +235,7 @@ def history_traces(history: DataFrame) -> DataFrame:
         "ndvi": F.round("ndvi_ref", 4),
         "age": F.col("crop_age_days"),
     }
-    return cycle_traces(history, "cycle_end", "obs_date", series, HISTORY_COLORS, keep_open=True)
+    return cycle_traces(history, "cycle_end", "obs_date", series, F.year("obs_date"), HISTORY_COLORS, True)
 
 
 def growth_traces(curves: DataFrame) -> DataFrame:
@@ -285,7 +247,7 @@ def growth_traces(curves: DataFrame) -> DataFrame:
         "dates": F.col("obs_date").cast("string"),
         "images": F.col("image_id"),
     }
-    return cycle_traces(curves, "harvest", "crop_age_days", series)
+    return cycle_traces(curves, "harvest", "crop_age_days", series, F.floor(F.col("crop_age_days") / 365))
 
 
 def renovated_traces(history: DataFrame) -> DataFrame:
@@ -295,10 +257,10 @@ def renovated_traces(history: DataFrame) -> DataFrame:
         "age": F.col("crop_age_days"),
         "ndvi": F.round("ndvi_ref", 4),
     }
-    return cycle_traces(history, "harvest", "obs_date", series)
+    return cycle_traces(history, "harvest", "obs_date", series, F.year("obs_date"))
 
 
 def traces_json(traces: DataFrame, cycle: str, without: Sequence[str] = ()) -> DataFrame:
     """One JSON text per trace row."""
     body = [c for c in traces.columns if c not in ("lot_id", *without)]
-    return traces.select("lot_id", cycle, "chunk", "part", F.to_json(F.struct(*body)).alias("trace"))
+    return traces.select("lot_id", cycle, "chunk", F.to_json(F.struct(*body)).alias("trace"))

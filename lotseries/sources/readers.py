@@ -34,9 +34,10 @@ def folder_year(path: Column) -> Column:
 def read_reference(spark: SparkSession, root: str, years: Sequence[int] | None = None) -> DataFrame:
     """Index means of the reference source; ``year`` is that of the folder, not of the date.
 
-    Files lie at ``root/{year}/*.parquet``; with ``years`` other folders are not listed.
+    Files lie at ``root/{year}/*.parquet`` or ``root/year={year}/*.parquet``; with ``years`` other
+    folders are not listed.
     """
-    folders = [f"{root}/{y}" for y in years] if years else [f"{root}/*"]
+    folders = [f"{root}/{{{y},year={y}}}" for y in years] if years else [f"{root}/*"]
     df = _index_means(spark.read.parquet(*[f"{folder}/*.parquet" for folder in folders]))
     return df.withColumn("year", folder_year(F.col("_path"))).drop("_path")
 

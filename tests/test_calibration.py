@@ -109,9 +109,18 @@ def test_robust_fits_and_scores(matched, data):
     assert h.train_n + h.test_n == len(pairs(data, "msi11")[0])
 
 
-def test_the_fallback_gives_the_same_line(matched, data):
-    line = cal._fit_by_descent(cal.complete_pairs(matched, "msi11"), [None])[None]
-    assert np.allclose(line, huber_by_weights(*pairs(data, "msi11")), atol=1e-4)
+def test_robust_fits_of_nothing_are_null(matched):
+    none = matched.where("year is null")
+    assert cal.fit_final_huber(none, "msi11").first()[1:] == (None, None)
+    rows = {r.year: r.slope for r in cal.cross_validate_huber(matched, "msi11", [2020, 2021, 2090]).collect()}
+    assert rows[2020] is not None and 2090 not in rows
+
+
+def test_rows_without_a_year_count_in_the_final_fit(spark):
+    rows = [("l", date(2020, 1, 1), "i", y, float(k), v * k) for k, (y, v) in enumerate([(2020, 1.5)] * 3 + [(None, 9.0)] * 3)]
+    df = spark.createDataFrame(rows, "lot_id string, obs_date date, image_id string, year int, ndvi_stac double, ndvi_ref double")
+    x, y = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
+    assert np.isclose(cal.fit_final(df, ["ndvi"]).first().slope, np.polyfit(x, y, 1)[0])
 
 
 def test_an_exact_line_is_found(spark):

@@ -106,28 +106,20 @@ def test_traces_are_sorted_colored_and_keep_open_points(spark):
 
 
 def test_colors_wrap_around(spark):
-    df = frame(spark, [row("a", 1, harvest=f"h{k:02}") for k in range(12)])
-    colors = {r.harvest: r.color for r in rp.cycle_colors(df, "harvest", 10).collect()}
+    df = frame(spark, [row("a", 1, harvest=f"h{k:02}", age=k) for k in range(12)])
+    colors = {r.harvest: r.color for r in rp.growth_traces(df).collect()}
     assert colors["h09"] == 9 and colors["h10"] == 0
 
 
-def test_a_long_trace_is_cut_into_chunks_without_losing_points(spark):
-    rows = [row("a", n, ndvi=n / 1000, age=n) for n in range(50)]
-    rows += [row("a", 60, ndvi=k / 1000, age=60) for k in range(90)]  # one long day
-    rows += [row("a", 70, ndvi=0.7, age=70)] * 95 + [row("a", 80, ndvi=0.8, age=80)]  # equal points
-    df = frame(spark, rows)
+def test_a_trace_row_holds_a_calendar_year_and_counts_equal_points(spark):
+    rows = [row("a", n, ndvi=n / 1000, age=n) for n in range(500)]
+    df = frame(spark, rows).union(frame(spark, [row("a", 7, ndvi=0.7, age=7)]).crossJoin(spark.range(100_000)).drop("id"))
     series = {"dates": F.col("obs_date").cast("string"), "ndvi": F.col("ndvi_ref")}
-    parts = rp.cycle_traces(df, "cycle_end", "obs_date", series, chunk=20).collect()
-    assert max(len(r.ndvi) for r in parts) <= 60
-    points = [p for r in parts for p in zip(r.dates, r.ndvi)]
-    assert sorted(points) == sorted((str(r[1]), r[5]) for r in rows)
-    ordered = sorted(parts, key=lambda r: (r.chunk, r.part))
-    days = [d for r in ordered for d in r.dates]
-    chunks = {}
-    for r in ordered:
-        chunks.setdefault(r.chunk, []).extend(r.dates)
-    spans = [(min(v), max(v)) for _, v in sorted(chunks.items())]
-    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])) and len(days) == len(rows)
+    parts = rp.cycle_traces(df, "cycle_end", "obs_date", series, F.year("obs_date"), keep_open=True).collect()
+    assert all({int(d[:4]) for d in r.dates} == {r.chunk} for r in parts) and len(parts) > 1
+    points = {p[:2]: p[2] for r in parts for p in zip(r.dates, r.ndvi, r.copies)}
+    assert len(points) == 501 and sorted(points.values())[-2:] == [1, 100_000]
+    assert all(list(r.dates) == sorted(r.dates) for r in parts)
 
 
 def test_other_feeds(spark):

@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 
-from lotseries.operators.calibrate import FINAL_FACTORS, VALIDATION_FACTORS
+from lotseries.operators.calibrate import VALIDATION_FACTORS
 from lotseries.schema import INDICES, OBSERVATION_COLUMNS, YIELD_COLUMNS
 from lotseries.sources import readers, writers
 from lotseries.sources.stored import stored
@@ -13,6 +13,14 @@ from lotseries.sources.stored import stored
 OLD = "lote string, fecha string, imagen_id string, ndvi_promedio double, ndvi_max double, ndwi11_promedio double, msi11_promedio double"
 
 
+# Published coefficients of the fit on all years.
+FINAL_FACTORS = {
+    "ndvi": {"slope": 0.8335061263110403, "intercept": 0.005057379141489571},
+    "ndwi11": {"slope": 0.8924874302218037, "intercept": 0.10275590626693369},
+    "msi11": {"slope": 0.7452828125819251, "intercept": 0.061452947183635094},
+}
+
+
 def test_reference_year_is_the_folder_and_scene_year_the_date(spark, tmp_path, plan):
     for folder, lot in (("2020", "a"), ("2021", "b"), ("notes", "c")):
         df = spark.createDataFrame([(lot, "2021-01-05", "i", 0.1, 0.9, 0.2, 0.3)], OLD)
