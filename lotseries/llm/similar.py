@@ -39,9 +39,12 @@ STAR_KEYS = 4
 MOST_MATCHES = 4
 # List entries of one shingle that meet in one group.
 LIST_BLOCK = 20_000
+MOST_BLOCKS = 32_768
 # Candidate nodes whose keys are shipped to the readers of the texts (16 bytes each); beyond, they meet in a join.
 MAX_SHIPPED = 4_000_000
 
+ENTRY = ["token", "cell", "id", "component", "n", "place", "flags"]
+
 
 def set_of(text: str) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(text)))
@@ -244,132 +247,123 @@ def _stars(packed: DataFrame) -> DataFrame:
 
 
 def _entries(packed: DataFrame, labels: DataFrame, frequencies, percent: int) -> DataFrame:
-    """List entries: one per prefix shingle, or one per pair of blocks where a list is long."""
+    """List entries: one per prefix shingle, or one per pair of blocks where a list is long.
+
+    Nodes and components are named by their first 8 bytes here. ``cell`` has the two blocks that meet,
+    ``flags`` twice the matches wanted, plus one if the entry is of the higher block.
+    """
+    name = lambda c: F.conv(F.hex(F.substring(c, 1, 8)), 16, -10).cast("bigint")
     rows = packed.join(labels, "node", "left").select(
-        "node", "n", "wanted", "prefix", F.coalesce("component", "node").alias("component")
+        name(F.col("node")).alias("id"),
+        name(F.coalesce("component", "node")).alias("component"),
+        F.col("n").cast("int").alias("n"),
+        "wanted",
+        "prefix",
     )
 
     def spread(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         f: Frequencies = frequencies.value
-        n = batch.column(1).to_numpy()
-        tokens = [np.frombuffer(x, np.uint64) for x in batch.column(3).to_pylist()]
+        ids, labels, n, wanted = (batch.column(i).to_numpy() for i in range(4))
+        tokens = [np.frombuffer(x, np.uint64) for x in batch.column(4).to_pylist()]
         if not tokens:
             return
-        owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
-        place = np.concatenate([np.arange(len(t)) for t in tokens])
+        sizes = [len(t) for t in tokens]
+        owner = np.repeat(np.arange(len(tokens)), sizes)
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         token = np.concatenate(tokens)
-        blocks = np.ceil(f.lists(token) / LIST_BLOCK).astype(np.int64).clip(min=1)
-        own = np.array([int.from_bytes(bytes(x[:4]), "little") for x in batch.column(0).to_pylist()], np.int64)[owner] % blocks
+        blocks = np.ceil(f.lists(token) / LIST_BLOCK).astype(np.int64).clip(1, MOST_BLOCKS)
+        own = mixed(ids.view(np.uint64))[owner] % blocks.astype(np.uint64)
         again = np.repeat(np.arange(len(token)), blocks)
         other = np.arange(len(again)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        low, high = np.minimum(own[again], other), np.maximum(own[again], other)
-        owner, place, own, token = owner[again], place[again], own[again], token[again]
-        free = n - (-(-percent * n // 100))
-        level = np.maximum(1, place + 1 - free[owner])
-        for first in range(0, len(owner), 100_000):
-            part = slice(first, first + 100_000)
-            take = pa.array(owner[part])
+        own = own.astype(np.int64)[again]
+        cell = np.minimum(own, other) * MOST_BLOCKS + np.maximum(own, other)
+        owner, place, token = owner[again], place[again], token[again]
+        flags = 2 * wanted[owner] + (own > other)
+        for first in range(0, len(owner), 200_000):
+            part = slice(first, first + 200_000)
+            o = owner[part]
+            columns = [token[part].view(np.int64), cell[part], ids[o], labels[o], n[o], place[part], flags[part]]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(token[part].view(np.int64)),
-                    pa.array(low[part].astype(np.int32)),
-                    pa.array(high[part].astype(np.int32)),
-                    pa.array(own[part].astype(np.int32)),
-                    batch.column(0).take(take),
-                    batch.column(4).take(take),
-                    pa.array(n[owner[part]].astype(np.int32)),
-                    batch.column(2).take(take),
-                    pa.array(place[part].astype(np.int32)),
-                    pa.array(level[part].astype(np.int32)),
-                ],
-                ["token", "low", "high", "own", "node", "component", "n", "wanted", "place", "level"],
+                [pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds)], ENTRY
             )
 
-    return map_batches(
-        rows,
-        spread,
-        "token bigint, low int, high int, own int, node binary, component binary, n int, wanted int, place int, level int",
-    )
+    schema = "token bigint, cell int, id bigint, component bigint, n int, place int, flags int"
+    return map_batches(rows, spread, schema)
 
 
-def _meet(group: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of one list (or pair of blocks) that pass the length, position and level bounds."""
+def _meet(group: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of one list, or of two blocks of it, that pass the length, prefix and position bounds.
+
+    Of a linking pair the first ``l`` shared shingles lie in both ``l``-prefixes, and the ``i``-th leaves at most
+    as many behind it as the shorter rest holds, so none of them leaves fewer than needed less ``l - 1``.
+    """
     order = np.argsort(group["n"], kind="stable")
     g = {k: v[order] for k, v in group.items()}
     n = g["n"].astype(np.int64)
+    place = g["place"].astype(np.int64)
+    wanted, high = g["flags"] // 2, g["flags"] % 2
+    level = np.maximum(1, place + 1 - (n - (-(-percent * n // 100))))
     ends = np.searchsorted(n, 100 * n // percent, side="right")
-    across = g["low"][0] != g["high"][0]
-    for i in range(len(n)):
-        j = np.arange(i + 1, ends[i])
-        if not len(j):
-            continue
-        wanted = np.minimum(g["wanted"][i], g["wanted"][j])
-        good = (g["component"][j] != g["component"][i]) & (np.maximum(g["level"][i], g["level"][j]) <= wanted)
+    across = g["cell"][0] // MOST_BLOCKS != g["cell"][0] % MOST_BLOCKS
+    found: list[tuple] = []
+    for i in range(len(n) - 1):
+        j = slice(i + 1, ends[i])
+        both = np.minimum(wanted[i], wanted[j])
+        good = (g["component"][j] != g["component"][i]) & (np.maximum(level[i], level[j]) <= both)
         if across:
-            good &= g["own"][j] != g["own"][i]
-        before = np.minimum(g["place"][i], g["place"][j])
-        after = np.minimum(n[i] - g["place"][i], n[j] - g["place"][j])
-        good &= before + after >= needed(n[i], n[j], percent)
-        j = j[good]
-        if len(j):
-            yield np.full(len(j), i), j, wanted[good]
-    del order
+            good &= high[j] != high[i]
+        after = np.minimum(n[i] - place[i], n[j] - place[j])
+        good &= after >= needed(n[i], n[j], percent) - both + 1
+        k = np.flatnonzero(good)
+        if len(k):
+            found.append((np.full(len(k), g["id"][i]), g["id"][j][k], both[k]))
+    if not found:
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(map(np.concatenate, zip(*found)))
 
 
 def _candidates(entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components with as many shared prefix shingles as both ask for."""
-    names = ["token", "low", "high", "own", "node", "component", "n", "wanted", "place", "level"]
-    dealt = entries.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+    """Pairs ``a, b`` of different components with as many shared prefix shingles as both ask for."""
+    dealt = entries.repartition("token", "cell").sortWithinPartitions("token", "cell")
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def made(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            columns = {c: table.column(c).to_numpy() for c in names if c not in ("node", "component")}
-            starts = np.flatnonzero(
-                np.r_[True, np.any([np.diff(columns[c]) != 0 for c in ("token", "low", "high")], axis=0)]
-            )
-            sizes = np.diff(np.r_[starts, table.num_rows])
-            starts, sizes = starts[sizes > 1], sizes[sizes > 1]
-            if not len(starts):
-                return
-            label = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
-            for first, size in zip(starts.tolist(), sizes.tolist()):
-                part = slice(first, first + size)
-                if (label[part] == label[first]).all():
-                    continue
-                group = {c: v[part] for c, v in columns.items()} | {"component": label[part]}
-                rows = np.argsort(group["n"], kind="stable") + first
-                node = table.column("node").take(pa.array(rows)).combine_chunks()
-                for i, j, wanted in _meet(group, percent):
-                    yield pa.RecordBatch.from_arrays(
-                        [node.take(pa.array(i)), node.take(pa.array(j)), pa.array(wanted.astype(np.int32))],
-                        ["a", "b", "wanted"],
-                    )
-
-        def key(batch: pa.RecordBatch, i: int) -> tuple:
-            return tuple(batch.column(c)[i].as_py() for c in range(3))
+        held: list[dict[str, np.ndarray]] = []
+
+        def made(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+            token, cell, label = columns["token"], columns["cell"], columns["component"]
+            starts = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (cell[1:] != cell[:-1])])
+            sizes = np.diff(np.r_[starts, len(token)])
+            # Lists of one component hold no pair to be looked for.
+            mixed_up = np.minimum.reduceat(label, starts) != np.maximum.reduceat(label, starts)
+            pairs = []
+            for first, size in zip(starts[mixed_up].tolist(), sizes[mixed_up].tolist()):
+                pairs.append(_meet({c: v[first : first + size] for c, v in columns.items()}, percent))
+            if pairs:
+                a, b, wanted = map(np.concatenate, zip(*pairs))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(b), pa.array(wanted.astype(np.int32))], ["a", "b", "wanted"]
+                )
+
+        def joined() -> dict[str, np.ndarray]:
+            return {c: np.concatenate([h[c] for h in held]) for c in ENTRY}
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(batch)
-            if key(batch, 0) == key(batch, batch.num_rows - 1):
+            held.append({c: batch.column(i).to_numpy() for i, c in enumerate(ENTRY)})
+            last = held[-1]
+            same = (last["token"] == last["token"][-1]) & (last["cell"] == last["cell"][-1])
+            if same.all():
                 continue  # the list may go on
-            last = key(batch, batch.num_rows - 1)
-            tail = batch.num_rows - 1
-            step = 1
-            while tail - step >= 0 and key(batch, tail - step) == last:
-                tail, step = tail - step, step * 2
-            while tail > 0 and key(batch, tail - 1) == last:
-                tail -= 1
-            held[-1] = batch.slice(0, tail)
-            yield from made(pa.Table.from_batches(held))
-            held = [batch.slice(tail)]
+            tail = int(np.flatnonzero(~same)[-1]) + 1
+            held[-1] = {c: v[:tail] for c, v in last.items()}
+            yield from made(joined())
+            held = [{c: v[tail:] for c, v in last.items()}]
         if held:
-            yield from made(pa.Table.from_batches(held))
+            yield from made(joined())
 
-    pairs = dealt.mapInArrow(over, "a binary, b binary, wanted int")
+    pairs = dealt.mapInArrow(over, "a bigint, b bigint, wanted int")
     return (
         pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "wanted")
         .groupBy("a", "b")
@@ -397,7 +391,13 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = _verified(docs, near, percent)
     release(near)
     labels = stored(components(links))
-    candidates = stored(_candidates(_entries(packed, labels, frequencies, percent), percent))
+    candidates = _candidates(_entries(packed, labels, frequencies, percent), percent)
+    named = packed.select("node", F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("bigint").alias("id"))
+    candidates = stored(
+        candidates.join(named.select(F.col("id").alias("a"), F.col("node").alias("x")), "a")
+        .join(named.select(F.col("id").alias("b"), F.col("node").alias("y")), "b")
+        .select(F.col("x").alias("a"), F.col("y").alias("b"))
+    )
     release(packed, labels)
     more = _verified(docs, candidates, percent)
     release(candidates)
