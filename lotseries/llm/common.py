@@ -31,6 +31,7 @@ def map_batches(
         for batch in batches:
             for run in _runs(batch):
                 yield from function(run)
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     return df.mapInArrow(over, schema)
 
