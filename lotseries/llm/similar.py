@@ -374,9 +374,9 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, node, component_id`` for every row of ``docs``.
+    """``doc_id, n_shingles, node, component, component_id`` for every row of ``docs``.
 
-    ``node`` is equal for equal sets; ``component_id`` is the smallest id reachable by links.
+    ``node`` is equal for equal sets, ``component`` in all of a component; ``component_id`` is the smallest id reachable by links.
     """
     spark = docs.sparkSession
     surveyed = stored(_survey(docs), "kind")
@@ -408,7 +408,7 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     release(links, more, surveyed)
     least = known.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     linked = known.where("n_shingles > 0").join(least, "component")
-    columns = ["doc_id", "n_shingles", "node"]
+    columns = ["doc_id", "n_shingles", "node", "component"]
     return linked.select(*columns, F.col("least").alias("component_id")).union(
         known.where("n_shingles = 0").select(*columns, F.col("doc_id").alias("component_id"))
     )
@@ -419,7 +419,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows without shingles all stay. A component whose ids are all null keeps its smallest text.
     """
-    classes = similarity_classes(docs, percent).where("n_shingles > 0").select("doc_id", "node", "component_id")
+    classes = similarity_classes(docs, percent).where("n_shingles > 0").select("doc_id", "node", "component", "component_id")
     ids = stored(
         classes.groupBy("doc_id").agg(
             F.count("*").alias("rows"), F.max((F.col("doc_id") != F.col("component_id")).cast("int")).alias("away")
@@ -448,13 +448,16 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
         spoken = rows.where(~blank)
         nodes = map_batches(spoken.select("text").distinct(), node, "text string, node binary")
-        labels = classes.select("node", "component_id").distinct()
+        labels = classes.select("node", "component", "component_id").distinct()
         chosen = (
             spoken.join(nodes, "text")
             .join(labels, "node")
             .where(F.col("id").eqNullSafe(F.col("component_id")))
         )
-        # Components without any id are told apart by their sets.
-        group = F.when(F.col("id").isNull(), F.col("node"))
-        lost = lost.union(chosen.groupBy("id", group).agg(F.min_by("row", "text").alias("row"), F.min("text").alias("text")).select("row", "id", "text"))
+        # Components can share their smallest id, or have none.
+        lost = lost.union(
+            chosen.groupBy("id", "component")
+            .agg(F.min_by("row", "text").alias("row"), F.min("text").alias("text"))
+            .select("row", "id", "text")
+        )
     return kept.union(lost.select("row.*").select(*names))

@@ -116,7 +116,7 @@ def exact_top_k(df: DataFrame, queries: Column, k: int, ident: str = "vec_id", v
 
     top = whole.orderBy(F.desc("norm"), "vec_id").limit(FIRST).select("vec_id", "v").collect()
     top_ids = np.array([row.vec_id for row in top], np.int64)
-    top_values = np.array([row.v for row in top]).reshape(len(top), -1)
+    top_values = np.array([row.v for row in top]).reshape(len(top), len(turn))
 
     def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
