@@ -99,7 +99,8 @@ def meet(query_blocks: DataFrame, vector_blocks: DataFrame, tasks: int = 1) -> D
         .join(shares, "part")
         .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
     )
-    pairs = right.drop("shares").join(left.drop("shares", "block"), ["part", "share"])
+    # Shuffled even if small: then a query meets all blocks of a share in one task and leaves its best there once.
+    pairs = right.drop("shares").join(left.drop("shares", "block").hint("merge"), ["part", "share"])
     return pairs.sortWithinPartitions("part", "share", "q_block", F.desc("norm"))
 
 
