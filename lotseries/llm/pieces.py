@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import functools
 import heapq
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,11 +38,13 @@ BLANK = "▁"
 # Units in the broadcast table; with units of at most LONGEST_SHIPPED characters its size is bounded.
 MAX_SHIPPED = 150_000
 LONGEST_SHIPPED = 32
+# Words a worker remembers.
+MOST_KEPT = 200_000
 # Added to the least score for a character that is no piece.
 UNKNOWN_PENALTY = 10.0
 
 _UNITS = regex.compile(r"▁*(?:[\p{L}\p{M}]+|\p{Nd}|[^\p{L}\p{M}\p{Nd}▁]+)|▁+")
-_WORDS = regex.compile(r"▁*[^▁]+|▁+")
+_WORDS = re.compile(r"▁*[^▁]+|▁+")
 
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 
@@ -67,14 +71,29 @@ class Vocabulary:
         fits = all(_UNITS.fullmatch(p) for p, _, _ in self.normal)
         self.pattern = _UNITS if fits else _WORDS
         if not fits and not all(_WORDS.fullmatch(p) for p, _, _ in self.normal):
-            self.pattern = regex.compile(r"(?s).+")
+            self.pattern = re.compile(r"(?s).+")
+        self._split: dict[str, list[str]] = {}
 
     def unknown_ids(self, text: str) -> list[int]:
         """Ids of a character that is no piece: its bytes, if the file has those."""
         return [self.bytes.get(b, self.unknown) for b in text.encode()] if self.bytes else [self.unknown]
 
-    def units(self, text: str) -> list[str]:
-        return self.pattern.findall(BLANK + text.replace(" ", BLANK)) if text else []
+    def words(self, text: str) -> list[str]:
+        """Blanks with what follows them up to the next; no unit crosses from one to another."""
+        if not text:
+            return []
+        return (self.pattern if self.pattern is not _UNITS else _WORDS).findall(BLANK + text.replace(" ", BLANK))
+
+    def split(self, word: str) -> list[str]:
+        """The units of a word."""
+        found = self._split.get(word)
+        if found is None:
+            found = self.pattern.findall(word)
+            if len(word) <= LONGEST_SHIPPED:
+                if len(self._split) >= MOST_KEPT:
+                    self._split.clear()
+                self._split[word] = found
+        return found
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join([self.raw[i] for i in ids]).decode("utf-8", "replace").replace(BLANK, " ")
@@ -256,12 +275,14 @@ def _amounts(docs: DataFrame, file: str) -> DataFrame:
     """``unit, amount``: how often every unit occurs in all texts."""
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        words = vocabulary(file)
-        found: Counter = Counter()
+        pattern = vocabulary(file)
+        words: Counter = Counter()
         for text in texts_of(batch.column(0)):
-            found.update(words.units(text))
+            words.update(pattern.words(text))
+        found: Counter = Counter()
+        for word, amount in words.items():
+            for unit in pattern.split(word):
+                found[unit] += amount
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["unit", "amount"]
         )
@@ -282,6 +303,11 @@ def _frequent(table: DataFrame) -> DataFrame:
     return short.where(F.floor(F.log2("amount") * 4) >= bound) if bound is not None else short.limit(0)
 
 
+def _joined(units: list[str], frequent: dict[str, bytes]) -> bytes | None:
+    """Ids of a word whose units are all frequent, else None."""
+    return b"".join([frequent[u] for u in units]) if all(u in frequent for u in units) else None
+
+
 def encode(docs: DataFrame, file: str) -> DataFrame:
     """``doc_id, ids`` of every row."""
     spark = docs.sparkSession
@@ -295,11 +321,17 @@ def encode(docs: DataFrame, file: str) -> DataFrame:
         frequent, pattern = shipped.value, vocabulary(file)
         pack = zstandard.ZstdCompressor(level=3)
         ids, texts, rare = [], [], []
+        known: dict[str, bytes | None] = {}
         for text in texts_of(batch.column(2)):
-            units = pattern.units(text)
-            asked = {u for u in units if u not in frequent}
+            parts, asked = [], set()
+            for word in pattern.words(text):
+                part = known[word] if word in known else known.setdefault(word, _joined(pattern.split(word), frequent))
+                if part is None:
+                    asked.update(u for u in pattern.split(word) if u not in frequent)
+                else:
+                    parts.append(part)
             rare.append(list(asked))
-            ids.append(None if asked else np.frombuffer(b"".join([frequent[u] for u in units]), np.int32))
+            ids.append(None if asked else np.frombuffer(b"".join(parts), np.int32))
             texts.append(pack.compress(text.encode()) if asked else None)
         yield pa.RecordBatch.from_arrays(
             [
@@ -331,10 +363,15 @@ def encode(docs: DataFrame, file: str) -> DataFrame:
         frequent, pattern = shipped.value, vocabulary(file)
         unpack = zstandard.ZstdDecompressor()
         ids = []
+        known: dict[str, bytes | None] = {}
         for packed, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             own = {x["unit"]: np.array(x["found"], np.int32).tobytes() for x in found}
-            units = pattern.units(unpack.decompress(packed).decode())
-            parts = [frequent[u] if u in frequent else own[u] for u in units]
+            parts = []
+            for word in pattern.words(unpack.decompress(packed).decode()):
+                part = known[word] if word in known else known.setdefault(word, _joined(pattern.split(word), frequent))
+                if part is None:
+                    part = b"".join([frequent[u] if u in frequent else own[u] for u in pattern.split(word)])
+                parts.append(part)
             ids.append(np.frombuffer(b"".join(parts), np.int32))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
