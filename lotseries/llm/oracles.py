@@ -93,3 +93,32 @@ SELECT doc_id,
        coalesce({_JOIN.format("list_concat(base, extra)")}, '') AS spans
 FROM more
 """
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH units AS (
+  SELECT doc_id, body, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest,
+         regexp_extract_all(body, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS unit
+  FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)),
+drawn AS (
+  SELECT *, len(unit) AS n,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(digest, i, 8) AS BIGINT)) AS h
+  FROM units),
+placed AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>')
+                   OR h[3] % 100 >= 50 THEN 'plain'
+              WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parted AS (
+  SELECT *, array_to_string(unit[:a], '') AS prefix, array_to_string(unit[a + 1:b], '') AS middle,
+         array_to_string(unit[b + 1:], '') AS suffix
+  FROM placed)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM parted
+"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, packing, personal_data, pieces, secret_scan, similar, substrings, top_k, toxicity, url_filter
+from . import fill_middle, neighbours, packing, personal_data, pieces, secret_scan, similar, substrings, top_k, toxicity, url_filter
 from .common import table
 from .oracles import ORACLES as LLM_ORACLES  # noqa: F401
 
@@ -82,6 +82,19 @@ def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op13_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    found = fill_middle.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
@@ -95,5 +108,6 @@ LLM_QUERIES = {
         op8_learned_partitions,
         op9_secret_scan,
         op10_ngram_jaccard,
+        op13_fill_in_middle,
     )
 }
