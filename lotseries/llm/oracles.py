@@ -122,3 +122,45 @@ SELECT doc_id, n, form,
        sha256(body) AS restored_sha256
 FROM parted
 """
+
+
+def _vector_codes(rounds: int = 6) -> str:
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+placed{r} AS MATERIALIZED (
+  SELECT n, p, min_by(e, (d, e)) AS e, min(d) AS d
+  FROM (SELECT n, c.p, e, CAST(list_sum(list_transform(list_zip(c.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))
+                               AS BIGINT) AS d
+        FROM cut c JOIN book{r} b ON c.p = b.p)
+  GROUP BY n, p)""")
+        if r < rounds:
+            steps.append(f"""
+moved{r} AS (
+  SELECT p, e, list((s - ((s % m) + m) % m) // m ORDER BY i) AS x
+  FROM (SELECT c.p, e, i, sum(x[i]) AS s, count(*) AS m
+        FROM cut c JOIN placed{r} USING (n, p), (SELECT unnest(range(1, (SELECT max(len(x)) FROM cut) + 1)) AS i)
+        GROUP BY ALL)
+  GROUP BY p, e),
+book{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{r} b LEFT JOIN moved{r} m ON b.p = m.p AND b.e = m.e)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS MATERIALIZED (
+  SELECT n, p, v[p * len(v) // 8 + 1:(p + 1) * len(v) // 8] AS x FROM kept, (SELECT unnest(range(8)) AS p)),
+book0 AS (SELECT p, n - 1 AS e, x FROM cut WHERE n <= 16),{",".join(steps)},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM kept JOIN placed{rounds} USING (n) GROUP BY n, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(list_aggregate(x, 'string_agg', ','), ',' ORDER BY p, e)) FROM book{rounds})
+         AS codebooks_sha256
+FROM coded
+"""
+
+
+ORACLES["op12_vector_codes"] = _vector_codes()

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fill_middle, neighbours, packing, personal_data, pieces, secret_scan, similar, substrings, top_k, toxicity, url_filter
+from . import vector_codes
 from .common import table
 from .oracles import ORACLES as LLM_ORACLES  # noqa: F401
 
@@ -82,6 +85,14 @@ def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = vector_codes.integer_vectors(table(spark, sf, "embeddings"))
+    books = vector_codes.train(vectors)
+    found = vector_codes.label_errors(vector_codes.encode(vectors, books))
+    digest = hashlib.sha256(vector_codes.numbers(books).encode()).hexdigest()
+    return found.select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     found = fill_middle.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select(
@@ -108,6 +119,7 @@ LLM_QUERIES = {
         op8_learned_partitions,
         op9_secret_scan,
         op10_ngram_jaccard,
+        op12_vector_codes,
         op13_fill_in_middle,
     )
 }
