@@ -164,3 +164,24 @@ FROM coded
 
 
 ORACLES["op12_vector_codes"] = _vector_codes()
+
+ORACLES["op11_grid_order_join"] = """
+WITH RECURSIVE
+rows_ AS (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v,
+         len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS good
+  FROM embeddings),
+good AS (
+  SELECT n, vec_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS norm FROM rows_
+  WHERE good AND len(v) = (SELECT len(v) FROM rows_ WHERE good GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
+links AS (
+  SELECT a.n AS a, b.n AS b FROM good a JOIN good b ON a.n <> b.n
+  WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) / (a.norm * b.norm) >= 0.95),
+reached(n, m) AS (
+  SELECT n, n FROM rows_ UNION SELECT r.n, l.b FROM reached r JOIN links l ON r.m = l.a),
+least AS (SELECT r.n, min(m.vec_id) AS component_id FROM reached r JOIN rows_ m ON r.m = m.n GROUP BY r.n),
+degree AS (SELECT a AS n, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows_ JOIN least USING (n) LEFT JOIN degree USING (n)
+"""

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fill_middle, neighbours, packing, personal_data, pieces, secret_scan, similar, substrings, top_k, toxicity, url_filter
-from . import vector_codes
+from . import fill_middle, grid_join, neighbours, packing, personal_data, pieces, secret_scan, similar, substrings
+from . import top_k, toxicity, url_filter, vector_codes
 from .common import table
 from .oracles import ORACLES as LLM_ORACLES  # noqa: F401
 
@@ -85,6 +85,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_grid_order_join(spark: SparkSession, sf: str) -> DataFrame:
+    return grid_join.near_vectors(table(spark, sf, "embeddings"))
+
+
 def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     vectors = vector_codes.integer_vectors(table(spark, sf, "embeddings"))
     books = vector_codes.train(vectors)
@@ -119,6 +123,7 @@ LLM_QUERIES = {
         op8_learned_partitions,
         op9_secret_scan,
         op10_ngram_jaccard,
+        op11_grid_order_join,
         op12_vector_codes,
         op13_fill_in_middle,
     )
