@@ -244,7 +244,8 @@ def _block_pairs(blocks: DataFrame, dims: int, reach: float) -> DataFrame:
     if last is None:
         return boxes.select(F.col("seq").alias("a"), F.col("seq").alias("b"))
     levels = -(-int(last).bit_length() // FAN_BITS)
-    pairs = blocks.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))
+    # the whole sequence with itself; no constants, which would drop out of the join keys
+    pairs = blocks.sparkSession.range(1).select(F.col("id").alias("a"), F.col("id").alias("b"))
     for level in reversed(range(levels + 1) if not levels else range(levels)):
         shift = FAN_BITS * level
         spans = [f(f"{end}{i}").alias(f"{end}{i}") for end, f in (("low", F.min), ("high", F.max)) for i in range(dims)]
