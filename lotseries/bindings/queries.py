@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotseries.bindings import tables as t
-from lotseries.functions.geometry import pixel_center, ring_bounds
+from lotseries.functions.geometry import pixel_center, polygon_bounds
 from lotseries.functions.indices import spectral_indices
 from lotseries.functions.text import slug_column
 from lotseries.operators import (
@@ -26,13 +26,15 @@ from lotseries.operators import (
 from lotseries.operators.matching import clean_ranges
 from lotseries.plans import extraction
 from lotseries.plans.calibration import matched_sources
-from lotseries.sources import readers, writers
+from lotseries.sources import pixel_store, readers, writers
 from lotseries.sources.stored import fresh_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6
 TEST_YEAR = 2000
+# Pixel rows and columns of a block of the mosaic's store.
+WINDOW_BLOCK = 64
 
 
 def _rounded(df: DataFrame, digits: int = DIGITS, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -378,11 +380,14 @@ def pooled_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clip_window(spark: SparkSession, sf: str) -> DataFrame:
-    """Pixels within the bounds of the lots of one nation."""
-    lots = t.mosaic_lots(spark, sf).where("lot_id = 'lot3'")
-    bounds = catalog.total_bounds(lots, ["scene_id"]).select("*", *t.grid(F.lit(0.25), F.lit(-0.5)))
-    pixels = t.mosaic(spark, sf).select("scene_id", "row", "col")
-    return raster.clip_pixels(pixels, bounds).select("row", "col")
+    """Pixels within the bounds of every lot, read from a store of small blocks."""
+    pixels, path = t.mosaic(spark, sf).select("scene_id", "row", "col"), fresh_path(spark)
+    pixel_store.write_pixels(pixels, path, WINDOW_BLOCK)
+    bounds = catalog.total_bounds(t.mosaic_lots(spark, sf), ["scene_id", "lot_id"])
+    stored_pixels = pixel_store.read_pixels(spark, path, pixels.schema)
+    placed = bounds.select("*", *t.grid(F.lit(0.25), F.lit(-0.5)))
+    clipped = raster.clip_pixels(stored_pixels, placed, block=WINDOW_BLOCK, keep=["lot_id"])
+    return clipped.select("lot_id", "row", "col")
 
 
 def bilinear_resample(spark: SparkSession, sf: str) -> DataFrame:
@@ -412,7 +417,6 @@ def extract_scenes(spark: SparkSession, sf: str) -> DataFrame:
         t.scene_catalogue(spark, sf),
         t.scene_bands(spark, sf),
         t.scene_transforms(spark, sf),
-        cell=40.0,
     )
 
 
@@ -453,23 +457,25 @@ def required_assets(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.with_required_assets(t.catalogue(spark, sf)).select("scene_id", "pos")
 
 
-def _tile_pairs(spark: SparkSession, sf: str) -> DataFrame:
+def _tiles(spark: SparkSession, sf: str) -> DataFrame:
     scenes = extraction.choose_scenes(t.dated_lots(spark, sf), t.catalogue(spark, sf))
-    tiles = scenes.select("obs_date", "scene_id", "tile", "tile_order", *catalog.BOX)
-    return catalog.lots_touching_tiles(t.dated_lots(spark, sf), tiles, 24.0, ["obs_date"])
+    return stored(scenes.select("obs_date", "scene_id", "tile", "tile_order", *catalog.BOX))
 
 
 def lots_in_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    return _tile_pairs(spark, sf).select("obs_date", "polygon_id", "scene_id")
+    pairs = catalog.lots_touching_tiles(t.dated_lots(spark, sf), _tiles(spark, sf), ["obs_date"])
+    return pairs.select("obs_date", "polygon_id", "scene_id")
 
 
 def tile_assignment(spark: SparkSession, sf: str) -> DataFrame:
-    assigned = catalog.assign_first_tile(_tile_pairs(spark, sf), ["obs_date"])
+    lots, tiles = t.dated_lots(spark, sf), _tiles(spark, sf)
+    pairs = catalog.lots_touching_tiles(lots, tiles, ["obs_date"])
+    assigned = catalog.assign_first_tile(pairs, lots, tiles, ["obs_date"])
     return assigned.select("obs_date", "polygon_id", "lot_id", "scene_id", "tile")
 
 
 def ring_box(spark: SparkSession, sf: str) -> DataFrame:
-    box = ring_bounds(F.col("ring"))
+    box = polygon_bounds(F.col("rings"))
     return t.lots(spark, sf).select("polygon_id", *[c.alias(n) for n, c in box.items()])
 
 

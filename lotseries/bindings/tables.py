@@ -14,6 +14,9 @@ from lotseries.plans.training import master_table
 PATCH = 8
 PATCHES_ACROSS = 25
 TILE_PATCHES = 5
+# Labels whose ready rasters fail.
+NO_PIXELS = 3
+BAD_WORLD_FILE = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -167,18 +170,25 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One concave polygon per supplier; the suppliers of a nation form one lot."""
+    """One polygon per supplier: a concave part with a hole, and a triangle. The suppliers of a nation form one lot."""
     x = F.col("s_suppkey") * 37 % 200 + 0.13
     y = (F.col("s_acctbal") + 1000) / 11000 * 160 + 0.0137
     w = F.col("s_nationkey") / 4 + 3
-    corners = [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (0.0, 0.3), (-1.0, 1.0)]
-    ring = F.array(
-        *[F.struct((x + w * i).alias("x"), (y + w * j).alias("y")) for i, j in corners]
+    outlines = [
+        [(-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (0.0, 0.3), (-1.0, 1.0)],
+        [(-0.25, -0.7), (0.25, -0.7), (0.25, -0.2), (-0.25, -0.2)],
+        [(1.4, -0.5), (2.2, -0.2), (1.5, 0.6)],
+    ]
+    rings = F.array(
+        *[
+            F.array(*[F.struct((x + w * i).alias("x"), (y + w * j).alias("y")) for i, j in corners])
+            for corners in outlines
+        ]
     )
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("polygon_id"),
         F.concat(F.lit("lot"), F.col("s_nationkey").cast("string")).alias("lot_id"),
-        ring.alias("ring"),
+        rings.alias("rings"),
     )
 
 
@@ -305,7 +315,11 @@ def scene_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raster_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest of ready rasters, one date per label; the highest label has no lot file."""
+    """Manifest of ready rasters, one date per label; the highest label has no lot file.
+
+    Two more dates fail: the water index of label 3 has no pixels, the world file of the last index of
+    label 5 holds a line that is no number.
+    """
     labels = table(spark, sf_dir, "embeddings").select("label").distinct()
     day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("label")), "yyyyMMdd")
     fragments = {"01-NDVI_": ".tif", "02-NDWI-11_": ".tif", "04-MSI-11_": ".tif", "lots_": ".shp"}
@@ -335,12 +349,16 @@ def raster_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for n, v in values.items()
     ]
-    return patch_pixels(spark, sf_dir).select("row", "col", F.inline(F.array(*rows)))
+    pixels = patch_pixels(spark, sf_dir).select("label", "row", "col", F.inline(F.array(*rows)))
+    unread = (F.col("label") == NO_PIXELS) & F.col("scene_id").contains("02-NDWI-11_")
+    return pixels.where(~unread).select("scene_id", "row", "col", "value")
 
 
 def raster_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A broken own transform, put right by a world file."""
-    world = F.lit("1.0\n0.0\n0.0\n1.0\n0.25\n-0.5\n")
+    """A broken own transform, put right by a world file; one world file is broken itself."""
+    bad = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.lit(BAD_WORLD_FILE)), "yyyyMMdd")
+    broken = F.col("path").contains(F.concat(F.lit("04-MSI-11_"), bad))
+    world = F.when(broken, "1.0\n0.0\nnone\n1.0\n0.25\n-0.5\n").otherwise("1.0\n0.0\n0.0\n1.0\n0.25\n-0.5\n")
     return (
         raster_files(spark, sf_dir)
         .where(F.col("path").endswith(".tif"))

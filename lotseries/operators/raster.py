@@ -1,20 +1,20 @@
 """Zonal statistics over pixel tables.
 
 Pixels: ``scene_id, row, col`` and value columns. Polygons: ``scene_id,
-polygon_id, ring`` and the six transform columns of the scene's grid.
+polygon_id``, ``ring`` or ``rings`` (parts and holes), and the six transform columns
+of the scene's grid.
 
-A polygon is turned into the pixels whose centre it covers (one scan line per
-pixel row), and these are joined with the pixel table on ``(scene_id, row,
-col)``. That is a plain equi-join on a fine key: no pixel is tested against a
-polygon that does not cover it, and a large polygon or a crowded scene spreads
-over many tasks.
+A polygon is turned into the pixels whose centre it covers, and these are joined with
+the pixel table on ``(scene_id, row, col)``. That is a plain equi-join on a fine key: no
+pixel is tested against a polygon that does not cover it, and a large polygon or a
+crowded scene spreads over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotseries.functions.geometry import (
@@ -22,14 +22,21 @@ from lotseries.functions.geometry import (
     crosses_line,
     crossing_x,
     pixel_center,
-    ring_edges,
+    polygon_bounds,
+    polygon_edges,
+    polygon_of,
     to_pixel,
+    usable_transform,
     world_file,
+    world_file_broken,
 )
 from lotseries.schema import INDICES, STATISTICS
+from lotseries.sources.stored import stored
 
 PIXEL_KEY = ["scene_id", "row", "col"]
-BAND_ROWS = 64
+BLOCK_KEY = "block"
+# Pixels of the polygons' boxes that one task unfolds, about.
+PIXELS_A_TASK = 250_000
 
 
 def transform_columns(prefix: str = "") -> dict[str, Column]:
@@ -39,9 +46,10 @@ def transform_columns(prefix: str = "") -> dict[str, Column]:
 def polygon_mask(polygons: DataFrame) -> DataFrame:
     """Pixels whose centre lies in a polygon: ``scene_id, polygon_id, row, col``.
 
-    A polygon first becomes bands of a few pixel rows, which are spread over all
-    tasks: one huge polygon does not unfold in a single task. The number of
-    partitions is explicit because the bands are small and grow afterwards.
+    Scan lines over an edge table: every edge goes to the pixel rows whose centre line it crosses, and
+    along each row the area between an odd crossing and the next one is inside. Rings need not be told
+    apart, so holes and parts come for free; the work is rows + edges, and no row holds a whole polygon.
+    One huge polygon spreads by its rows, over as many tasks as the polygons' boxes have pixels for.
     """
     t = transform_columns()
 
@@ -49,39 +57,34 @@ def polygon_mask(polygons: DataFrame) -> DataFrame:
         u, v = to_pixel(p["x"], p["y"], t)
         return F.struct(u.alias("x"), v.alias("y"))
 
-    in_pixels = polygons.select(
-        "scene_id", "polygon_id", F.transform("ring", vertex).alias("ring")
-    ).select("scene_id", "polygon_id", ring_edges(F.col("ring")).alias("edges"))
-    ys = F.transform("edges", lambda e: e["y1"])
-    # centres v + 0.5 within [ymin, ymax)
-    extent = in_pixels.withColumns(
-        {
-            "first_row": F.ceil(F.array_min(ys) - 0.5).cast("int"),
-            "last_row": F.ceil(F.array_max(ys) - 0.5).cast("int") - 1,
-        }
-    ).where("first_row <= last_row")
-    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bands = extent.withColumn(
-        "band", F.explode(F.sequence("first_row", "last_row", F.lit(BAND_ROWS)))
-    ).repartition(tasks, "scene_id", "polygon_id", "band")
-    band_end = F.least(F.col("band") + (BAND_ROWS - 1), F.col("last_row"))
-    rows = bands.withColumn("row", F.explode(F.sequence(F.col("band"), band_end)))
+    rings = F.transform(polygon_of(polygons.columns), lambda ring: F.transform(ring, vertex))
+    in_pixels = polygons.select("scene_id", "polygon_id", rings.alias("rings"))
+    edges = in_pixels.select("scene_id", "polygon_id", F.inline(polygon_edges(F.col("rings"))))
+    # centre lines row + 0.5 within [lower end, upper end)
+    first_row = F.ceil(F.least("y1", "y2") - 0.5).cast("int")
+    last_row = F.ceil(F.greatest("y1", "y2") - 0.5).cast("int") - 1
+    rows = edges.where(first_row <= last_row).withColumn("row", F.explode(F.sequence(first_row, last_row)))
+    edge = {n: F.col(n) for n in ("x1", "y1", "x2", "y2")}
     line = F.col("row") + F.lit(0.5)
-    crossings = F.array_sort(
-        F.transform(
-            F.filter("edges", lambda e: crosses_line(e, line)), lambda e: crossing_x(e, line)
-        )
-    )
-    spans = rows.select("scene_id", "polygon_id", "row", crossings.alias("at")).withColumn(
-        "k", F.explode(F.sequence(F.lit(0), F.greatest(F.size("at") - 2, F.lit(0)), F.lit(2)))
-    )
-    # centres u + 0.5 within [enter, leave)
-    enter, leave = F.get("at", F.col("k")), F.get("at", F.col("k") + 1)
-    first_col = F.ceil(enter - 0.5).cast("int")
-    last_col = F.ceil(leave - 0.5).cast("int") - 1
-    return spans.where(first_col <= last_col).select(
-        "scene_id", "polygon_id", "row", F.explode(F.sequence(first_col, last_col)).alias("col")
+    crossings = rows.where(crosses_line(edge, line)).select(
+        "scene_id", "polygon_id", "row", crossing_x(edge, line).alias("enter")
     )
+    key = ["scene_id", "polygon_id", "row"]
+    along = Window.partitionBy(*key).orderBy("enter")
+    paired = crossings.withColumns({"leave": F.lead("enter").over(along), "k": F.row_number().over(along)})
+    # centres col + 0.5 within [enter, leave)
+    ends = {"first_col": F.ceil(F.col("enter") - 0.5), "last_col": F.ceil(F.col("leave") - 0.5) - 1}
+    spans = paired.where("k % 2 = 1").select(*key, *[c.cast("int").alias(n) for n, c in ends.items()])
+    dealt = spans.where("first_col <= last_col").repartition(_tasks(in_pixels), *key)
+    return dealt.select(*key, F.explode(F.sequence("first_col", "last_col")).alias("col"))
+
+
+def _tasks(in_pixels: DataFrame) -> int:
+    """Tasks for the pixels in the boxes of polygons; spans are small, so their bytes do not tell."""
+    box = polygon_bounds(F.col("rings"))
+    area = (box["xmax"] - box["xmin"] + 1) * (box["ymax"] - box["ymin"] + 1)
+    pixels = in_pixels.agg(F.sum(area)).first()[0] or 0
+    return int(min(max(pixels // PIXELS_A_TASK, 1), 100_000))
 
 
 def zonal_stats(pixels: DataFrame, polygons: DataFrame, values: Sequence[str]) -> DataFrame:
@@ -109,7 +112,7 @@ def summarize(covered: DataFrame, polygons: DataFrame, values: Sequence[str]) ->
             )
         ]
     )
-    kept = polygons.drop("ring", *TRANSFORM)
+    kept = polygons.drop("ring", "rings", *TRANSFORM)
     return kept.join(stats, ["scene_id", "polygon_id"], "left").fillna(
         0, [f"{v}_count" for v in values]
     )
@@ -153,22 +156,75 @@ def finalize_stats(pooled: DataFrame, values: Sequence[str] = INDICES, digits: i
     return pooled.select(*kept, *out)
 
 
-def clip_pixels(pixels: DataFrame, bounds: DataFrame, margin: float = 0.0) -> DataFrame:
+def pixel_windows(bounds: DataFrame, margin: float = 0.0) -> DataFrame:
+    """Boxes with the transform of their scene as windows of whole pixels.
+
+    Adds ``first_row, last_row, first_col, last_col``: pixels whose centre may lie in the box, widened by
+    ``margin`` pixels. Boxes that cover no centre are dropped.
+    """
+    corners = [to_pixel(F.col(x), F.col(y), transform_columns()) for x in ("xmin", "xmax") for y in ("ymin", "ymax")]
+    us, vs = zip(*corners)
+
+    def span(values: tuple[Column, ...]) -> tuple[Column, Column]:
+        # a little wider, for rounding; the exact test of the centres follows
+        low = F.ceil(F.least(*values) - (0.5 + margin + 1e-6)).cast("int")
+        return low, F.floor(F.greatest(*values) - (0.5 - margin - 1e-6)).cast("int")
+
+    (first_col, last_col), (first_row, last_row) = span(us), span(vs)
+    windows = bounds.withColumns(
+        {"first_row": first_row, "last_row": last_row, "first_col": first_col, "last_col": last_col}
+    )
+    return windows.where("first_row <= last_row and first_col <= last_col")
+
+
+def block_name(scene: Column, row_block: Column, col_block: Column) -> Column:
+    """Name of a block of the pixel store; one name, so that pruning by it is exact."""
+    return F.concat(scene, F.lit(":"), row_block.cast("string"), F.lit(":"), col_block.cast("string"))
+
+
+def block_number(place: Column, block: int) -> Column:
+    return F.floor(place / block).cast("int")
+
+
+def window_blocks(windows: DataFrame, block: int) -> DataFrame:
+    """Every window once for each block of the pixel store that it meets."""
+
+    def blocks(first: str, last: str) -> Column:
+        return F.explode(F.sequence(block_number(F.col(first), block), block_number(F.col(last), block)))
+
+    spread = windows.withColumn("row_block", blocks("first_row", "last_row")).withColumn(
+        "col_block", blocks("first_col", "last_col")
+    )
+    name = block_name(F.col("scene_id"), F.col("row_block"), F.col("col_block"))
+    return spread.withColumn(BLOCK_KEY, name).drop("scene_id", "row_block", "col_block")
+
+
+def clip_pixels(
+    pixels: DataFrame, bounds: DataFrame, margin: float = 0.0, block: int | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
     """Window read: the pixels whose centre lies in the bounds of their scene.
 
-    ``bounds`` has one row per scene: ``scene_id``, a box and the transform
-    columns; scenes without bounds are dropped. ``margin`` widens the box by so
-    many pixels. Run before a shuffle, this keeps unused pixels out of it.
+    ``bounds`` has rows of ``scene_id``, a box, the transform columns and the columns ``keep``, which the
+    pixels get; a pixel comes once for each box of its scene that holds it. ``margin`` widens the
+    boxes by so many pixels. The windows are stored, so that Spark knows their size: small ones are broadcast
+    and pixels outside never reach a shuffle. Of a pixel store of this ``block`` (``sources.pixel_store``) only
+    the blocks that windows meet are read, by pruning its partitions at run time.
     """
     t = transform_columns()
+    windows = pixel_windows(bounds, margin)
+    if block is not None:
+        windows = window_blocks(windows, block)
     x, y = pixel_center(F.col("col"), F.col("row"), t)
     dx = (F.abs(t["a"]) + F.abs(t["b"])) * margin
     dy = (F.abs(t["d"]) + F.abs(t["e"])) * margin
-    inside = x.between(F.col("xmin") - dx, F.col("xmax") + dx) & y.between(
-        F.col("ymin") - dy, F.col("ymax") + dy
+    inside = x.between(F.col("xmin") - dx, F.col("xmax") + dx) & y.between(F.col("ymin") - dy, F.col("ymax") + dy)
+    window = F.col("row").between(F.col("first_row"), F.col("last_row")) & F.col("col").between(
+        F.col("first_col"), F.col("last_col")
     )
-    clipped = pixels.join(bounds, "scene_id").where(inside)
-    return clipped.select(*pixels.columns)
+    # as a filter of the stored windows it also tells Spark that they are worth pruning by
+    chosen = stored(windows).where("first_row <= last_row")
+    clipped = pixels.join(chosen, BLOCK_KEY if block is not None else "scene_id").where(window & inside)
+    return clipped.select(*[c for c in pixels.columns if block is None or c != BLOCK_KEY], *keep)
 
 
 def resample_bilinear(targets: DataFrame, coarse: DataFrame, value: str = "value") -> DataFrame:
@@ -228,9 +284,13 @@ def coverage(indices: DataFrame) -> DataFrame:
 
 
 def effective_transforms(transforms: DataFrame) -> DataFrame:
-    """Transform to use per scene: that of the world file if it has one, else its own."""
+    """Transform to use per scene: that of the world file if it has one, else its own.
+
+    A scene whose world file is broken, or whose transform can't be used, has none and is left out.
+    """
     own = F.struct(*TRANSFORM)
     if "world_file" not in transforms.columns:
-        return transforms.select("scene_id", *TRANSFORM)
+        return transforms.select("scene_id", *TRANSFORM).where(usable_transform(transform_columns()))
     used = F.coalesce(world_file(F.col("world_file")), own).alias("used")
-    return transforms.select("scene_id", used).select("scene_id", "used.*")
+    sound = transforms.where(~world_file_broken(F.col("world_file"))).select("scene_id", used)
+    return sound.select("scene_id", "used.*").where(usable_transform(transform_columns()))

@@ -62,21 +62,20 @@ def extract_scene_indices(
     catalogue: DataFrame,
     pixels: DataFrame,
     transforms: DataFrame,
-    cell: float,
 ) -> DataFrame:
     """Indices per lot and day from scene bands.
 
-    ``lots``: ``obs_date, polygon_id, lot_id, ring``, one set per day. Pixels and
+    ``lots``: ``obs_date, polygon_id, lot_id`` and ``ring`` or ``rings``, one set per day. Pixels and
     transforms hold the bands nir, red and swir16 of every scene. The choice of
     scene per polygon is stored, since windows, masks and results all start from it.
     """
     scenes = choose_scenes(lots, catalogue).select(
         "obs_date", "tile_order", "scene_id", *catalog.BOX
     )
-    pairs = catalog.lots_touching_tiles(lots, scenes, cell, ["obs_date"])
+    scenes = stored(scenes)
+    pairs = catalog.lots_touching_tiles(lots, scenes, ["obs_date"])
     assigned = stored(
-        catalog.assign_first_tile(pairs, ["obs_date"])
-        .drop(*catalog.BOX)
+        catalog.assign_first_tile(pairs, lots, scenes.drop(*catalog.BOX), ["obs_date"])
         .join(_grids(transforms, "nir"), "scene_id")
     )
     values = band_values(assigned, pixels, transforms)
@@ -85,15 +84,35 @@ def extract_scene_indices(
     return _output(raster.finalize_stats(pooled))
 
 
+def sound_dates(rasters: DataFrame, lots: DataFrame, pixels: DataFrame, grids: DataFrame) -> DataFrame:
+    """Dates (``obs_date``) none of whose inputs fails.
+
+    ``rasters`` has a row per date and index. Each needs pixels, a usable transform (a row of ``grids``) and a lot file
+    with polygons. Only names are looked at, before any pixel moves: the pixel table gives its distinct
+    scenes, combined before their shuffle.
+    """
+    wanted = rasters.select("scene_id").distinct()
+    readable = wanted.join(pixels.select("scene_id").distinct(), "scene_id", "left_semi").join(
+        grids.select("scene_id"), "scene_id", "left_semi"
+    )
+    checked = rasters.join(readable.withColumn("readable", F.lit(True)), "scene_id", "left").join(
+        lots.select("stem").distinct().withColumn("has_lots", F.lit(True)), "stem", "left"
+    )
+    sound = checked.groupBy("obs_date").agg(
+        F.min(F.coalesce(F.col("readable") & F.col("has_lots"), F.lit(False))).alias("sound")
+    )
+    return sound.where("sound").select("obs_date")
+
+
 def extract_raster_indices(
-    files: DataFrame, lots: DataFrame, pixels: DataFrame, transforms: DataFrame
+    files: DataFrame, lots: DataFrame, pixels: DataFrame, transforms: DataFrame, block: int | None = None
 ) -> DataFrame:
     """Indices per lot and day from ready index rasters.
 
-    ``files`` is a manifest; only dates with all three rasters and a lot file
-    are used. ``lots`` has the column ``stem`` of its lot file, pixels and
-    transforms have the raster's path as ``scene_id``. A raster may have a world
-    file text (``world_file``), which then replaces its own transform.
+    ``files`` is a manifest; only dates with all three rasters and a lot file are used, and of those
+    only dates none of whose inputs fails (``sound_dates``). ``lots`` has the column ``stem`` of its lot file, pixels
+    and transforms have the raster's path as ``scene_id``. A raster may have a world file text (``world_file``), which
+    then replaces its own transform. ``block``: the pixels are a pixel store with blocks of this size.
     """
     dates = manifest.complete_dates(manifest.latest_asset(manifest.classify_assets(files)))
     name = F.element_at(F.split("lots", "/"), -1)
@@ -105,10 +124,11 @@ def extract_raster_indices(
         }
     )
     kinds = [F.struct(F.lit(i).alias("index"), F.col(i).alias("scene_id")) for i in INDICES]
-    rasters = sets.select("obs_date", "stem", "image_id", F.inline(F.array(*kinds)))
+    rasters = stored(sets.select("obs_date", "stem", "image_id", F.inline(F.array(*kinds))))
     grids = raster.effective_transforms(transforms)
-    polygons = stored(lots.join(rasters, "stem").join(grids, "scene_id"))
-    window = raster.clip_pixels(pixels, _windows(polygons, grids), 0.5)
+    sound = rasters.join(sound_dates(rasters, lots, pixels, grids), "obs_date", "left_semi")
+    polygons = stored(lots.join(sound, "stem").join(grids, "scene_id"))
+    window = raster.clip_pixels(pixels, _windows(polygons, grids), 0.5, block)
     stats = raster.zonal_stats(window, polygons, ["value"])
     # one column group per index, so that the three rasters of a date meet in one aggregate
     by_index = stats.withColumns(

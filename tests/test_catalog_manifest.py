@@ -66,15 +66,51 @@ def test_every_touching_pair_is_found_once_and_the_first_tile_wins(spark, plan):
         for i, b in enumerate(boxes)
         if x <= b[2] and x + 30 >= b[0] and 1 <= b[3] and 28 >= b[1]
     }
-    for cell in (7.0, 25.0, 1000.0):
-        pairs = catalog.lots_touching_tiles(lots, tiles, cell)
+    for most in (1, 3, 1000):
+        pairs = catalog.lots_touching_tiles(lots, tiles, most=most)
         got = [(r.polygon_id, r.scene_id) for r in pairs.collect()]
         assert len(got) == len(set(got)) and set(got) == expected
-    first = {r.polygon_id: r.scene_id for r in catalog.assign_first_tile(pairs).collect()}
+    first = {r.polygon_id: r.scene_id for r in catalog.assign_first_tile(pairs, lots, tiles).collect()}
     assert first == {k: max((t for p, t in expected if p == k), key=lambda t: int(t[1:])) for k, _ in expected}
     assert "NestedLoop" not in plan(pairs) and "Cartesian" not in plan(pairs)
 
 
+def test_a_dense_area_is_cut_and_a_sparse_one_is_not(spark, plan):
+    """Nine tenths of the polygons lie in a hundredth of the area; some are large."""
+    rows = spark.range(4000).selectExpr(
+        "id AS polygon_id", "id % 10 > 0 AS dense", "pmod(hash(id, 1), 100000) / 100000 AS u", "pmod(hash(id, 2), 100000) / 100000 AS v"
+    )
+    x, y, w = "if(dense, 10 + u, u * 100)", "if(dense, 10 + v, v * 100)", "if(polygon_id % 500 = 3, 30, 0.004)"
+    corner = lambda i, j: f"named_struct('x', {x} + {w} * {i}, 'y', {y} + {w} * {j})"
+    lots = rows.selectExpr("polygon_id", f"array({corner(0, 0)}, {corner(1, 0)}, {corner(1, 1)}, {corner(0, 1)}) AS ring")
+    tile = "named_struct('x', (id % 40) * 2.5, 'y', (id div 40) * 2.5)"
+    tiles = spark.range(1600).selectExpr("concat('t', id) AS scene_id", "id AS tile_order", f"{tile}.x - 0.1 AS xmin", f"{tile}.y - 0.1 AS ymin", f"{tile}.x + 2.6 AS xmax", f"{tile}.y + 2.6 AS ymax")
+    pairs = catalog.lots_touching_tiles(lots, tiles, most=60)
+    got = sorted((r.polygon_id, r.scene_id, r.tile_order) for r in pairs.collect())
+    plain = catalog.lots_touching_tiles(lots, tiles, most=10**9)
+    assert got == sorted(map(tuple, plain.collect())) and len(got) == len(set(got)) > 4000
+
+    box = {n: c for n, c in zip(catalog.BOX, catalog.polygon_bounds(F.array("ring")).values())}
+    area = {"xmin": 0.0, "ymin": 0.0, "xmax": 130.0, "ymax": 130.0}
+    left = lots.withColumns(box).withColumns(catalog._places(box, area))
+    cut = catalog.crowded_cells(left.select("x0", "y0", "x1", "y1"), [], 60)
+    spread = catalog.spread_over_cells(left, cut)
+    cells = [r["count"] for r in spread.groupBy("level", "cell_x", "cell_y").count().collect()]
+    assert len(cells) > 60 and max(cells) <= 3 * sorted(cells)[len(cells) // 2] + 60
+    assert sum(cells) < 4000 * 1.6  # large boxes stay in large cells where little else is
+    tasks = [r["count"] for r in spread.repartition(8, "level", "cell_x", "cell_y").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(tasks) <= 3 * sorted(tasks)[len(tasks) // 2]
+
+
+def test_rings_pass_no_aggregate(spark, plan):
+    lots = spark.createDataFrame([(1, "a", [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)])], f"polygon_id int, lot_id string, ring {RING}")
+    tiles = spark.createDataFrame([("t", 1, 0.0, 0.0, 9.0, 9.0)], f"scene_id string, tile_order int, {BOX}")
+    assigned = catalog.assign_first_tile(catalog.lots_touching_tiles(lots, tiles), lots, tiles)
+    assert "SortAggregate" not in plan(assigned)
+    row = assigned.first()
+    assert (row.lot_id, row.scene_id, row.xmax, len(row.ring)) == ("a", "t", 9.0, 3)
+
+
 FILES = [
     "Reference/2021-raster/sugar/01-NDVI_20210105.tif",
     "Reference/2021-raster/old/01-NDVI_20210105.tif",

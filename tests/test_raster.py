@@ -135,7 +135,7 @@ def test_clip_keeps_pixel_centres_in_the_bounds(spark, grid):
 
 def test_world_files(spark):
     own = (5.0, 0.0, 1.0, 0.0, -5.0, 2.0)
-    world = ["2\n0.1\n 0.2 \n-2\n\n100\n200\n", "1\n2\n3\n4\n5", None]
+    world = ["2\n0.1\n 0.2 \n-2\n\n100\n200\n", "1\n2\n3\n4\n5", None, "2\nx\n0\n-2\n0\n0", "1\n0\n0\n1\n0\n0\n7"]
     rows = [(f"s{i}", *own, w) for i, w in enumerate(world)]
     df = spark.createDataFrame(rows, f"scene_id string, {TRANSFORM}, world_file string")
     got = {r.scene_id: tuple(r)[1:] for r in raster.effective_transforms(df).collect()}
@@ -205,7 +205,6 @@ def test_scene_extraction_measures_a_polygon_in_its_first_tile_only(spark):
         catalogue,
         spark.createDataFrame(pixels, "scene_id string, band string, row int, col int, value double"),
         spark.createDataFrame(transforms, f"scene_id string, band string, {TRANSFORM}"),
-        cell=4.0,
     )
     assert out.columns == INDEX_COLUMNS
     rows = {r.lot_id: r for r in out.collect()}
@@ -215,3 +214,98 @@ def test_scene_extraction_measures_a_polygon_in_its_first_tile_only(spark):
     left, right = 0.5, 4 / 10
     assert rows["two"].ndvi_mean == round((left + right) / 2, 4) and rows["two"].ndvi_max == 0.5
     assert rows["two"].obs_date == "2024-01-01"
+
+
+HOLED = [[(0.3, 0.2), (7.6, 0.4), (7.1, 7.7), (0.4, 7.2)], [(2.2, 2.1), (5.3, 2.4), (4.9, 5.6), (2.4, 5.1)], [(3.1, 3.2), (4.2, 3.3), (4.1, 4.4)]]
+PARTS = [[(0.1, 0.2), (2.7, 0.3), (2.4, 3.1)], [(4.2, 4.1), (7.9, 4.4), (7.3, 7.8), (4.4, 7.2)], [(5.1, 5.2), (6.4, 5.3), (6.2, 6.6)]]
+
+
+def inside_any(x, y, rings):
+    return sum(inside(x, y, ring) for ring in rings) % 2 == 1
+
+
+def rings_frame(spark, polygons, scene="s"):
+    rows = [(scene, k, f"l{k}", rings, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0) for k, rings in enumerate(polygons)]
+    return spark.createDataFrame(rows, f"scene_id string, polygon_id int, lot_id string, rings array<{RING}>, {TRANSFORM}")
+
+
+def test_holes_and_parts_equal_a_test_of_every_pixel(spark, grid):
+    rng = np.random.default_rng(9)
+    wild = [[[tuple(map(float, p)) for p in rng.uniform(-1, 9, (rng.integers(3, 7), 2))] for _ in range(3)] for _ in range(12)]
+    polygons = [HOLED, PARTS, [SQUARE], *wild, []]
+    rows = raster.zonal_stats(pixel_frame(spark, grid), rings_frame(spark, polygons), ["value"]).collect()
+    assert len(rows) == len(polygons)
+    for row in rows:
+        rings = polygons[row.polygon_id]
+        hit = [v for (r, c), v in np.ndenumerate(grid) if not np.isnan(v) and inside_any(c + 0.5, r + 0.5, rings)]
+        check(row, np.array(hit))
+    covered = raster.polygon_mask(rings_frame(spark, [HOLED])).collect()
+    assert (4, 2) not in {(r.row, r.col) for r in covered}  # in the hole
+    assert (3, 3) in {(r.row, r.col) for r in covered}  # on the island in it
+
+
+def test_polygons_with_holes_and_boxes(spark):
+    boxes = {"in the hole": (2.6, 2.6, 2.9, 2.9, False), "on the island": (3.4, 3.4, 3.5, 3.5, True), "across the hole's edge": (2.0, 3.0, 2.6, 3.2, True)}
+    df = spark.createDataFrame([(n, HOLED, *b[:4]) for n, b in boxes.items()], f"n string, rings array<{RING}>, xmin double, ymin double, xmax double, ymax double")
+    box = {k: F.col(k) for k in ("xmin", "ymin", "xmax", "ymax")}
+    got = {r[0]: r[1] for r in df.select("n", g.polygon_meets_box(F.col("rings"), box)).collect()}
+    assert got == {n: b[4] for n, b in boxes.items()}
+    bounds = df.select(*[c.alias(n) for n, c in g.polygon_bounds(F.col("rings")).items()]).first()
+    assert tuple(bounds) == (0.3, 0.2, 7.6, 7.7)
+
+
+def scans(df):
+    """Rows that the scans of the last stage of a plan have read."""
+    df.collect()
+    result = df._jdf.queryExecution().executedPlan().executedPlan().collectLeaves().apply(0)
+    leaves = result.plan().collectLeaves()
+    found = [leaves.apply(i) for i in range(leaves.size())]
+    return [leaf.metrics().apply("numOutputRows").value() for leaf in found if leaf.metrics().contains("numFiles")]
+
+
+def test_window_read_opens_only_the_blocks_it_meets(spark, tmp_path, plan):
+    from lotseries.sources.pixel_store import read_pixels, write_pixels
+
+    pixels = spark.range(0, 2 * 64 * 64).selectExpr(
+        "concat('s', id div 4096) AS scene_id", "cast(id % 4096 div 64 AS int) AS row", "cast(id % 64 AS int) AS col", "id * 1.0D AS value"
+    )
+    path = str(tmp_path / "pixels")
+    write_pixels(pixels, path, 16)
+    bounds = spark.createDataFrame(
+        [("s0", "a", 17.2, 20.0, 30.0, 30.9, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0), ("s1", "b", 0.0, 0.0, 17.0, 3.0, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0),
+         ("s1", "c", 900.0, 900.0, 901.0, 901.0, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0)],
+        f"scene_id string, lot_id string, xmin double, ymin double, xmax double, ymax double, {TRANSFORM}",
+    )
+    store = read_pixels(spark, path, pixels.schema)
+    clipped = raster.clip_pixels(store, bounds, block=16, keep=["lot_id"])
+    plain = raster.clip_pixels(pixels, bounds, keep=["lot_id"])
+    rows = sorted(map(tuple, clipped.collect()))
+    assert rows == sorted(map(tuple, plain.collect())) and len(rows) == 13 * 11 + 17 * 3
+    assert "dynamicpruning" in plan(clipped) and "Exchange hashpartitioning" not in plan(clipped)
+    assert scans(clipped) == [3 * 256]  # one block of s0, two of s1, of 32
+    write_pixels(pixels.where("scene_id = 's0' and row < 16 and col < 16").withColumn("value", F.lit(-1.0)), path, 16)
+    again = read_pixels(spark, path, pixels.schema)
+    assert again.count() == 8192 and again.where("value = -1").count() == 256  # other blocks stay
+
+
+def test_dates_with_a_failed_input_are_left_out(spark):
+    from lotseries.plans.extraction import extract_raster_indices
+
+    names = {"ndvi": "01-NDVI_", "ndwi11": "02-NDWI-11_", "msi11": "04-MSI-11_"}
+    dates = ["20240101", "20240102", "20240103", "20240104", "20240105", "20240106"]
+    tif = lambda d, i: f"R/2024-raster/sugar/{names[i]}{d}.tif"
+    paths = [tif(d, i) for d in dates for i in names] + [f"S/2024/lots_{d}.shp" for d in dates]
+    pixels = [(tif(d, i), r, c, 0.5) for d in dates for i in names for r in range(4) for c in range(4)]
+    pixels = [p for p in pixels if p[0] != tif("20240102", "ndwi11")]  # without pixels
+    own, flat = (1.0, 0.0, 0.0, 0.0, 1.0, 0.0), (1.0, 1.0, 0.0, 1.0, 1.0, 0.0)
+    world = {tif("20240103", "msi11"): "1\n0\nx\n1\n0\n0", tif("20240106", "msi11"): "1\n2\n3"}  # broken; short, so unused
+    transforms = [(tif(d, i), *(flat if (d, i) == ("20240105", "ndvi") else own), world.get(tif(d, i))) for d in dates for i in names]
+    ring = [(0.1, 0.1), (2.9, 0.1), (2.9, 2.9), (0.1, 2.9)]
+    lots = [(f"lots_{d}", 1, "lot", [ring]) for d in dates if d != "20240104"]  # a lot file without lots
+    out = extract_raster_indices(
+        spark.createDataFrame([(p,) for p in paths], "path string"),
+        spark.createDataFrame(lots, f"stem string, polygon_id int, lot_id string, rings array<{RING}>"),
+        spark.createDataFrame(pixels, "scene_id string, row int, col int, value double"),
+        spark.createDataFrame(transforms, f"scene_id string, {TRANSFORM}, world_file string"),
+    )
+    assert sorted((r.obs_date, r.ndvi_mean) for r in out.collect()) == [("2024-01-01", 0.5), ("2024-01-06", 0.5)]
