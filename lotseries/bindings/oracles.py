@@ -169,6 +169,26 @@ VIEWS["renovated_history"] = """
 SELECT lot_id, harvest, obs_date, crop_age_days, ndvi_ref FROM cycles
 WHERE NOT data_gap AND ndvi_ref IS NOT NULL AND lot_id IN (SELECT lot_id FROM renovated)"""
 
+VIEWS["marked"] = """
+SELECT kind, lot_id, cycle_end, obs_date, ndvi_ref, crop_age_days
+FROM (SELECT *, CASE WHEN harvest IS NULL THEN 'detected' ELSE 'before_harvest' END AS kind
+      FROM cycles
+      WHERE NOT data_gap AND crop_age_days > 200 AND ndvi_ref < 0.2 AND cycle_end IS NOT NULL
+        AND (harvest IS NULL OR obs_date < cycle_end) AND lot_id IN (SELECT lot_id FROM asked))
+QUALIFY row_number() OVER (PARTITION BY kind, lot_id, cycle_end ORDER BY obs_date, ndvi_ref, crop_age_days) = 1"""
+
+VIEWS["event_values"] = """
+SELECT r.lot_id, r.harvest, r.renovation_date, round(v.ndvi_ref, 4) AS ndvi, v.crop_age_days AS age
+FROM renovated r LEFT JOIN (
+  SELECT * FROM renovated_history
+  QUALIFY row_number() OVER (PARTITION BY lot_id, obs_date ORDER BY ndvi_ref, crop_age_days) = 1) v
+  ON v.lot_id = r.lot_id AND v.obs_date = r.renovation_date
+WHERE r.harvest IS NOT NULL"""
+
+VIEWS["growing_rows"] = """
+SELECT lot_id, crop_age_days, ndvi_corrected, ndvi_ref, harvest, obs_date, image_id FROM cycles
+WHERE crop_age_days IS NOT NULL AND ndvi_corrected IS NOT NULL AND lot_id IN (SELECT lot_id FROM growing)"""
+
 # --- two sources ----------------------------------------------------------------------
 
 VIEWS["ref_source"] = """
@@ -463,6 +483,60 @@ def _trace(source: str, cycle: str, colors: int) -> str:
     return _TRACE.replace("SOURCE", source).replace("CYCLE", cycle).replace("COLORS", str(colors))
 
 
+_GROWTH_TRACES = """
+SELECT lot_id, harvest AS cycle, chunk, CAST((dense_rank() OVER (PARTITION BY lot_id ORDER BY harvest) - 1) % 10 AS INTEGER) AS color,
+       age, stac, ref, dates, copies, images
+FROM (SELECT lot_id, harvest, CAST(floor(a / 365) AS INTEGER) AS chunk,
+             string_agg(CAST(a AS VARCHAR), ',' ORDER BY a, s, r NULLS FIRST, d, i) AS age,
+             string_agg(CAST(s AS VARCHAR), ',' ORDER BY a, s, r NULLS FIRST, d, i) AS stac,
+             string_agg(coalesce(CAST(r AS VARCHAR), 'null'), ',' ORDER BY a, s, r NULLS FIRST, d, i) AS ref,
+             string_agg(d, ',' ORDER BY a, s, r NULLS FIRST, d, i) AS dates,
+             string_agg(CAST(n AS VARCHAR), ',' ORDER BY a, s, r NULLS FIRST, d, i) AS copies,
+             string_agg(i, ',' ORDER BY a, s, r NULLS FIRST, d, i) AS images
+      FROM (SELECT lot_id, harvest, crop_age_days AS a, CAST(CAST(ndvi_corrected AS VARCHAR) AS DECIMAL(10, 4)) AS s,
+                   CAST(round(ndvi_ref, 4) AS DECIMAL(10, 4)) AS r, CAST(obs_date AS VARCHAR) AS d, image_id AS i, count(*) AS n
+            FROM growing_rows WHERE harvest IS NOT NULL GROUP BY ALL)
+      GROUP BY ALL)"""
+
+
+def _feed(source: str, cycle: str, colors: int, fields: dict[str, str], order: str, open_label: str = "",
+          events: str = "", event_order: str = "") -> str:
+    """Pieces of a chart feed: brackets of lots, traces and fields, then values; arrays part their values by commas."""
+    names = list(fields)
+    kept = f"SELECT *, {cycle} AS cyc FROM {source}" + ("" if open_label else f" WHERE {cycle} IS NOT NULL")
+    values = " UNION ALL ".join(
+        f"SELECT lot_id, 1 AS section, CAST(cyc AS VARCHAR) AS cycle, {i} AS field, if(k = 1, 1, 2) AS place, "
+        f"if(k = 1, '', ',') || {fields[n]} AS text FROM points" for i, n in enumerate(names)
+    )
+    label = f"""if(k = 1, '', ',') || '{{"label":' || coalesce('"' || CAST(cyc AS VARCHAR) || '"', '"{open_label}"')
+      || ',"color":' || if(cyc IS NULL, 'null', CAST((k - 1) % {colors} AS VARCHAR)) || ',"{names[0]}":['"""
+    brackets = [label, *[f"""'],"{n}":['""" for n in names[1:]], "']}'"]
+    heads = " UNION ALL ".join(
+        f"SELECT lot_id, 1, CAST(cyc AS VARCHAR), {i}, 0, {b} FROM traces" for i, b in enumerate(brackets)
+    )
+    ends = [(0, """'{"label":"' || lot_id || '","traces":['"""), (4, "']}' || chr(10)")]
+    if events:
+        ends.append((3 - 1, """'],"renovations":['"""))
+    frames = " UNION ALL ".join(f"SELECT lot_id, {s}, NULL, 0, 0, {x} FROM (SELECT DISTINCT lot_id FROM traces)" for s, x in ends)
+    more = f""" UNION ALL SELECT lot_id, 3, NULL, 0, if(k = 1, 1, 2), if(k = 1, '', ',') || text FROM (
+      SELECT *, row_number() OVER (PARTITION BY lot_id ORDER BY {event_order}) AS k FROM ({events})
+      WHERE lot_id IN (SELECT lot_id FROM traces))""" if events else ""
+    return f"""SELECT * FROM (
+      WITH points AS (SELECT *, row_number() OVER (PARTITION BY lot_id, cyc ORDER BY {order}) AS k FROM ({kept})),
+           traces AS (SELECT lot_id, cyc, row_number() OVER (PARTITION BY lot_id ORDER BY cyc NULLS LAST) AS k
+                      FROM points GROUP BY lot_id, cyc)
+      {values} UNION ALL {heads} UNION ALL {frames}{more})"""
+
+
+def _num(name: str) -> str:
+    """Four digits, halves away from zero by the digits that are printed."""
+    return f"coalesce(CAST(CAST(CAST({name} AS VARCHAR) AS DECIMAL(20, 4)) AS VARCHAR), 'null')"
+
+
+_AGE = "coalesce(CAST(crop_age_days AS VARCHAR), 'null')"
+_DAY = """('"' || CAST(obs_date AS VARCHAR) || '"')"""
+_BY_DAY = "obs_date, ndvi_ref, crop_age_days NULLS FIRST"
+
 _STATEMENTS: dict[str, str] = {
     "season_keys": "SELECT lot_id, obs_date, season, lot_season FROM obs",
     "yield_keys": "SELECT lot, season, status, lot_season FROM yields",
@@ -502,13 +576,7 @@ _STATEMENTS: dict[str, str] = {
         SELECT lot_id, harvest, renovation_date, age_at_renovation, round(min_ndvi_ref, 4) AS min_ndvi_ref
         FROM renovated""",
     "lot_history": "SELECT * FROM history",
-    "renovation_markers": """
-        SELECT kind, lot_id, cycle_end, obs_date, ndvi_ref, crop_age_days
-        FROM (SELECT *, CASE WHEN harvest IS NULL THEN 'detected' ELSE 'before_harvest' END AS kind
-              FROM cycles
-              WHERE NOT data_gap AND crop_age_days > 200 AND ndvi_ref < 0.2 AND cycle_end IS NOT NULL
-                AND (harvest IS NULL OR obs_date < cycle_end) AND lot_id IN (SELECT lot_id FROM asked))
-        QUALIFY row_number() OVER (PARTITION BY kind, lot_id, cycle_end ORDER BY obs_date, ndvi_ref, crop_age_days) = 1""",
+    "renovation_markers": "SELECT * FROM marked",
     "growth_lots": "SELECT * FROM growing",
     "growth_curves": """
         SELECT lot_id, crop_age_days, ndvi_corrected, ndvi_ref, harvest, obs_date, image_id FROM cycles
@@ -518,15 +586,27 @@ _STATEMENTS: dict[str, str] = {
     "renovated_history": """
         SELECT lot_id, harvest, obs_date, crop_age_days, ndvi_ref FROM cycles
         WHERE NOT data_gap AND ndvi_ref IS NOT NULL AND lot_id IN (SELECT lot_id FROM drawn)""",
-    "values_at_events": """
-        SELECT r.lot_id, r.harvest, r.renovation_date, round(v.ndvi_ref, 4) AS ndvi, v.crop_age_days AS age
-        FROM renovated r LEFT JOIN (
-          SELECT * FROM renovated_history
-          QUALIFY row_number() OVER (PARTITION BY lot_id, obs_date ORDER BY ndvi_ref, crop_age_days) = 1) v
-          ON v.lot_id = r.lot_id AND v.obs_date = r.renovation_date
-        WHERE r.harvest IS NOT NULL""",
+    "values_at_events": "SELECT * FROM event_values",
     "history_traces": _trace("history", "cycle_end", 15),
     "renovated_traces": f"SELECT * FROM ({_trace('renovated_history', 'harvest', 10)}) WHERE cycle IS NOT NULL",
+    "growth_traces": _GROWTH_TRACES,
+    "lot_feed": _feed(
+        "history", "cycle_end", 15, {"fecha": _DAY, "ndvi": _num("ndvi_ref"), "edad": _AGE}, _BY_DAY, "sin cierre",
+        f"""SELECT lot_id, obs_date, ndvi_ref, crop_age_days, cycle_end, kind, '{{"fecha":' || {_DAY} || ',"ndvi":' || {_num("ndvi_ref")}
+              || ',"edad":' || {_AGE} || ',"cierre_ciclo":"' || CAST(cycle_end AS VARCHAR) || '"}}' AS text FROM marked""",
+        _BY_DAY + ", cycle_end, kind",
+    ),
+    "growth_feed": _feed(
+        "growing_rows", "harvest", 10,
+        {"edad": _AGE, "stac": _num("ndvi_corrected"), "ref": _num("ndvi_ref"), "fecha": _DAY, "id_img": """('"' || image_id || '"')"""},
+        "crop_age_days, obs_date, image_id, ndvi_ref NULLS FIRST, ndvi_corrected",
+    ),
+    "renovated_feed": _feed(
+        "renovated_history", "harvest", 10, {"fecha": _DAY, "edad": _AGE, "ndvi": _num("ndvi_ref")}, _BY_DAY, "",
+        f"""SELECT lot_id, harvest, renovation_date, '{{"fecha":"' || CAST(renovation_date AS VARCHAR) || '","ndvi":' || {_num("ndvi")}
+              || ',"edad":' || coalesce(CAST(age AS VARCHAR), 'null') || ',"cierre":"' || harvest || '"}}' AS text FROM event_values""",
+        "harvest, renovation_date",
+    ),
     "clean_index_ranges": """
         SELECT lot_id, obs_date, ndvi AS ndvi_mean, ndwi11 AS ndwi11_mean, msi11 AS msi11_mean FROM clean_stac""",
     "match_sources": "SELECT * FROM matched",

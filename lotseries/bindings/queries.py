@@ -16,6 +16,7 @@ from lotseries.operators import (
     catalog,
     cycles,
     explore,
+    feeds,
     manifest,
     master,
     raster,
@@ -205,7 +206,7 @@ def values_at_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _flat(traces: DataFrame, cycle: str, *arrays: str) -> DataFrame:
     """Arrays as text, so that they compare in any engine."""
-    kinds = {"ndvi": "decimal(10,4)"}
+    kinds = {n: "decimal(10,4)" for n in ("ndvi", "stac", "ref")}
 
     def text(name: str) -> Column:
         plain = F.col(name).cast(f"array<{kinds.get(name, 'string')}>")
@@ -232,6 +233,37 @@ def renovated_traces(spark: SparkSession, sf: str) -> DataFrame:
     return _flat(reports.renovated_traces(history), "harvest", "dates", "ndvi", "age", "copies")
 
 
+def growth_traces(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _stored_cycles(spark, sf)
+    curves = reports.growth_curves(rows, reports.growth_lots(rows))
+    texts = F.array_join("images", ",")
+    numbers = _flat(reports.growth_traces(curves), "harvest", "age", "stac", "ref", "dates", "copies")
+    named = reports.growth_traces(curves).select("lot_id", F.col("harvest").alias("cycle"), "chunk", texts.alias("images"))
+    return numbers.join(named, ["lot_id", "cycle", "chunk"])
+
+
+def _feed(pieces: DataFrame) -> DataFrame:
+    """Pieces with their place in the document; the first value of an array has no comma."""
+    return pieces.select("lot_id", "section", "cycle", "field", "place", "text")
+
+
+def lot_feed(spark: SparkSession, sf: str) -> DataFrame:
+    rows, lots = _stored_cycles(spark, sf), _lot_list(spark, sf)
+    return _feed(feeds.lot_feed(reports.lot_history(rows, lots), reports.renovation_markers(rows, lots)))
+
+
+def growth_feed(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _stored_cycles(spark, sf)
+    return _feed(feeds.growth_feed(reports.growth_curves(rows, reports.growth_lots(rows))))
+
+
+def renovated_feed(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _stored_cycles(spark, sf)
+    events = reports.renovated_harvests(rows)
+    history = reports.renovated_history(rows, events)
+    return _feed(feeds.renovated_feed(history, reports.values_at_events(history, events)))
+
+
 # --- cleaning, matching, calibration ----------------------------------------------------
 
 
@@ -561,7 +593,8 @@ QUERIES: dict[str, Query] = {
         next_harvest, cycle_age, renovation_events, valid_cycles, repaired_cycles,
         ml_dataset, dataset_size, cycle_length_buckets, renovation_report, lot_history,
         renovation_markers, growth_lots, growth_curves, sampled_renovations, renovated_history,
-        values_at_events, history_traces, renovated_traces,
+        values_at_events, history_traces, renovated_traces, growth_traces,
+        lot_feed, growth_feed, renovated_feed,
         clean_index_ranges, match_sources, residuals, matched_counts, source_summary,
         bias_by_year, residual_histogram, scatter_sample, line_fit, identity_range,
         ols_final, ols_cross_validation, cross_validation_summary, ols_holdout,
