@@ -562,6 +562,7 @@ _STATEMENTS: dict[str, str] = {
     "renovation_events": "SELECT * FROM renovations",
     "valid_cycles": "SELECT lot_id, obs_date, harvest, cycle_end, crop_age_days, data_gap, valid_cycle FROM cycles",
     "repaired_cycles": "SELECT lot_id, obs_date, harvest, cycle_end, crop_age_days, data_gap, valid_cycle FROM cycles",
+    "repaired_table": "SELECT lot_id, obs_date, harvest, cycle_end, crop_age_days, data_gap, valid_cycle FROM cycles",
     "ml_dataset": """
         SELECT lot_id, obs_date, image_id, season, harvest, tch, ndvi_ref, ndvi_corrected,
                cycle_end, crop_age_days, data_gap, valid_cycle FROM dataset""",

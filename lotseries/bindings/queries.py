@@ -25,9 +25,10 @@ from lotseries.operators import (
     sampling,
 )
 from lotseries.operators.matching import clean_ranges
-from lotseries.plans import extraction
+from lotseries.plans import extraction, training
 from lotseries.plans.calibration import matched_sources
 from lotseries.sources import pixel_store, readers, writers
+from lotseries.sources.merge import reset_columns
 from lotseries.sources.stored import fresh_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +138,18 @@ def repaired_cycles(spark: SparkSession, sf: str) -> DataFrame:
     return repaired.select("lot_id", "obs_date", "harvest", *cycles.CYCLE_COLUMNS)
 
 
+def repaired_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on a stored table: spoil some seasons in place, repair them, read the table back."""
+    path = fresh_path(spark)
+    names = ["lot_id", "obs_date", "harvest", *cycles.CYCLE_COLUMNS]
+    rows = _cycles(spark, sf).select(*names, "season")
+    rows.hint("rebalance", "season").write.partitionBy("season").parquet(path)
+    spoiled = {"crop_age_days": F.lit(None), "data_gap": F.lit(True), "valid_cycle": F.lit(False)}
+    reset_columns(spark, path, spoiled, ["season"], F.col("season").isin("1996_1997", "1999_2000"))
+    training.repair_table(spark, path, ["season"])
+    return spark.read.parquet(path).select(*names)
+
+
 # --- reports --------------------------------------------------------------------------
 
 
@@ -591,6 +604,7 @@ QUERIES: dict[str, Query] = {
         season_keys, yield_keys, master_left_join, age_since_known_harvest,
         age_since_previous_season, age_with_ratoon, season_gap_flags, season_gaps, rollback_age,
         next_harvest, cycle_age, renovation_events, valid_cycles, repaired_cycles,
+        repaired_table,
         ml_dataset, dataset_size, cycle_length_buckets, renovation_report, lot_history,
         renovation_markers, growth_lots, growth_curves, sampled_renovations, renovated_history,
         values_at_events, history_traces, renovated_traces, growth_traces,

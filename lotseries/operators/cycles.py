@@ -220,12 +220,19 @@ def add_cycles(master: DataFrame) -> DataFrame:
     return attach(master, renovated_cycles(lot_days(master)), CYCLE_COLUMNS)
 
 
-def recompute_cycles(master: DataFrame) -> DataFrame:
-    """Repair: age, gap and validity again from the cycle ends already stored."""
+REPAIRED_COLUMNS = ["crop_age_days", "data_gap", "valid_cycle"]
+
+
+def repaired_days(master: DataFrame) -> DataFrame:
+    """Age, gap and validity per lot and day, again from the cycle ends already stored."""
     days = (
         master.where("lot_id is not null and obs_date is not null")
         .groupBy("lot_id", F.col("obs_date").cast("date").alias("obs_date"))
         .agg(F.count("*").alias("row_count"), F.max("cycle_end").alias("cycle_end"))
     )
-    fixed = with_valid_cycle(with_repaired_age_and_gap(days))
-    return attach(master, fixed, ["crop_age_days", "data_gap", "valid_cycle"])
+    return with_valid_cycle(with_repaired_age_and_gap(days))
+
+
+def recompute_cycles(master: DataFrame) -> DataFrame:
+    """Repair: the master with age, gap and validity computed again."""
+    return attach(master, repaired_days(master), REPAIRED_COLUMNS)

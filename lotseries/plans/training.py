@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotseries.operators.cycles import add_cycles
+from lotseries.operators.cycles import DAY_KEY, REPAIRED_COLUMNS, add_cycles, repaired_days
 from lotseries.operators.master import add_season, add_yield_key, build_master
 from lotseries.operators.reports import ml_dataset
 from lotseries.schema import YIELD_COLUMNS
+from lotseries.sources.merge import merge_update
 from lotseries.sources.writers import write_table
 
 
@@ -42,3 +43,12 @@ def build_tables(
     write_table(master_table(observations, yields), joined)
     write_table(add_cycles(spark.table(joined)), master)
     write_table(ml_dataset(spark.table(master)), dataset)
+
+
+def repair_table(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """Compute age, gap and validity of a stored master again; the partitions that had to be rewritten.
+
+    A second run finds nothing to change and leaves every file as it is.
+    """
+    days = repaired_days(spark.read.parquet(path))
+    return merge_update(spark, path, days, DAY_KEY, REPAIRED_COLUMNS, partition_by)

@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder()
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
@@ -41,7 +41,7 @@ def _file_system(spark: SparkSession, path: str):
 def fresh_path(spark: SparkSession) -> str:
     """A new path in the shared folder; it goes with ``drop_stored`` or when Spark ends."""
     path = f"{shared_folder(spark)}/lotseries/{uuid.uuid4().hex}"
-    files, where = _file_system(spark, path)
+    files, where = file_system(spark, path)
     files.deleteOnExit(where)
     _written.add(path)
     return path
@@ -73,6 +73,6 @@ def drop_stored(spark: SparkSession) -> None:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    files, where = _file_system(spark, path)
+    files, where = file_system(spark, path)
     files.delete(where, True)
     _written.difference_update([p for p in _written if p.endswith(path[-32:])])
