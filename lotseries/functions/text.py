@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,26 +39,19 @@ def clean_cell(cell: Column) -> Column:
     return F.trim(text, F.lit(SPACES))
 
 
-def _slug_rule() -> Callable[[str], str]:
-    # made here, not at module level, so that it travels to the workers by value
-    def slug(name: str) -> str:
-        """Column name of a header cell: plain ASCII, lower case, words joined by ``_``."""
-        plain = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
-        return re.sub(r"\W+", "_", plain.lower()).strip("_")
-
-    return slug
-
-
-slug = _slug_rule()
+def slug(name: str) -> str:
+    """Column name of a header cell: plain ASCII, lower case, words joined by ``_``."""
+    plain = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
+    return re.sub(r"\W+", "_", plain.lower()).strip("_")
 
 
 def slug_column(names: Column) -> Column:
     """``slug`` for a column of names; Spark has no Unicode decomposition of its own."""
-    rule = slug
 
     @F.pandas_udf("string")
     def slugs(batch: pd.Series) -> pd.Series:
-        return batch.map(rule, na_action="ignore")
+        plain = batch.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+        return plain.str.lower().str.replace(r"\W+", "_", regex=True).str.strip("_")
 
     return slugs(names)
 

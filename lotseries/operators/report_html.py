@@ -1,15 +1,17 @@
 """HTML yield reports: rows, header, column names, typed columns.
 
-A report is read in pieces that end with ``</tr>``, so one large file is split
-over many tasks. Rows keep their place in the file by (file, start of the
-split, number within the split). Only the header row comes to the driver.
+A report is read in byte ranges, whatever the case of its tags, so one large file is split over many
+tasks. Rows keep their place in the file by (file, start of the split, number within the split). Only the
+header row comes to the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotseries.functions.text import html_cells, html_rows, number, slug, whole_number
@@ -20,38 +22,94 @@ HEADER_MIN_CELLS = 10
 
 POSITION = ["file", "block", "line", "pos"]
 
+# Bytes without a closing tag that are held before they are handed on as part of a row.
+MOST_HELD = 1_000_000
+
+_PIECES = pa.schema(
+    [("file", pa.string()), ("block", pa.int64()), ("line", pa.int64()), ("part", pa.int32())]
+    + [("closed", pa.bool_()), ("alone", pa.bool_()), ("text", pa.string())]
+)
+
+
+class _Range:
+    """The rows of one byte range: pieces that end with a closing tag, and what lies behind the last."""
+
+    def __init__(self, file: str, block: int) -> None:
+        self.file, self.block = file, block
+        self.line = self.part = self.held_bytes = 0
+        self.held: list[bytes] = []
+
+    def piece(self, closed: bool) -> tuple:
+        # the first row may have begun in the range before, the last one may go on in the next
+        alone = closed and self.line > 0 and self.part == 0
+        text = b"".join(self.held).decode("utf-8", "replace")
+        found = (self.file, self.block, self.line, self.part, closed, alone, text)
+        self.held, self.held_bytes = [], 0
+        self.line, self.part = (self.line + 1, 0) if closed else (self.line, self.part + 1)
+        return found
+
+    def add(self, tag: bytes) -> tuple | None:
+        self.held += [tag, b">"]
+        self.held_bytes += len(tag) + 1
+        if tag[-4:].lower() == b"</tr":
+            return self.piece(True)
+        return self.piece(False) if self.held_bytes > MOST_HELD else None
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([dict(zip(_PIECES.names, row)) for row in found], _PIECES)
+
+    now: _Range | None = None
+    for batch in batches:
+        found = []
+        for tag, file, block in zip(*[column.to_pylist() for column in batch.columns]):
+            if now is None or (now.file, now.block) != (file, block):
+                if now is not None:
+                    found.append(now.piece(False))
+                now = _Range(file, block)
+            piece = now.add(tag)
+            if piece is not None:
+                found.append(piece)
+        yield made(found)
+    if now is not None:
+        yield made([now.piece(False)])
+
+
+def _joined_pieces(pieces: DataFrame) -> DataFrame:
+    """Rows that go over the border of byte ranges; what no closing tag follows is none."""
+    by_place = W.partitionBy("file").orderBy("block", "line", "part")
+    before = by_place.rowsBetween(W.unboundedPreceding, -1)
+    number = F.coalesce(F.sum(F.col("closed").cast("int")).over(before), F.lit(0))
+    numbered = pieces.where("not alone").withColumn("number", number)
+    last = F.max(F.when(F.col("closed"), F.col("number"))).over(W.partitionBy("file"))
+    parts = F.sort_array(F.collect_list(F.struct("block", "line", "part", "text")))
+    rows = numbered.withColumn("last", last).where("number <= last").groupBy("file", "number").agg(parts.alias("parts"))
+    first = F.col("parts")[0]
+    return rows.select("file", first.block.alias("block"), first.line.alias("line"), F.array_join("parts.text", "").alias("text"))
+
 
 def read_report_rows(spark: SparkSession, path: str) -> DataFrame:
     """Cells of every row with any content of the reports at a path, with its position.
 
-    A file that writes ``</TR>`` stays whole in one piece; its rows are found all the same. What
-    follows the last closing tag of a file is no row.
+    The files are read tag by tag (records end with ``>``), so their byte ranges are shared out like those of any text.
+    Each range is cut behind its closing row tags, of any case; only what lies before the first and behind the
+    last of them, where a row may go over the border, is put together afterwards. What follows the last closing
+    tag of a file is no row (a last ``>`` may be missing). Bytes that are no UTF-8 are replaced.
     """
-    pieces = (
-        spark.read.option("lineSep", "</tr>")
+    tags = (
+        spark.read.option("lineSep", ">")
         .text(path)
         .select(
-            "value",
+            F.col("value").cast("binary"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.col("_metadata.file_size").alias("size"),
-        )
-        .withColumn("line", F.monotonically_increasing_id())
-    )
-    # A file whose pieces and closing tags add up to more than its size does not end in one.
-    open_ends = (
-        pieces.groupBy("file")
-        .agg(
-            F.max(F.struct("block", "line")).alias("last"),
-            F.sum(F.octet_length("value") + F.lit(len("</tr>"))).alias("closed"),
-            F.max("size").alias("size"),
         )
-        .where("closed > size")
-        .select("file", "last.block", "last.line", F.lit(True).alias("is_open"))
     )
-    marked = pieces.join(open_ends, ["file", "block", "line"], "left")
-    whole = F.concat("value", F.when(F.col("is_open"), F.lit("")).otherwise(F.lit("</tr>")))
-    rows = marked.select("file", "block", "line", F.posexplode(html_rows(whole)).alias("pos", "row"))
+    schema = "file string, block bigint, line bigint, part int, closed boolean, alone boolean, text string"
+    pieces = stored(tags.mapInArrow(_pieces, schema))
+    whole = pieces.where("alone").select("file", "block", "line", "text").union(_joined_pieces(pieces))
+    rows = whole.select("file", "block", "line", F.posexplode(html_rows(F.col("text"))).alias("pos", "row"))
     return rows.select(*POSITION, filled_rows(F.col("row")).alias("cells"))
 
 
@@ -165,6 +223,6 @@ def parse_report(rows: DataFrame, position: Sequence[str] = POSITION, min_cells:
     return type_table(to_columns(body, names), names)
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
+def read_report(spark: SparkSession, path: str, min_cells: int = HEADER_MIN_CELLS) -> DataFrame:
     """Typed table of the report file at a path."""
-    return parse_report(read_report_rows(spark, path))
+    return parse_report(read_report_rows(spark, path), min_cells=min_cells)

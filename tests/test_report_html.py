@@ -67,6 +67,36 @@ def test_rows_keep_their_order_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_mixed_case_tags_over_many_ranges(spark, tmp_path):
+    rows = [["t"], HEAD] + [line(i, nota="ä" * (i % 50)) for i in range(1500)]
+    text = html(rows)
+    for k in range(0, 1500, 3):
+        text = text.replace(f"<td class='x'>07-{k:04}</td>", f"<TD class='x'>07-{k:04}</Td>")
+    pieces = text.split("</tr>")
+    text = "".join(p + ("</tr>", "</TR>", "</Tr>")[i % 3] for i, p in enumerate(pieces[:-1])) + pieces[-1].replace("<tr", "<TR")
+    for name, end in (("a.htm", ""), ("b.htm", "<tr><td>no end</td>"), ("c.htm", " > </tr> after")):
+        (tmp_path / name).write_text(text + end, encoding="utf-8")
+    (tmp_path / "d.htm").write_bytes(b"<tr><td>\xff\xfe</td><td>" + b"y" * 90_000 + b"</td></tr><tr><td>z")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        raw = rh.read_report_rows(spark, str(tmp_path))
+        assert raw.where("file like '%a.htm'").select("block").distinct().count() > 10
+        for name in "abc":
+            found = raw.where(f"file like '%{name}.htm'").orderBy(*rh.POSITION).select("cells").collect()
+            assert [r.cells[1] for r in found[2:]] == [f"07-{i:04}" for i in range(1500)]
+            assert [r.cells[11] for r in found[2:]] == ["ä" * (i % 50) for i in range(1500)]
+        last = raw.where("file like '%d.htm'").collect()
+        assert [[len(c) for c in r.cells] for r in last] == [[2, 90_000]]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_pieces_without_a_closing_tag_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rh, "MOST_HELD", 50)
+    (tmp_path / "r.htm").write_text("<p>" * 100 + html([["a", "b"], ["c" * 200, "d"] * 30, ["e"]]) + "<p>" * 100)
+    assert [r.cells for r in rh.read_report_rows(spark, str(tmp_path)).orderBy(*rh.POSITION).collect()] == [["a", "b"], ["c" * 200, "d"] * 30, ["e"]]
+
+
 def test_slugs(spark):
     names = {"Área (ha)": "area_ha", " % de Infestación/Barrenador ": "de_infestacion_barrenador", "a—b": "ab", "straße ²": "strae_2", "ﬁn": "fin", "": ""}
     assert {n: slug(n) for n in names} == names
