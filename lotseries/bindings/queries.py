@@ -83,8 +83,7 @@ def age_with_ratoon(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def season_gap_flags(spark: SparkSession, sf: str) -> DataFrame:
-    aged = master.age_with_ratoon(t.master(spark, sf))
-    return master.flag_season_gaps(aged).select(*_AGE, "data_gap")
+    return master.ratoon_age_and_gaps(t.master(spark, sf)).select(*_AGE, "data_gap")
 
 
 def season_gaps(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,8 +91,10 @@ def season_gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rollback_age(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = master.flag_season_gaps(master.age_with_ratoon(t.master(spark, sf)))
-    rolled = master.rollback_to_first_age(flagged)
+    """Ages and gaps, then the first rule again: both look up the same table of seasons."""
+    rows = t.master(spark, sf)
+    seasons = stored(master.lot_seasons(rows))
+    rolled = master.rollback_to_first_age(master.ratoon_age_and_gaps(rows, seasons), seasons)
     return rolled.agg(F.count("*").alias("rows"), F.count("crop_age_days").alias("rows_with_age"))
 
 

@@ -52,85 +52,108 @@ def build_master(
 
 # --- rules that follow the season calendar -----------------------------------------------
 #
-# They work on the distinct (lot, season, harvest) triples of the master. A lot has few of
-# them however many rows it has, and the aggregation that finds them combines rows before
-# the shuffle, so a window per lot stays small.
+# They all read one table of the (lot, season) pairs of the master, which holds what the rules ask of
+# the seasons before. A lot has few pairs however many rows it has, and the aggregation that finds
+# them combines rows before the shuffle, so its windows per lot stay small. The rows look a pair up
+# once; the rules are then plain expressions.
 
+LOOKUP = ["harvest_before", "season_before_harvest", "season_gap"]
 
-def _harvest_triples(master: DataFrame) -> DataFrame:
-    return master.where("lot_id is not null and season is not null").select(
-        "lot_id", "season", "harvest"
-    ).distinct()
 
+def lot_seasons(master: DataFrame) -> DataFrame:
+    """What each (lot, season) knows of the seasons before: ``lot_id, season`` and
 
-def _previous_harvest(triples: DataFrame) -> DataFrame:
-    """Previous harvest in season order per (lot, season); the latest if there are several."""
+    * ``harvest_before``: the latest earlier harvest, for seasons that have one of their own,
+    * ``season_before_harvest``: the harvest of the season observed before, null if that has none,
+    * ``season_gap``: the season has a harvest, the calendar season before has none, an earlier one has.
+
+    If several previous harvests match, the latest counts.
+    """
+    triples = master.where("lot_id is not null and season is not null").select("lot_id", "season", "harvest").distinct()
     day = harvest_day(F.col("harvest"))
-    order = W.partitionBy("lot_id").orderBy(
-        "season", day.asc_nulls_last(), F.col("harvest").asc_nulls_last()
+    order = W.partitionBy("lot_id").orderBy("season", day.asc_nulls_last(), F.col("harvest").asc_nulls_last())
+    earlier = order.rowsBetween(W.unboundedPreceding, -1)
+    lagged = triples.withColumns(
+        {
+            "any": harvest_day(F.lag("harvest").over(order)),
+            "known": F.when(F.col("harvest").isNotNull(), harvest_day(F.last("harvest", True).over(earlier))),
+        }
+    )
+    seasons = lagged.groupBy("lot_id", "season").agg(
+        F.max("known").alias("harvest_before"),
+        F.max("any").alias("season_before_harvest"),
+        (F.count("harvest") > 0).alias("has_harvest"),
+    )
+    by_season = W.partitionBy("lot_id").orderBy("season").rowsBetween(W.unboundedPreceding, -1)
+    last_known = F.last(F.when(F.col("has_harvest"), F.col("season")), True).over(by_season)
+    gap = F.col("has_harvest") & (F.col("last_known") != previous_season(F.col("season")))
+    return (
+        seasons.withColumn("last_known", last_known)
+        .withColumn("season_gap", F.coalesce(gap, F.lit(False)))
+        .select("lot_id", "season", *LOOKUP)
     )
-    lagged = triples.withColumn("previous", harvest_day(F.lag("harvest").over(order)))
-    return lagged.groupBy("lot_id", "season").agg(F.max("previous").alias("previous_harvest"))
 
 
-def _with_previous(master: DataFrame, triples: DataFrame) -> DataFrame:
-    """Add the previous harvest to the rows.
+def with_lot_seasons(master: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
+    """Rows with the columns of their (lot, season) in ``lot_seasons``, which may be given.
 
     The join is on the combined key on purpose: the lookup, grouped by (lot,
     season), then gets a shuffle of its own, and only a join of two shuffles can
     have a hot key split by the adaptive skew join.
     """
     key = lot_season(F.col("lot_id"), F.col("season"))
-    lookup = _previous_harvest(triples).select(key.alias("_key"), "previous_harvest")
+    lookup = (lot_seasons(master) if seasons is None else seasons).select(key.alias("_key"), *LOOKUP)
     return master.withColumn("_key", key).join(lookup, "_key", "left").drop("_key")
 
 
-def age_since_known_harvest(master: DataFrame) -> DataFrame:
+def _known_age() -> Column:
+    return F.date_diff("obs_date", "harvest_before")
+
+
+def _ratoon_age() -> Column:
+    own = harvest_day(F.col("harvest"))
+    start = F.when(F.col("obs_date") > own, own).otherwise(F.col("season_before_harvest"))
+    return F.when(F.col("harvest").isNotNull(), F.date_diff("obs_date", start))
+
+
+def _season_gap() -> Column:
+    return F.coalesce("season_gap", F.lit(False))
+
+
+def age_since_known_harvest(master: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
     """Age from the latest earlier season that has a harvest."""
-    known = _harvest_triples(master.where("harvest is not null"))
-    return _with_previous(master, known).withColumn(
-        "crop_age_days", F.date_diff("obs_date", "previous_harvest")
-    ).drop("previous_harvest")
+    return with_lot_seasons(master, seasons).withColumn("crop_age_days", _known_age()).drop(*LOOKUP)
 
 
-def age_since_previous_season(master: DataFrame) -> DataFrame:
+def age_since_previous_season(master: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
     """Age from the season observed before; null if that season has no harvest."""
-    return _with_previous(master, _harvest_triples(master)).withColumn(
-        "crop_age_days", F.date_diff("obs_date", "previous_harvest")
-    ).drop("previous_harvest")
+    age = F.date_diff("obs_date", "season_before_harvest")
+    return with_lot_seasons(master, seasons).withColumn("crop_age_days", age).drop(*LOOKUP)
 
 
-def age_with_ratoon(master: DataFrame) -> DataFrame:
+def age_with_ratoon(master: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
     """Age from the season's own harvest after it, from the previous one before it."""
-    own = harvest_day(F.col("harvest"))
-    start = F.when(F.col("obs_date") > own, own).otherwise(F.col("previous_harvest"))
-    age = F.when(F.col("harvest").isNotNull(), F.date_diff("obs_date", start))
-    return _with_previous(master, _harvest_triples(master)).withColumn(
-        "crop_age_days", age
-    ).drop("previous_harvest")
+    return with_lot_seasons(master, seasons).withColumn("crop_age_days", _ratoon_age()).drop(*LOOKUP)
 
 
 def season_gaps(master: DataFrame) -> DataFrame:
     """(lot, season) pairs with a harvest whose previous season has none, first seasons excepted."""
-    known = master.where(
-        "harvest is not null and lot_id is not null and season is not null"
-    ).select("lot_id", "season").distinct()
-    earlier = F.min("season").over(W.partitionBy("lot_id")) < F.col("season")
-    expected = previous_season(F.col("season"))
-    candidates = known.withColumn("has_earlier", earlier).withColumn("expected", expected)
-    present = known.withColumnRenamed("season", "expected")
-    missing = candidates.where("has_earlier").join(present, ["lot_id", "expected"], "left_anti")
-    return missing.select("lot_id", "season")
-
-
-def flag_season_gaps(master: DataFrame, age: str = "crop_age_days") -> DataFrame:
+    return lot_seasons(master).where("season_gap").select("lot_id", "season")
+
+
+def flag_season_gaps(master: DataFrame, age: str = "crop_age_days", seasons: DataFrame | None = None) -> DataFrame:
     """Add ``data_gap`` by the season rule; the age of flagged rows becomes null."""
-    gaps = season_gaps(master).withColumn("data_gap", F.lit(True))
-    flagged = master.drop("data_gap").join(gaps, ["lot_id", "season"], "left")
-    gap: Column = F.coalesce("data_gap", F.lit(False))
-    return flagged.withColumns({"data_gap": gap, age: F.when(~gap, F.col(age))})
+    found = with_lot_seasons(master.drop("data_gap"), seasons)
+    return found.withColumns({"data_gap": _season_gap(), age: F.when(~_season_gap(), F.col(age))}).drop(*LOOKUP)
+
+
+def ratoon_age_and_gaps(master: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
+    """``age_with_ratoon`` and ``flag_season_gaps`` of it, by one lookup."""
+    found = with_lot_seasons(master.drop("data_gap", "crop_age_days"), seasons)
+    age = F.when(~_season_gap(), _ratoon_age())
+    return found.withColumns({"crop_age_days": age, "data_gap": _season_gap()}).drop(*LOOKUP)
 
 
-def rollback_to_first_age(master: DataFrame) -> DataFrame:
+def rollback_to_first_age(master: DataFrame, seasons: DataFrame | None = None) -> DataFrame:
     """Drop the gap flag and compute the age by the first rule again."""
-    return age_since_known_harvest(master.drop("data_gap", "crop_age_days"))
+    return age_since_known_harvest(master.drop("data_gap", "crop_age_days"), seasons)
