@@ -442,6 +442,14 @@ SELECT page_id, list_transform(regexp_extract_all(list_row, '(?is)<li[^>]*>(.*?)
 FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<ul[^>]*>(.*?)</ul>', 1)) AS list_row FROM pages)"""
 
 
+VIEWS["report"] = """
+SELECT o_orderkey AS pedido_n, o_custkey AS lote, strftime(o_orderdate, '%d/%m/%Y') AS cierre,
+       o_totalprice AS produccion, nullif(o_orderstatus, 'O') AS col_4,
+       CASE WHEN o_orderpriority = '5-LOW' THEN '7d' ELSE o_orderpriority[1:1] END AS area_ha,
+       'L' || (o_custkey % 100) AS lote_1
+FROM orders"""
+
+
 def _sql(body: str) -> str:
     """Put the views a statement uses in front of it, each after those it builds on."""
     order: list[str] = []
@@ -628,9 +636,10 @@ _STATEMENTS: dict[str, str] = {
         SELECT year, index, round(avg(x - y), 6) AS bias_mean, round(stddev_samp(x - y), 6) AS bias_std
         FROM long_pairs GROUP BY ALL""",
     "residual_histogram": """
-        SELECT CAST(least(floor((v - lo) / (hi - lo) * 100), 99) AS INTEGER) AS bin, count(*) AS rows
-        FROM (SELECT ndvi_stac - ndvi_ref AS v, min(v) OVER () AS lo, max(v) OVER () AS hi FROM matched)
-        WHERE v IS NOT NULL GROUP BY ALL""",
+        SELECT index, CAST(least(floor((v - lo) / (hi - lo) * 100), 99) AS INTEGER) AS bin, count(*) AS rows
+        FROM (SELECT index, x - y AS v, min(v) OVER (PARTITION BY index) AS lo, max(v) OVER (PARTITION BY index) AS hi
+              FROM pairs)
+        GROUP BY ALL""",
     "scatter_sample": """
         SELECT lot_id, obs_date, ndvi_stac, ndvi_ref FROM matched
         ORDER BY md5('42|' || lot_id || '|' || CAST(obs_date AS VARCHAR)) LIMIT 2000""",
@@ -759,7 +768,7 @@ _STATEMENTS: dict[str, str] = {
         SELECT page_id, CAST(i AS INTEGER) AS cell_no, cells[i + 1] AS cell
         FROM (SELECT page_id, cells, unnest(range(len(cells))) AS i FROM lists)""",
     "html_table": "SELECT page_id, "
-    + ", ".join(f"nullif(cells[{i + 1}], '') AS c{i}" for i in range(8))
+    + ", ".join(f"nullif(cells[{i + 1}], '') AS c{i}" for i in range(3))
     + " FROM lists WHERE len(list_filter(cells, lambda c: c <> '')) > 0",
     "slug_columns": r"""
         SELECT page_id, trim(regexp_replace(lower(regexp_replace(strip_accents(
@@ -782,11 +791,41 @@ _STATEMENTS: dict[str, str] = {
             "c_nationkey": "CAST(c_nationkey AS VARCHAR)",
         }.items()
     ),
-    "report_ingest": """
-        SELECT o_orderkey AS pedido_n, o_custkey AS lote, strftime(o_orderdate, '%d/%m/%Y') AS cierre,
-               o_totalprice AS produccion, nullif(o_orderstatus, 'O') AS estado,
-               CASE WHEN o_orderpriority = '5-LOW' THEN '7d' ELSE o_orderpriority[1:1] END AS area_ha
-        FROM orders""",
+    "report_ingest": "SELECT * FROM report",
+    "report_file": "SELECT * FROM report",
+    "scene_files": """
+        SELECT lot_id, obs_date, image_id, ndvi AS ndvi_mean, ndwi11 AS ndwi11_mean, msi11 AS msi11_mean,
+               CAST(year(obs_date) AS INTEGER) AS year FROM stac_source""",
+    "united_years": """
+        SELECT lot_id, obs_date, year, ndvi AS ndvi_mean, ndwi11 AS ndwi11_mean, msi11 AS msi11_mean
+        FROM ref_source WHERE year IN (1995, 1997, 1998)""",
+    "listed_files": "SELECT DISTINCT year FROM ref_source",
+    "factor_files": f"""
+        SELECT 'final' AS part, index, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept
+        FROM pairs GROUP BY index UNION ALL
+        SELECT 'validation_1', index, {_ROUNDED_LINE} FROM holdout_line""",
+    "table_as_select": "SELECT lot_id, obs_date, season, harvest, tch FROM master",
+    "history_by_parameters": """
+        SELECT lot_id, obs_date, ndvi_ref FROM obs
+        WHERE CAST(lot_id AS INTEGER) BETWEEN 1 AND 59 AND CAST(lot_id AS INTEGER) % 2 = 1 AND ndvi_ref >= 0.1""",
+    "calibration": f"""
+        SELECT 'final' AS part, NULL::INTEGER AS year, index, round(regr_slope(y, x), 6) AS slope,
+               round(regr_intercept(y, x), 6) AS intercept FROM pairs WHERE index <> 'msi11' GROUP BY index
+        UNION ALL SELECT 'holdout', NULL, index, {_ROUNDED_LINE} FROM holdout_line WHERE index <> 'msi11'
+        UNION ALL SELECT 'fold', year, index, {_ROUNDED_LINE} FROM folds WHERE index <> 'msi11'
+        UNION ALL SELECT if(label = 0, 'final', 'fold'), nullif(label, 0), 'msi11', round(a, 6), round(b, 6)
+                  FROM huber_{HUBER_STEPS}
+        UNION ALL SELECT 'holdout', NULL, 'msi11', round(a, 6), round(b, 6) FROM huber_{HUBER_STEPS} WHERE label = 2000""",
+    "lot_files": """
+        SELECT 'plain' AS kind, polygon_id, CAST(polygon_id AS VARCHAR) AS lot_id, 12 AS corners FROM lots
+        UNION ALL SELECT 'named', polygon_id, lot_id, 12 FROM lots""",
+    "pixel_files": """
+        SELECT 'S2A_' || (row // 40 * 100 + col // 40) || '_0' AS scene_id, band, CAST(row % 40 // size AS INTEGER) AS row,
+               CAST(col % 40 // size AS INTEGER) AS col,
+               CASE band WHEN 'nir' THEN value + 0.4::DOUBLE WHEN 'red' THEN mirror + 0.2::DOUBLE
+                         ELSE value * 0.5 + 0.3::DOUBLE END AS value
+        FROM pixels, (VALUES ('nir', 1), ('red', 1), ('swir16', 2)) AS b(band, size)
+        WHERE row % size = 0 AND col % size = 0""",
 }
 
 ORACLES: dict[str, str] = {name: _sql(body) for name, body in _STATEMENTS.items()}

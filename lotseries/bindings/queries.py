@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +27,7 @@ from lotseries.operators import (
 )
 from lotseries.operators.matching import clean_ranges
 from lotseries.plans import extraction, training
-from lotseries.plans.calibration import matched_sources
+from lotseries.plans.calibration import calibrate_sources, matched_sources
 from lotseries.sources import pixel_store, readers, writers
 from lotseries.sources.merge import reset_columns
 from lotseries.sources.stored import fresh_path, stored
@@ -285,6 +286,16 @@ def _matched(spark: SparkSession, sf: str) -> DataFrame:
     return matched_sources(t.reference_source(spark, sf), t.scene_source(spark, sf))
 
 
+def _stored_matched(spark: SparkSession, sf: str) -> DataFrame:
+    """Matched rows as a stored table, for queries that read them more than once."""
+    return stored(_matched(spark, sf))
+
+
+def _years(matched: DataFrame) -> list[int]:
+    """One row per calendar year."""
+    return sorted(r[0] for r in matched.select("year").distinct().collect())
+
+
 def clean_index_ranges(spark: SparkSession, sf: str) -> DataFrame:
     return clean_ranges(t.scene_source(spark, sf)).select(
         "lot_id", "obs_date", "ndvi_mean", "ndwi11_mean", "msi11_mean"
@@ -315,7 +326,7 @@ def bias_by_year(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def residual_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return explore.residual_histogram(_matched(spark, sf), "ndvi")
+    return explore.residual_histogram(_stored_matched(spark, sf))
 
 
 def scatter_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -336,15 +347,15 @@ def ols_final(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ols_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(calibrate.cross_validate(_matched(spark, sf)))
+    return _rounded(calibrate.cross_validate(_stored_matched(spark, sf)))
 
 
 def cross_validation_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(calibrate.summarize_folds(calibrate.cross_validate(_matched(spark, sf))))
+    return _rounded(calibrate.summarize_folds(calibrate.cross_validate(_stored_matched(spark, sf))))
 
 
 def ols_holdout(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(calibrate.fit_holdout(_matched(spark, sf), TEST_YEAR))
+    return _rounded(calibrate.fit_holdout(_stored_matched(spark, sf), TEST_YEAR))
 
 
 def huber_final(spark: SparkSession, sf: str) -> DataFrame:
@@ -356,10 +367,22 @@ def huber_holdout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def huber_cross_validation(spark: SparkSession, sf: str) -> DataFrame:
-    matched = _matched(spark, sf)
-    # one row per calendar year
-    years = sorted(r[0] for r in t.reference_source(spark, sf).select("year").distinct().collect())
-    return _rounded(calibrate.cross_validate_huber(matched, "msi11", years))
+    matched = _stored_matched(spark, sf)
+    return _rounded(calibrate.cross_validate_huber(matched, "msi11", _years(matched)))
+
+
+def calibration(spark: SparkSession, sf: str) -> DataFrame:
+    """Every index with its own model: final lines, lines of the hold-out and of all folds."""
+    matched = _stored_matched(spark, sf)
+    fits = calibrate_sources(matched, _years(matched), TEST_YEAR)
+    line = ["index", "slope", "intercept"]
+    none = F.lit(None).cast("int").alias("year")
+    parts = [
+        fits.final.select(F.lit("final").alias("part"), none, *line),
+        fits.holdout.select(F.lit("holdout").alias("part"), none, *line),
+        fits.folds.select(F.lit("fold").alias("part"), F.col("year").cast("int").alias("year"), *line),
+    ]
+    return _rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 def apply_correction(spark: SparkSession, sf: str) -> DataFrame:
@@ -384,6 +407,56 @@ def index_files_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_reference(spark, path)
 
 
+def scene_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Index means of scenes written by year and read back; the year is that of the date."""
+    path = fresh_path(spark)
+    writers.write_indices(t.scene_source(spark, sf), path)
+    return readers.read_scene_indices(spark, path)
+
+
+def united_years(spark: SparkSession, sf: str) -> DataFrame:
+    """The folders of three years read as one table."""
+    path = fresh_path(spark)
+    writers.write_indices(t.reference_source(spark, sf), path)
+    return readers.read_reference(spark, path, [1995, 1997, 1998])
+
+
+def listed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Years of the Parquet files found below a folder."""
+    path = fresh_path(spark)
+    writers.write_indices(t.reference_source(spark, sf), path)
+    files = readers.read_manifest(spark, path, ".parquet")
+    return files.where("length > 0").select(readers.folder_year(F.col("path")).alias("year")).distinct()
+
+
+def factor_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Both factor sets written as JSON and read back."""
+    matched, path = _stored_matched(spark, sf), fresh_path(spark)
+    validation = calibrate.fit_holdout(matched, TEST_YEAR).select("index", "slope", "intercept")
+    writers.write_factors(calibrate.fit_final(matched), validation, path)
+    sets = [readers.read_factors(spark, path, name).withColumn("part", F.lit(name)) for name in ("final", "validation_1")]
+    return _rounded(sets[0].unionByName(sets[1]))
+
+
+def table_as_select(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that is replaced by the result of a query."""
+    name = f"lotseries_{uuid.uuid4().hex}"
+    rows = t.master(spark, sf).select("lot_id", "obs_date", "season", "harvest", "tch")
+    writers.write_table(t.observations(spark, sf).select("lot_id"), name)
+    writers.write_table(rows, name)
+    found = stored(spark.table(name))
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def history_by_parameters(spark: SparkSession, sf: str) -> DataFrame:
+    """A SQL text with a list and a number as parameters; the lots are those of `_lot_list`."""
+    view = f"observations_{uuid.uuid4().hex}"
+    t.observations(spark, sf).createOrReplaceTempView(view)
+    sql = f"SELECT lot_id, obs_date, ndvi_ref FROM {view} WHERE array_contains(:lots, lot_id) AND ndvi_ref >= :low"
+    return readers.read_query(spark, sql, lots=[str(k) for k in range(1, 60, 2)], low=0.1)
+
+
 def difference_summary(spark: SparkSession, sf: str) -> DataFrame:
     corrected = calibrate.apply_correction(_matched(spark, sf))
     return _rounded(calibrate.difference_summary(corrected))
@@ -479,6 +552,26 @@ def lot_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return raster.coverage(extract_rasters(spark, sf))
 
 
+def lot_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Lots written without and with a lot column, and read back: only without does the polygon stand in."""
+    plain, named = fresh_path(spark), fresh_path(spark)
+    lots = t.lots(spark, sf)
+    lots.drop("lot_id").write.parquet(plain)
+    lots.withColumnRenamed("lot_id", "cod_cg").write.parquet(named)
+    both = [("plain", readers.read_lots(spark, plain, "cod_cg")), ("named", readers.read_lots(spark, named, "cod_cg"))]
+    corners = F.size(F.flatten("rings")).alias("corners")
+    parts = [df.select(F.lit(kind).alias("kind"), "polygon_id", "lot_id", corners) for kind, df in both]
+    return parts[0].unionByName(parts[1])
+
+
+def pixel_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Pixels written in one folder per scene and read back."""
+    path = fresh_path(spark)
+    pixels = t.scene_bands(spark, sf)
+    pixels.hint("rebalance", "scene_id").write.partitionBy("scene_id").parquet(path)
+    return readers.read_pixels(spark, path)
+
+
 # --- scenes ---------------------------------------------------------------------------
 
 
@@ -570,9 +663,9 @@ def html_cells(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def html_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Lists of the pages as a table: five columns, so that rows are cut; blank cells are null."""
+    """Lists of the pages as a table of three columns: long rows are cut, short ones padded, blank cells null."""
     rows = report_html.page_rows(t.table(spark, sf, "pages"), "page_id", row_tag="ul", cell_tags="li")
-    return report_html.to_columns(rows, [f"c{i}" for i in range(8)], ["page_id"])
+    return report_html.to_columns(rows, [f"c{i}" for i in range(3)], ["page_id"])
 
 
 def slug_columns(spark: SparkSession, sf: str) -> DataFrame:
@@ -599,6 +692,13 @@ def report_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return report_html.parse_report(rows, ["file", "pos"], min_cells=5)
 
 
+def report_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The report written as files and read back by byte ranges."""
+    path = fresh_path(spark)
+    t.report_file(spark, sf, path)
+    return report_html.read_report(spark, path, min_cells=5)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -620,6 +720,8 @@ QUERIES: dict[str, Query] = {
         total_bounds, search_scenes, best_scene, required_assets, lots_in_tiles, tile_assignment,
         ring_box, classified_assets, latest_asset, complete_dates, skipped_dates,
         discovered_years, first_files, companion_files, distinct_stems,
-        html_cells, html_table, slug_columns, numeric_inference, report_ingest,
+        html_cells, html_table, slug_columns, numeric_inference, report_ingest, report_file,
+        scene_files, united_years, listed_files, factor_files, table_as_select, history_by_parameters,
+        calibration, lot_files, pixel_files,
     )
 }

@@ -382,7 +382,10 @@ def raster_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`orders` written as an HTML report: title, header, one row per order."""
+    """`orders` written as an HTML report: title, header, one row per order.
+
+    One column has no name, two have the same; some rows have a cell too many, and tags differ in case.
+    """
 
     def row(*cells: Column) -> Column:
         return F.concat(F.lit("<tr>"), *[x for c in cells for x in (F.lit("<td>"), c, F.lit("</td>"))], F.lit("</tr>"))
@@ -390,30 +393,31 @@ def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text(*cells: str) -> Column:
         return row(*[F.lit(c) for c in cells])
 
-    head = table(spark, sf_dir, "region").where("r_regionkey = 0").select(
+    title, names = ("Reporte", "", ""), ("Pedido N°", "Lote", "Cierre ", "Producción", "", "Área (ha)", "Lote")
+    head = spark.range(1).select(
         F.inline(
             F.array(
-                F.struct(F.lit(-2).cast("long").alias("file"), text("Reporte", "", "").alias("html")),
-                F.struct(
-                    F.lit(-1).cast("long").alias("file"),
-                    text(
-                        "Pedido N°", "Lote", "Cierre ", "Producción", "Estado", "Área (ha)"
-                    ).alias("html"),
-                ),
+                F.struct(F.lit(-2).cast("long").alias("file"), text(*title).alias("html")),
+                F.struct(F.lit(-1).cast("long").alias("file"), text(*names).alias("html")),
             )
         )
     )
-    body = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("file"),
-        row(
-            F.col("o_orderkey").cast("string"),
-            F.concat(F.lit("<b>"), F.col("o_custkey").cast("string"), F.lit("</b> ")),
-            F.date_format("o_orderdate", "dd/MM/yyyy"),
-            F.format_string("%.2f", "o_totalprice"),
-            F.when(F.col("o_orderstatus") == "O", "").otherwise(F.col("o_orderstatus")),
-            F.when(F.col("o_orderpriority") == "5-LOW", "7d").otherwise(
-                F.substring("o_orderpriority", 1, 1)
-            ),
-        ).alias("html"),
-    )
+    cells = [
+        F.col("o_orderkey").cast("string"),
+        F.concat(F.lit("<b>"), F.col("o_custkey").cast("string"), F.lit("</b> ")),
+        F.date_format("o_orderdate", "dd/MM/yyyy"),
+        F.format_string("%.2f", "o_totalprice"),
+        F.when(F.col("o_orderstatus") == "O", "").otherwise(F.col("o_orderstatus")),
+        F.when(F.col("o_orderpriority") == "5-LOW", "7d").otherwise(F.substring("o_orderpriority", 1, 1)),
+        F.concat(F.lit("L"), (F.col("o_custkey") % 100).cast("string")),
+    ]
+    key = F.col("o_orderkey")
+    longer = F.when(key % 5 == 0, row(*cells, F.lit("one too many"))).otherwise(row(*cells))
+    shouted = F.when(key % 3 == 0, F.replace(F.replace(longer, F.lit("tr>"), F.lit("TR>")), F.lit("<td>"), F.lit("<TD>")))
+    body = table(spark, sf_dir, "orders").select(key.alias("file"), F.coalesce(shouted, longer).alias("html"))
     return head.unionByName(body)
+
+
+def report_file(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The report as text files below ``path``, in the order of their names."""
+    report_rows(spark, sf_dir).orderBy("file").select("html").write.text(path)

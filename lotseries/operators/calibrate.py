@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lotseries.functions import fitting
 from lotseries.operators.explore import by_index
 from lotseries.schema import INDICES, OBSERVATION_COLUMNS
+from lotseries.sources.stored import release, stored
 
 # Model of each index.
 INDEX_MODELS = {"ndvi": "ols", "ndwi11": "ols", "msi11": "huber"}
@@ -229,7 +230,7 @@ def fit_huber_lines(
 
     A training set without rows has a line of nulls.
 
-    ``pairs`` should be cached. Only sums come to the driver: nine numbers per
+    ``pairs`` should be stored. Only sums come to the driver: nine numbers per
     training set and pass.
     """
     by_year = pairs.groupBy("year").agg(fitting.moments(F.col("x"), F.col("y")).alias("m"))
@@ -294,19 +295,16 @@ def _score(pairs: DataFrame, by: Column, a: Column, b: Column) -> DataFrame:
     )
 
 
-def _fit_each(pairs: DataFrame, left_out: Sequence[int | None]) -> dict[int | None, Line]:
-    """Robust fits over pairs that stay cached meanwhile; lost blocks are computed again."""
-    held = pairs.persist()
-    try:
-        return fit_huber_lines(held, left_out)
-    finally:
-        held.unpersist()
+def _fit_each(pairs: DataFrame, left_out: Sequence[int | None]) -> tuple[DataFrame, dict[int | None, Line]]:
+    """Robust fits; the pairs are stored, for the passes of the fits and for the scores after them."""
+    held = stored(pairs)
+    return held, fit_huber_lines(held, left_out)
 
 
 def cross_validate_huber(matched: DataFrame, index: str, years: Sequence[int]) -> DataFrame:
     """Leave-one-year-out scores of the robust line: fits side by side, one scoring pass."""
     pairs = complete_pairs(matched, index).where(F.col("year").isin(list(years)))
-    lines = _fit_each(pairs, list(years))
+    pairs, lines = _fit_each(pairs, list(years))
 
     def coefficient(k: int) -> Column:
         by_year = F.create_map(*[v for y in years for v in (F.lit(y), F.lit(lines[y][k]).cast("double"))])
@@ -328,7 +326,8 @@ def fit_holdout_huber(matched: DataFrame, index: str, test_year: int) -> DataFra
     """``fit_holdout`` with the robust line."""
     pairs = complete_pairs(matched, index).where("year is not null")
     is_test = F.col("year") == test_year
-    line = _fit_each(pairs, [test_year])[test_year]
+    pairs, lines = _fit_each(pairs, [test_year])
+    line = lines[test_year]
     scores = _score(pairs, is_test.cast("int"), F.lit(line[0]).cast("double"), F.lit(line[1]).cast("double"))
 
     def of(part: int, name: str) -> Column:
@@ -348,7 +347,9 @@ def fit_holdout_huber(matched: DataFrame, index: str, test_year: int) -> DataFra
 
 def fit_final_huber(matched: DataFrame, index: str) -> DataFrame:
     """``fit_final`` with the robust line."""
-    line = _fit_each(complete_pairs(matched, index), [None])[None]
+    pairs, lines = _fit_each(complete_pairs(matched, index), [None])
+    line = lines[None]
+    release(pairs)
     return matched.sparkSession.range(1).select(
         F.lit(index).alias("index"),
         F.lit(line[0]).cast("double").alias("slope"),

@@ -80,18 +80,24 @@ def bias_by_year(matched: DataFrame, indices: Sequence[str] = INDICES) -> DataFr
     )
 
 
-def residual_histogram(matched: DataFrame, index: str, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width histogram of the residuals on [min, max]; the maximum is in the last bin.
+def residual_histogram(
+    matched: DataFrame, indices: Sequence[str] = INDICES, bins: int = HISTOGRAM_BINS
+) -> DataFrame:
+    """Equal-width histograms of the residuals on [min, max] per index; the maximum is in the last bin.
 
-    Reads the rows twice, first for the bounds: store them if they are a costly join.
+    Reads the rows twice for all indices, first for the bounds: store them if they are a costly join.
     """
-    values = matched.select(residual(index).alias("value")).where("value is not null")
-    bounds = values.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    position = F.floor((F.col("value") - lo) / F.nullif(hi - lo, F.lit(0.0)) * bins)
+    ends = [F.struct(F.min(residual(i)).alias("lo"), F.max(residual(i)).alias("hi")).alias(i) for i in indices]
+    bounds = matched.agg(F.struct(*ends)).scalar()
+    values = [
+        F.struct(F.lit(i).alias("index"), residual(i).alias("value"), bounds[i]["lo"].alias("lo"), bounds[i]["hi"].alias("hi"))
+        for i in indices
+    ]
+    rows = matched.select(F.inline(F.array(*values))).where("value is not null")
+    position = F.floor((F.col("value") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * bins)
     # a single value has no width: it is drawn in the middle of a unit-wide range
     bin_no = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
-    return values.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("rows"))
+    return rows.groupBy("index", bin_no.alias("bin")).agg(F.count("*").alias("rows"))
 
 
 def line_fit(matched: DataFrame, indices: Sequence[str] = INDICES) -> DataFrame:

@@ -21,13 +21,14 @@ def test_cleaning_keeps_bounds_and_drops_everything_else(spark):
     assert got == [(1.0, -1.0, 0.0), (None,) * 3, (None,) * 3, (None, None, 10.0), (0.5, 0.5, None)]
 
 
-def test_matching_uses_the_reference_year_and_matches_null_keys(spark):
+def test_matching_uses_the_reference_year_and_null_keys_only_if_asked(spark):
     d = date(2021, 1, 1)
     means = ", ".join(f"{c} double" for c in MEANS)
     ref = spark.createDataFrame([("a", d, 2020, 0.1, 0.2, 0.3), (None, d, 2021, 0.1, 0.2, 0.3), ("b", d, 2021, 0.1, 0.2, 0.3)], f"lot_id string, obs_date date, year int, {means}")
     stac = spark.createDataFrame([("a", d, "i", 0.4, 0.5, 0.6), (None, d, "j", 0.4, 0.5, 0.6), ("c", d, "k", 0.4, 0.5, 0.6)], f"lot_id string, obs_date date, image_id string, {means}")
-    got = match_sources(ref, stac)
-    assert {(r.lot_id, r.year, r.image_id, r.ndvi_ref, r.ndvi_stac) for r in got.collect()} == {("a", 2020, "i", 0.1, 0.4), (None, 2021, "j", 0.1, 0.4)}
+    rows = lambda got: {(r.lot_id, r.year, r.image_id, r.ndvi_ref, r.ndvi_stac) for r in got.collect()}
+    assert rows(match_sources(ref, stac)) == {("a", 2020, "i", 0.1, 0.4)}
+    assert rows(match_sources(ref, stac, match_nulls=True)) == {("a", 2020, "i", 0.1, 0.4), (None, 2021, "j", 0.1, 0.4)}
 
 
 @pytest.fixture(scope="module")
@@ -140,10 +141,11 @@ def test_exploration_equals_pandas(matched, data):
         assert np.allclose((r.bias_mean, r.bias_std), (d.mean(), d.std()))
     counts = explore.matched_counts(matched).first()
     assert tuple(counts) == (len(data), 50, data.obs_date.nunique(), list(range(2020, 2026)))
-    d = (data.ndvi_stac - data.ndvi_ref).dropna()
-    want, _ = np.histogram(d, bins=100)
-    got = {r.bin: r["rows"] for r in explore.residual_histogram(matched, "ndvi").collect()}
-    assert [got.get(i, 0) for i in range(100)] == want.tolist()
+    found = explore.residual_histogram(matched).collect()
+    for index in ("ndvi", "ndwi11", "msi11"):
+        want, _ = np.histogram((data[f"{index}_stac"] - data[f"{index}_ref"]).dropna(), bins=100)
+        got = {r.bin: r["rows"] for r in found if r["index"] == index}
+        assert [got.get(i, 0) for i in range(100)] == want.tolist()
     for r in explore.identity_range(matched).collect():
         both = data[[f"{r['index']}_stac", f"{r['index']}_ref"]]
         assert (r.low, r.high) == (both.min().min(), both.max().max())
