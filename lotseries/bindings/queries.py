@@ -119,7 +119,8 @@ def renovation_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cycles(spark: SparkSession, sf: str) -> DataFrame:
-    return cycles.add_cycles(t.master(spark, sf))
+    """The master is stored first: the cycles read it twice."""
+    return cycles.add_cycles(stored(t.master(spark, sf)))
 
 
 def _stored_cycles(spark: SparkSession, sf: str) -> DataFrame:
@@ -596,18 +597,19 @@ def required_assets(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.with_required_assets(t.catalogue(spark, sf)).select("scene_id", "pos")
 
 
-def _tiles(spark: SparkSession, sf: str) -> DataFrame:
-    scenes = extraction.choose_scenes(t.dated_lots(spark, sf), t.catalogue(spark, sf))
-    return stored(scenes.select("obs_date", "scene_id", "tile", "tile_order", *catalog.BOX))
+def _lots_and_tiles(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    lots = stored(t.dated_lots(spark, sf))
+    scenes = extraction.choose_scenes(lots, t.catalogue(spark, sf))
+    return lots, stored(scenes.select("obs_date", "scene_id", "tile", "tile_order", *catalog.BOX))
 
 
 def lots_in_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = catalog.lots_touching_tiles(t.dated_lots(spark, sf), _tiles(spark, sf), ["obs_date"])
+    pairs = catalog.lots_touching_tiles(*_lots_and_tiles(spark, sf), ["obs_date"])
     return pairs.select("obs_date", "polygon_id", "scene_id")
 
 
 def tile_assignment(spark: SparkSession, sf: str) -> DataFrame:
-    lots, tiles = t.dated_lots(spark, sf), _tiles(spark, sf)
+    lots, tiles = _lots_and_tiles(spark, sf)
     pairs = catalog.lots_touching_tiles(lots, tiles, ["obs_date"])
     assigned = catalog.assign_first_tile(pairs, lots, tiles, ["obs_date"])
     return assigned.select("obs_date", "polygon_id", "lot_id", "scene_id", "tile")

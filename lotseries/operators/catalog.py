@@ -102,6 +102,9 @@ def crowded_cells(places: DataFrame, by: Sequence[str], most: int) -> list[DataF
 
     ``places`` has ``x0, y0, x1, y1``. Cells below a cell that is not cut are not looked at.
     """
+    # the count of the whole area needs no place, and mostly settles it
+    if places.groupBy(*by).count().where(F.col("count") > most).isEmpty():
+        return []
     middle = {f"m{a}": F.floor((F.col(f"{a}0") + F.col(f"{a}1")) / 2).cast("int") for a in "xy"}
     points = stored(places.select(*by, *[c.alias(n) for n, c in middle.items()]))
     cut: list[DataFrame] = []
@@ -158,7 +161,9 @@ def lots_touching_tiles(
     de-duplication is needed.
     """
     lot_box, tile_box = {n: F.col(f"lot_{n}") for n in BOX}, {n: F.col(n) for n in BOX}
-    left = lots.withColumns({f"lot_{n}": c for n, c in polygon_bounds(polygon_of(lots.columns)).items()})
+    rings = polygon_of(lots.columns)
+    bounds = {f"lot_{n}": c for n, c in polygon_bounds(rings).items()}
+    left = lots.select(*by, "polygon_id", rings.alias("rings"), *[c.alias(n) for n, c in bounds.items()])
     ends = {"min": F.min, "max": F.max}
     whole = left.agg(*[ends[n[1:]](f"lot_{n}").alias(n) for n in BOX]).first().asDict()  # one row
     area = {n: 0.0 if v is None else float(v) for n, v in whole.items()}
@@ -172,9 +177,13 @@ def lots_touching_tiles(
     first = [
         F.expr(f"shiftright(greatest({a}0, tile_{a}0), {CELL_DEPTH} - level)") == F.col(f"cell_{a}") for a in "xy"
     ]
+    within = (
+        (lot_box["xmin"] >= tile_box["xmin"]) & (lot_box["xmax"] <= tile_box["xmax"])
+        & (lot_box["ymin"] >= tile_box["ymin"]) & (lot_box["ymax"] <= tile_box["ymax"])
+    )
     return (
         pairs.where(boxes_overlap(lot_box, tile_box) & first[0] & first[1])
-        .where(polygon_meets_box(polygon_of(lots.columns), tile_box))
+        .where(within | polygon_meets_box(F.col("rings"), tile_box))
         .select(*by, "polygon_id", "scene_id", "tile_order")
     )
 

@@ -43,8 +43,8 @@ def transform_columns(prefix: str = "") -> dict[str, Column]:
     return {n: F.col(f"{prefix}{n}") for n in TRANSFORM}
 
 
-def polygon_mask(polygons: DataFrame) -> DataFrame:
-    """Pixels whose centre lies in a polygon: ``scene_id, polygon_id, row, col``.
+def polygon_mask(polygons: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Pixels whose centre lies in a polygon: ``scene_id, polygon_id, row, col`` and the columns ``keep`` of its row.
 
     Scan lines over an edge table: every edge goes to the pixel rows whose centre line it crosses, and
     along each row the area between an odd crossing and the next one is inside. Rings need not be told
@@ -58,8 +58,8 @@ def polygon_mask(polygons: DataFrame) -> DataFrame:
         return F.struct(u.alias("x"), v.alias("y"))
 
     rings = F.transform(polygon_of(polygons.columns), lambda ring: F.transform(ring, vertex))
-    in_pixels = polygons.select("scene_id", "polygon_id", rings.alias("rings"))
-    edges = in_pixels.select("scene_id", "polygon_id", F.inline(polygon_edges(F.col("rings"))))
+    in_pixels = polygons.select("scene_id", "polygon_id", *keep, rings.alias("rings"))
+    edges = in_pixels.select("scene_id", "polygon_id", *keep, F.inline(polygon_edges(F.col("rings"))))
     # centre lines row + 0.5 within [lower end, upper end)
     first_row = F.ceil(F.least("y1", "y2") - 0.5).cast("int")
     last_row = F.ceil(F.greatest("y1", "y2") - 0.5).cast("int") - 1
@@ -67,16 +67,16 @@ def polygon_mask(polygons: DataFrame) -> DataFrame:
     edge = {n: F.col(n) for n in ("x1", "y1", "x2", "y2")}
     line = F.col("row") + F.lit(0.5)
     crossings = rows.where(crosses_line(edge, line)).select(
-        "scene_id", "polygon_id", "row", crossing_x(edge, line).alias("enter")
+        "scene_id", "polygon_id", "row", *keep, crossing_x(edge, line).alias("enter")
     )
     key = ["scene_id", "polygon_id", "row"]
     along = Window.partitionBy(*key).orderBy("enter")
     paired = crossings.withColumns({"leave": F.lead("enter").over(along), "k": F.row_number().over(along)})
     # centres col + 0.5 within [enter, leave)
     ends = {"first_col": F.ceil(F.col("enter") - 0.5), "last_col": F.ceil(F.col("leave") - 0.5) - 1}
-    spans = paired.where("k % 2 = 1").select(*key, *[c.cast("int").alias(n) for n, c in ends.items()])
+    spans = paired.where("k % 2 = 1").select(*key, *keep, *[c.cast("int").alias(n) for n, c in ends.items()])
     dealt = spans.where("first_col <= last_col").repartition(_tasks(in_pixels), *key)
-    return dealt.select(*key, F.explode(F.sequence("first_col", "last_col")).alias("col"))
+    return dealt.select(*key, *keep, F.explode(F.sequence("first_col", "last_col")).alias("col"))
 
 
 def _tasks(in_pixels: DataFrame) -> int:

@@ -31,8 +31,10 @@ def choose_scenes(lots: DataFrame, catalogue: DataFrame) -> DataFrame:
     return catalog.with_required_assets(catalog.best_scene_per_tile(found))
 
 
-def _windows(polygons: DataFrame, grids: DataFrame) -> DataFrame:
-    """Bounds of the polygons measured in each scene, with the scene's transform."""
+def _windows(polygons: DataFrame, grids: DataFrame | None = None) -> DataFrame:
+    """Bounds of the polygons measured in each scene, with a transform: that of the polygons' rows, or of ``grids``."""
+    if grids is None:
+        return catalog.total_bounds(polygons, ["scene_id", *TRANSFORM])
     return catalog.total_bounds(polygons, ["scene_id"]).join(grids, "scene_id")
 
 
@@ -40,13 +42,15 @@ def band_values(polygons: DataFrame, pixels: DataFrame, transforms: DataFrame) -
     """Index values of the pixels covered by polygons: fine bands looked up, the coarse resampled."""
 
     def window(band: str, margin: float) -> DataFrame:
-        bounds = _windows(polygons, _grids(transforms, band))
+        bounds = _windows(polygons, None if band == "nir" else _grids(transforms, band))
         return raster.clip_pixels(_band(pixels, band), bounds, margin)
 
-    grids = _grids(transforms, "nir", "fine_").join(
+    # both transforms travel with the polygons, not by a join of pixels on their scene
+    names = [f"{p}{n}" for p in ("fine_", "coarse_") for n in TRANSFORM]
+    placed = polygons.withColumns({f"fine_{n}": F.col(n) for n in TRANSFORM}).join(
         _grids(transforms, COARSE_BAND, "coarse_"), "scene_id"
     )
-    covered = raster.polygon_mask(polygons).join(grids, "scene_id")
+    covered = raster.polygon_mask(placed, names)
     # a coarse neighbour may lie up to one coarse pixel outside the window
     bands = (
         raster.resample_bilinear(covered, window(COARSE_BAND, 1.5), COARSE_BAND)
@@ -84,23 +88,20 @@ def extract_scene_indices(
     return _output(raster.finalize_stats(pooled))
 
 
-def sound_dates(rasters: DataFrame, lots: DataFrame, pixels: DataFrame, grids: DataFrame) -> DataFrame:
-    """Dates (``obs_date``) none of whose inputs fails.
+def sound_dates(rasters: DataFrame, pixels: DataFrame, grids: DataFrame) -> DataFrame:
+    """Dates (``obs_date``) none of whose rasters fails.
 
-    ``rasters`` has a row per date and index. Each needs pixels, a usable transform (a row of ``grids``) and a lot file
-    with polygons. Only names are looked at, before any pixel moves: the pixel table gives its distinct
-    scenes, combined before their shuffle.
+    ``rasters`` has a row per date and index. Each needs pixels and a usable transform (a row of ``grids``). Only names are
+    looked at, before any pixel moves: the pixel table gives its distinct scenes, combined before their shuffle.
+    A lot file without lots needs no look, as nothing joins with it.
     """
-    wanted = rasters.select("scene_id").distinct()
-    readable = wanted.join(pixels.select("scene_id").distinct(), "scene_id", "left_semi").join(
-        grids.select("scene_id"), "scene_id", "left_semi"
-    )
-    checked = rasters.join(readable.withColumn("readable", F.lit(True)), "scene_id", "left").join(
-        lots.select("stem").distinct().withColumn("has_lots", F.lit(True)), "stem", "left"
-    )
-    sound = checked.groupBy("obs_date").agg(
-        F.min(F.coalesce(F.col("readable") & F.col("has_lots"), F.lit(False))).alias("sound")
+    yes, no = F.lit(True), F.lit(False)
+    marks = pixels.select("scene_id", yes.alias("has_pixels"), no.alias("has_grid")).union(
+        grids.select("scene_id", no.alias("has_pixels"), yes.alias("has_grid"))
     )
+    seen = marks.groupBy("scene_id").agg((F.max("has_pixels") & F.max("has_grid")).alias("readable"))
+    checked = rasters.join(seen, "scene_id", "left")
+    sound = checked.groupBy("obs_date").agg(F.min(F.coalesce("readable", no)).alias("sound"))
     return sound.where("sound").select("obs_date")
 
 
@@ -126,9 +127,9 @@ def extract_raster_indices(
     kinds = [F.struct(F.lit(i).alias("index"), F.col(i).alias("scene_id")) for i in INDICES]
     rasters = stored(sets.select("obs_date", "stem", "image_id", F.inline(F.array(*kinds))))
     grids = raster.effective_transforms(transforms)
-    sound = rasters.join(sound_dates(rasters, lots, pixels, grids), "obs_date", "left_semi")
+    sound = rasters.join(sound_dates(rasters, pixels, grids), "obs_date", "left_semi")
     polygons = stored(lots.join(sound, "stem").join(grids, "scene_id"))
-    window = raster.clip_pixels(pixels, _windows(polygons, grids), 0.5, block)
+    window = raster.clip_pixels(pixels, _windows(polygons), 0.5, block)
     stats = raster.zonal_stats(window, polygons, ["value"])
     # one column group per index, so that the three rasters of a date meet in one aggregate
     by_index = stats.withColumns(
