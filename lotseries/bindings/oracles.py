@@ -10,6 +10,15 @@ import re
 
 VIEWS: dict[str, str] = {}
 
+# Limits of the cycle rules and reports.
+CYCLE_GAP = 548
+RENOVATION_AGE = 200
+LOW_NDVI = 0.2
+CYCLE_ROWS = 7
+CYCLE_AGE = 150
+REPORT_AGE = 300
+GROWTH_CYCLES = 2
+
 # --- inputs ---------------------------------------------------------------------------
 
 VIEWS["bands"] = """
@@ -19,13 +28,6 @@ SELECT CAST(o_custkey AS VARCHAR) AS lot_id, CAST(l_shipdate AS DATE) AS obs_dat
        max(l_tax) AS noise, max(l_suppkey) AS part
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
 
-VIEWS["returned_bands"] = """
-SELECT CAST(o_custkey AS VARCHAR) AS lot_id, CAST(l_shipdate AS DATE) AS obs_date,
-       max(l_extendedprice) AS nir, max(l_quantity) * 500 AS red,
-       max(l_quantity) * (max(l_discount) * 5000 + 200) AS swir,
-       max(l_tax) AS noise, max(l_suppkey) AS part
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL"""
-
 VIEWS["seasons"] = """
 SELECT *, CASE WHEN month(obs_date) IN (11, 12) THEN year(obs_date) || '_' || (year(obs_date) + 1)
                ELSE (year(obs_date) - 1) || '_' || year(obs_date) END AS season
@@ -98,25 +100,31 @@ SELECT e.*, p.previous_end
 FROM ended e ASOF LEFT JOIN end_days p
   ON e.lot_id = p.lot_id AND coalesce(e.cycle_end, DATE '9999-12-31') > p.previous_end"""
 
-VIEWS["aged"] = """
-SELECT * EXCLUDE (previous_end), coalesce(cycle_end - previous_end > 548, FALSE) AS data_gap,
-       CASE WHEN NOT coalesce(cycle_end - previous_end > 548, FALSE)
+VIEWS["aged"] = f"""
+SELECT * EXCLUDE (previous_end), coalesce(cycle_end - previous_end > {CYCLE_GAP}, FALSE) AS data_gap,
+       CASE WHEN NOT coalesce(cycle_end - previous_end > {CYCLE_GAP}, FALSE)
             THEN CAST(obs_date - previous_end AS INTEGER) END AS crop_age_days
 FROM started"""
 
-VIEWS["open_rows"] = """
-SELECT lot_id, obs_date, ndvi_ref, crop_age_days,
-       lag(ndvi_ref) OVER (PARTITION BY lot_id ORDER BY obs_date, ndvi_ref NULLS LAST) AS before
-FROM aged WHERE cycle_end IS NULL AND NOT data_gap"""
+# renovations by day: a suspect day belongs to the event numbered by the starts up to it
+VIEWS["open_days"] = """
+SELECT lot_id, obs_date, min(ndvi_ref) AS lowest, max(crop_age_days) AS age,
+       CASE WHEN count(*) = count(ndvi_ref) THEN max(ndvi_ref) END AS closing_value
+FROM aged WHERE cycle_end IS NULL AND NOT data_gap GROUP BY lot_id, obs_date"""
+
+VIEWS["suspects"] = f"""
+SELECT d.lot_id, d.obs_date, p.closing_value AS eve
+FROM open_days d ASOF LEFT JOIN open_days p ON d.lot_id = p.lot_id AND d.obs_date > p.obs_date
+WHERE d.age > {RENOVATION_AGE} AND d.lowest < {LOW_NDVI}"""
 
-VIEWS["event_rows"] = """
-SELECT lot_id, obs_date,
-       CAST(sum(CASE WHEN before < 0.2 THEN 0 ELSE 1 END)
-            OVER (PARTITION BY lot_id ORDER BY obs_date) AS INTEGER) AS event_id
-FROM open_rows WHERE crop_age_days > 200 AND ndvi_ref < 0.2"""
+VIEWS["starts"] = f"SELECT lot_id, obs_date FROM suspects WHERE eve IS NULL OR eve >= {LOW_NDVI}"
 
 VIEWS["renovations"] = """
-SELECT lot_id, event_id, min(obs_date) AS renovation_date FROM event_rows GROUP BY ALL"""
+SELECT lot_id, event_id, min(obs_date) AS renovation_date
+FROM (SELECT s.lot_id, s.obs_date, CAST(count(t.obs_date) AS INTEGER) AS event_id
+      FROM suspects s LEFT JOIN starts t ON t.lot_id = s.lot_id AND t.obs_date <= s.obs_date
+      GROUP BY s.lot_id, s.obs_date)
+GROUP BY lot_id, event_id"""
 
 VIEWS["closed"] = """
 SELECT a.* EXCLUDE (cycle_end, data_gap, crop_age_days),
@@ -126,17 +134,17 @@ FROM aged a ASOF LEFT JOIN renovations r
 
 VIEWS["closed_ends"] = "SELECT DISTINCT lot_id, cycle_end AS previous_end FROM closed WHERE cycle_end IS NOT NULL"
 
-VIEWS["reaged"] = """
-SELECT c.*, coalesce(c.cycle_end - p.previous_end > 548, FALSE) AS data_gap,
-       CASE WHEN NOT coalesce(c.cycle_end - p.previous_end > 548, FALSE)
+VIEWS["reaged"] = f"""
+SELECT c.*, coalesce(c.cycle_end - p.previous_end > {CYCLE_GAP}, FALSE) AS data_gap,
+       CASE WHEN NOT coalesce(c.cycle_end - p.previous_end > {CYCLE_GAP}, FALSE)
             THEN CAST(c.obs_date - p.previous_end AS INTEGER) END AS crop_age_days
 FROM closed c ASOF LEFT JOIN closed_ends p
   ON c.lot_id = p.lot_id AND coalesce(c.cycle_end, DATE '9999-12-31') > p.previous_end"""
 
-VIEWS["good_cycles"] = """
+VIEWS["good_cycles"] = f"""
 SELECT lot_id, cycle_end, TRUE AS good FROM reaged
 WHERE cycle_end IS NOT NULL AND crop_age_days IS NOT NULL
-GROUP BY ALL HAVING count(*) > 6 AND max(crop_age_days) >= 150"""
+GROUP BY ALL HAVING count(*) >= {CYCLE_ROWS} AND max(crop_age_days) >= {CYCLE_AGE}"""
 
 VIEWS["cycles"] = """
 SELECT r.*, coalesce(g.good, FALSE) AS valid_cycle
@@ -144,10 +152,10 @@ FROM reaged r LEFT JOIN good_cycles g USING (lot_id, cycle_end)"""
 
 VIEWS["dataset"] = "SELECT * FROM cycles WHERE valid_cycle AND harvest IS NOT NULL"
 
-VIEWS["renovated"] = """
+VIEWS["renovated"] = f"""
 SELECT lot_id, harvest, min(obs_date) AS renovation_date, min(crop_age_days) AS age_at_renovation,
        min(ndvi_ref) AS min_ndvi_ref
-FROM cycles WHERE NOT data_gap AND crop_age_days >= 301 AND ndvi_ref < 0.2 GROUP BY ALL"""
+FROM cycles WHERE NOT data_gap AND crop_age_days > {REPORT_AGE} AND ndvi_ref < {LOW_NDVI} GROUP BY ALL"""
 
 VIEWS["asked"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS lot_id FROM customer WHERE c_mktsegment = 'BUILDING'"""
@@ -156,10 +164,10 @@ VIEWS["history"] = """
 SELECT lot_id, obs_date, ndvi_ref, crop_age_days, cycle_end FROM cycles
 WHERE ndvi_ref IS NOT NULL AND lot_id IN (SELECT lot_id FROM asked)"""
 
-VIEWS["growing"] = """
+VIEWS["growing"] = f"""
 SELECT lot_id, count(DISTINCT harvest) AS cycles FROM cycles
 WHERE crop_age_days IS NOT NULL AND harvest IS NOT NULL AND ndvi_corrected IS NOT NULL
-GROUP BY lot_id HAVING count(DISTINCT harvest) > 1"""
+GROUP BY lot_id HAVING count(DISTINCT harvest) >= {GROWTH_CYCLES}"""
 
 VIEWS["drawn"] = """
 SELECT lot_id, harvest, renovation_date, age_at_renovation FROM renovated
@@ -169,11 +177,11 @@ VIEWS["renovated_history"] = """
 SELECT lot_id, harvest, obs_date, crop_age_days, ndvi_ref FROM cycles
 WHERE NOT data_gap AND ndvi_ref IS NOT NULL AND lot_id IN (SELECT lot_id FROM renovated)"""
 
-VIEWS["marked"] = """
+VIEWS["marked"] = f"""
 SELECT kind, lot_id, cycle_end, obs_date, ndvi_ref, crop_age_days
 FROM (SELECT *, CASE WHEN harvest IS NULL THEN 'detected' ELSE 'before_harvest' END AS kind
       FROM cycles
-      WHERE NOT data_gap AND crop_age_days > 200 AND ndvi_ref < 0.2 AND cycle_end IS NOT NULL
+      WHERE NOT data_gap AND crop_age_days > {RENOVATION_AGE} AND ndvi_ref < {LOW_NDVI} AND cycle_end IS NOT NULL
         AND (harvest IS NULL OR obs_date < cycle_end) AND lot_id IN (SELECT lot_id FROM asked))
 QUALIFY row_number() OVER (PARTITION BY kind, lot_id, cycle_end ORDER BY obs_date, ndvi_ref, crop_age_days) = 1"""
 
@@ -199,7 +207,7 @@ VIEWS["stac_source"] = """
 SELECT lot_id, obs_date, 'S2A_' || part AS image_id,
        (nir - red) / (nir + red) * 1.1 + noise AS ndvi,
        (nir - swir) / (nir + swir) * 1.05 - noise AS ndwi11,
-       swir / nir * 1.2 + noise AS msi11 FROM returned_bands"""
+       swir / nir * 1.2 + noise AS msi11 FROM bands"""
 
 VIEWS["clean_ref"] = """
 SELECT * REPLACE (if(abs(ndvi) <= 1, ndvi, NULL) AS ndvi, if(abs(ndwi11) <= 1, ndwi11, NULL) AS ndwi11,
