@@ -3,9 +3,10 @@
 The rules find well-formed e-mail addresses, IP addresses, card and phone numbers. Generators
 propose many more spans that may overlap: every short sequence of digit groups, dotted numbers,
 written-out addresses. Boosted trees score a span by its format and its context. They learn from a bounded
-sample in which a proposed span counts as right if the rules accept just that span; scores are
-calibrated on documents the trees have not seen, and per kind the threshold is the lowest one that
-keeps the wanted precision there. Spans above it are added where they overlap no other.
+sample in which a proposed span counts as right if the rules accept just that span, or if it is an address
+with a marked, written-out ``at`` that the rules would accept. Scores are calibrated on all documents the trees
+have not seen: per kind the threshold is the lowest one that keeps the wanted precision there. Spans above it are
+added where they overlap no other.
 
 Defined results: null and empty texts have no spans and the digest of the empty string; repeated
 rows are treated one by one; null ids are kept but not trained on; an empty table, or one without
@@ -15,8 +16,11 @@ any name stay as they are.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +36,9 @@ SAMPLE_DOCUMENTS = 20_000
 SAMPLE_SPANS = 20_000
 SPANS_A_DOCUMENT = 50
 PRECISION = 0.98
+# Histogram of raw scores: bins to a unit, and the last bin on either side.
+BINS_A_UNIT = 50
+BIN_END = 2_000
 
 Span = tuple[str, int, int]
 
@@ -48,8 +55,12 @@ _GROUP = re.compile(r"\+?\(?[0-9]+\)?")
 _WRITTEN = re.compile(
     r"[\w.%+-]{1,64} ?(?:@|\(at\)|\[at\]| at ) ?[\w-]{1,64}(?:(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?)[\w-]{1,64}){1,4}"
 )
+_AT = re.compile(r" ?(?:\(at\)|\[at\]) ?")
+_DOT = re.compile(r" ?(?:\(dot\)|\[dot\]| dot ) ?")
 LONGEST = 48
 GROUPS = 5
+# Spans scored at once.
+RUN_SPANS = 10_000
 
 
 def luhn(digits: str) -> bool:
@@ -85,7 +96,7 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return spans
     spans += [
-        ("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))
+        ("ip", *m.span()) for m in _IP.finditer(text) if all(len(d := p.lstrip("0")) <= 3 and int(d or "0") <= 255 for p in m.group().split("."))
     ]
     for m in _CARD.finditer(text):
         digits = digits_of(m.group())
@@ -212,6 +223,14 @@ class Trees:
         return self.start + sum((self._leaf(t, x) for t in self.trees), np.zeros(len(x)))
 
 
+def apart(spans: list[Span], base: list[Span]) -> list[Span]:
+    """The spans that overlap none of ``base``: none that starts before their end ends behind their start."""
+    taken = sorted((a, b) for _, a, b in base)
+    starts = [a for a, _ in taken]
+    furthest = list(itertools.accumulate((b for _, b in taken), max))
+    return [s for s in spans if not (at := bisect.bisect_left(starts, s[2])) or furthest[at - 1] <= s[1]]
+
+
 class Selector:
     """Trees with one score threshold per kind; without a model it selects nothing."""
 
@@ -221,51 +240,80 @@ class Selector:
     def added(self, text: str, base: list[Span]) -> list[Span]:
         if self.trees is None or not (spans := proposed(text)):
             return []
-        taken = [(a, b) for _, a, b in base]
-        spans = [s for s in spans if not any(a < s[2] and s[1] < b for a, b in taken)] if taken else spans
+        spans = apart(spans, base)
         if not spans:
             return []
-        scores = self.trees.raw(np.array([features(text, s) for s in spans], float))
+        scores = self.scores(text, spans)
         chosen: list[Span] = []
-        ends: list[tuple[int, int]] = []
+        starts: list[int] = []  # of the chosen spans, which lie apart, with their ends
+        ends: list[int] = []
         for i in np.argsort(-scores, kind="stable"):
             kind, a, b = spans[i]
-            if scores[i] >= self.thresholds.get(kind, np.inf) and not any(x < b and a < y for x, y in ends):
+            at = bisect.bisect_left(starts, b)
+            if scores[i] >= self.thresholds.get(kind, np.inf) and not (at and ends[at - 1] > a):
                 chosen.append(spans[i])
-                ends.append((a, b))
+                starts.insert(at, a)
+                ends.insert(at, b)
         return chosen
 
+    def scores(self, text: str, spans: list[Span]) -> np.ndarray:
+        return np.concatenate(
+            [
+                self.trees.raw(np.array([features(text, s) for s in spans[i : i + RUN_SPANS]], float))
+                for i in range(0, len(spans), RUN_SPANS)
+            ]
+        )
+
+
+def right_spans(text: str) -> set[Span]:
+    """Spans that count as right: what the rules accept, and addresses with a marked, written-out ``at``."""
+    right = set(base_spans(text))
+    if "(at)" in text or "[at]" in text:
+        for m in _WRITTEN.finditer(text):
+            plain = _AT.sub("@", m.group())
+            if plain != m.group() and _EMAIL.fullmatch(_DOT.sub(".", plain).replace(" ", "")):
+                right.add(("email", *m.span()))
+    return right
+
+
+def score_bin(scores: np.ndarray) -> np.ndarray:
+    """Number of the histogram bin of a raw score; a bin holds the scores from its lower end on."""
+    return np.clip(np.floor(scores * BINS_A_UNIT), -BIN_END, BIN_END).astype(np.int64)
 
-def fit_selector(x: np.ndarray, y: np.ndarray, held: np.ndarray) -> Selector:
-    """Trees on the rows that are not held; thresholds, with the wanted precision, on those that are."""
-    if not len(y) or y[~held].min(initial=1) == y[~held].max(initial=0) or not held.any() or held.all():
-        return Selector()
-    trees = Trees().fit(x[~held], y[~held])
-    scores, thresholds = trees.raw(x[held]), {}
-    for k, kind in enumerate(KINDS):
-        own = x[held, 0] == k
-        order = np.argsort(-scores[own], kind="stable")
-        right = y[held][own][order]
-        if right.sum() >= 5:
-            precision = np.cumsum(right) / np.arange(1, len(right) + 1)
-            good = np.flatnonzero((precision >= PRECISION) & (right == 1))
-            if len(good):
-                thresholds[kind] = max(0.0, float(scores[own][order][good[-1]]))
-    return Selector(trees, thresholds)
+
+def thresholds(counts: dict[str, dict[int, tuple[int, int]]]) -> dict[str, float]:
+    """Per kind the lower end of the lowest bin from which on right spans keep the wanted precision.
+
+    ``counts``: per kind and bin the right spans and all spans. A score below zero selects nothing.
+    """
+    found = {}
+    for kind, bins in counts.items():
+        right = total = 0
+        for b in sorted(bins, reverse=True):
+            right, total = right + bins[b][0], total + bins[b][1]
+            if b >= 0 and bins[b][0] and right >= PRECISION * total:
+                found[kind] = b / BINS_A_UNIT
+    return found
 
 
 def train(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Selector:
-    """Fit on the documents of smallest id hash, about ``documents`` of them."""
+    """Trees fitted on the documents of smallest id hash, about ``documents`` of them; thresholds from all others.
+
+    The spans of every document that was not fitted on are counted by kind, score and whether they are right, and
+    Spark adds the counts up, so thresholds rest on the whole table whatever its size.
+    """
     n = docs.count()
     share = min(1.0, documents / max(n, 1))
     h = F.xxhash64("doc_id")
     bound = min(2**63 - 1, -(2**63) + int(2**64 * share))
+    # a quarter of a small table, and all that the sample leaves of a large one
+    fitted_on = F.col("doc_id").isNotNull() & (h <= F.lit(bound)) & (F.pmod(h, F.lit(4)) != 0)
 
     def examples(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows, right, owner = [], [], []
         for i, text in enumerate(texts_of(batch.column(1))):
             spans = proposed(text)[:SPANS_A_DOCUMENT]
-            good = set(base_spans(text)) if spans else set()
+            good = right_spans(text) if spans else set()
             rows += [features(text, s) for s in spans]
             right += [int(s in good) for s in spans]
             owner += [i] * len(spans)
@@ -274,18 +322,37 @@ def train(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Selector:
         yield pa.RecordBatch.from_arrays([hashes, x, pa.array(right, pa.int32())], ["h", "x", "y"])
 
     found = (
-        map_batches(
-            docs.where(F.col("doc_id").isNotNull() & (h <= F.lit(bound))).select(h.alias("h"), "text"),
-            examples,
-            "h bigint, x array<double>, y int",
-        )
+        map_batches(docs.where(fitted_on).select(h.alias("h"), "text"), examples, "h bigint, x array<double>, y int")
         .orderBy("h", "x")
         .limit(SAMPLE_SPANS)
         .collect()
     )
-    x = np.array([row.x for row in found]).reshape(len(found), -1 if found else 0)
     y = np.array([row.y for row in found], float)
-    return fit_selector(x, y, np.array([row.h % 4 == 0 for row in found], bool))
+    if not len(y) or y.min() == y.max():
+        return Selector()
+    unset = Selector(Trees().fit(np.array([row.x for row in found]), y))
+
+    def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[int, int, int]] = Counter()
+        for text in texts_of(batch.column(0)):
+            if spans := proposed(text):
+                good = right_spans(text)
+                bins = score_bin(unset.scores(text, spans)).tolist()
+                counts.update((KINDS.index(s[0]), b, int(s in good)) for s, b in zip(spans, bins))
+        rows = [(*key, n) for key, n in counts.items()]
+        names = ["kind", "bin", "is_right", "spans"]
+        columns = [pa.array([row[i] for row in rows], pa.int64()) for i in range(4)]
+        yield pa.RecordBatch.from_arrays(columns, names)
+
+    others = docs.where(~fitted_on | F.col("doc_id").isNull()).select("text")
+    schema = "kind bigint, bin bigint, is_right bigint, spans bigint"
+    added = map_batches(others, measure, schema).groupBy("kind", "bin").agg(
+        F.sum(F.col("spans") * F.col("is_right")).alias("good"), F.sum("spans").alias("all")
+    )
+    counts: dict[str, dict[int, tuple[int, int]]] = {}
+    for row in added.collect():  # kinds x bins rows at most
+        counts.setdefault(KINDS[row.kind], {})[row.bin] = (row.good, row.all)
+    return Selector(unset.trees, thresholds(counts))
 
 
 def joined(spans: list[Span]) -> str:

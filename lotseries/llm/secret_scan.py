@@ -69,11 +69,42 @@ def _last(value: Column, then) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
+MATCH = "struct<start:int,end:int,value:string,measured:string>"
+
+
+def _fold(items: Column, at: Column, step, kind: str) -> Column:
+    """Rows that a fold over ``items`` leaves behind: ``step(at, item)`` gives the next ``at`` and an array of rows.
+
+    Rows are gathered block by block, so the work stays near linear in the items. ``items`` is computed once.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(state: Column, item: Column) -> Column:
+        after, rows = step(state["at"], item)
+        return F.struct(after.alias("at"), F.concat(state["out"], rows).alias("out"))
+
+    def folded(held: Column) -> Column:
+        def block(state: Column, b: Column) -> Column:
+            inner = F.aggregate(
+                F.slice(held, b * BLOCK + 1, F.lit(BLOCK)), F.struct(state["at"].alias("at"), none.alias("out")), one
+            )
+            return _last(
+                inner,
+                lambda x: F.struct(x["at"].alias("at"), F.concat(state["out"], F.array(x["out"])).alias("out")),
+            )
+
+        blocks = F.sequence(F.lit(0), ((F.size(held) - 1) / BLOCK).cast("int"))
+        start = F.struct(at.alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        return F.when(F.size(held) > 0, F.flatten(F.aggregate(blocks, start, block)["out"])).otherwise(none)
+
+    return _last(items, folded)
+
+
 def _places(text: Column, pattern: str, group: int) -> Column:
-    """Array of ``(start, end, value, group)`` of the leftmost non-overlapping matches.
+    """Array of ``(start, end, value, measured)`` of the leftmost non-overlapping matches.
 
     What lies between the matches and the matches themselves alternate, so starts are running
-    sums of their lengths. The sums go block by block to stay near linear in the matches.
+    sums of their lengths.
     """
     regex = F.lit(pattern)
     whole = F.regexp_extract_all(text, regex, F.lit(0))
@@ -83,37 +114,49 @@ def _places(text: Column, pattern: str, group: int) -> Column:
         whole.alias("value"),
         part.alias("measured"),
     )
-    found = F.slice(steps, 1, F.size(steps) - 1)  # behind the last gap there is no match
-    kind = "array<struct<start:int,end:int,value:string,measured:string>>"
+    # behind the last gap there is no match
+    found = _last(steps, lambda x: F.slice(x, 1, F.size(x) - 1))
 
-    def one(state: Column, step: Column) -> Column:
-        start = state["at"] + step["gap"]
-        end = start + F.char_length(step["value"])
+    def step(at: Column, item: Column) -> tuple[Column, Column]:
+        start = at + item["gap"]
+        end = start + F.char_length(item["value"])
         row = F.struct(
-            start.alias("start"), end.alias("end"), step["value"].alias("value"), step["measured"].alias("measured")
+            start.alias("start"), end.alias("end"), item["value"].alias("value"), item["measured"].alias("measured")
         )
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(row)).alias("out"))
+        return end, F.array(row)
+
+    return _fold(found, F.lit(0), step, MATCH)
 
-    def block(state: Column, b: Column) -> Column:
-        inner = F.aggregate(
-            F.slice(found, b * BLOCK + 1, F.lit(BLOCK)),
-            F.struct(state["at"].alias("at"), F.array().cast(kind).alias("out")),
-            one,
-        )
-        return _last(
-            inner,
-            lambda x: F.struct(x["at"].alias("at"), F.concat(state["out"], F.array(x["out"])).alias("out")),
-        )
 
-    blocks = F.sequence(F.lit(0), ((F.size(found) - 1) / BLOCK).cast("int"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-    summed = F.flatten(F.aggregate(blocks, start, block)["out"])
-    return F.when(F.size(found) > 0, summed).otherwise(F.array().cast(kind))
+def _apart(matches: Column, base: Column) -> Column:
+    """The matches that overlap none of the ``base`` spans.
+
+    Spans by their start and matches by their end are put in one order; a match is free if no
+    span that starts before its end ends behind its start.
+    """
+    spans = F.transform(
+        base,
+        lambda b: F.struct(
+            b["start"].alias("key"), F.lit(1).alias("turn"), b["end"].alias("until"), F.lit(None).cast(MATCH).alias("match")
+        ),
+    )
+    asked = F.transform(
+        matches,
+        lambda m: F.struct(m["end"].alias("key"), F.lit(0).alias("turn"), m["start"].alias("until"), m.alias("match")),
+    )
+
+    def step(at: Column, item: Column) -> tuple[Column, Column]:
+        free = (item["turn"] == 0) & (at <= item["until"])
+        rows = F.when(free, F.array(item["match"])).otherwise(F.array().cast(f"array<{MATCH}>"))
+        return F.when(item["turn"] == 1, F.greatest(at, item["until"])).otherwise(at), rows
+
+    ordered = F.array_sort(F.concat(spans, asked))
+    return F.when((F.size(base) == 0) | (F.size(matches) == 0), matches).otherwise(_fold(ordered, F.lit(0), step, MATCH))
 
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """As ``_places``; texts without a match, nearly all, are searched once."""
-    none = F.array().cast("array<struct<start:int,end:int,value:string,measured:string>>")
+    none = F.array().cast(f"array<{MATCH}>")
     return F.when(text.rlike(pattern), _places(text, pattern, group)).otherwise(none)
 
 
@@ -127,8 +170,10 @@ def best_window_bits(value: Column, window: int) -> Column:
     ``value`` has at least ``window`` characters. The state is ``sum(c * log2 c)`` over the counts
     of the window; a step looks only at the counts of the character that leaves and of the one that enters.
     """
-    chars = F.split(value, "")
+    return _last(F.split(value, ""), lambda chars: _best_window_bits(chars, window))
 
+
+def _best_window_bits(chars: Column, window: int) -> Column:
     def step(state: Column, i: Column) -> Column:
         kept = F.slice(chars, F.greatest(i - window + 1, F.lit(1)), F.least(i - 1, F.lit(window - 1)))
         count = lambda c: F.size(F.filter(kept, lambda x: x == c))
@@ -174,20 +219,20 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     for kind, pattern, group, least in RULES:
         found = found.withColumn(f"__{kind}", rule(kind, pattern, group, least))
     found = found.withColumn("base", F.array_sort(F.concat(*[F.col(f"__{rule[0]}") for rule in RULES])))
+
     def good(c: CharacterClass):
         def check_all(x: Column) -> Column:
             value = x["value"]
-            checks = [value.rlike(m) for m in c.must] + [~value.rlike(a) for a in ALLOWED]
-            checks.append(~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-            result = checks[0]
-            for check in checks[1:]:
+            result = F.lit(True)
+            for check in [value.rlike(m) for m in c.must] + [~value.rlike(a) for a in ALLOWED]:
                 result = result & check
             return F.when(result, best_window_bits(value, c.window) >= c.least_bits).otherwise(False)
 
         return check_all
 
     def added(c: CharacterClass) -> Column:
-        return F.transform(F.filter(_matches(F.col("__body"), c.pattern), good(c)), lambda x: span(x, c.kind))
+        apart = _last(_matches(F.col("__body"), c.pattern), lambda m: _apart(m, F.col("base")))
+        return F.transform(F.filter(apart, good(c)), lambda x: span(x, c.kind))
 
     found = found.withColumn("extra", F.array_sort(F.concat(*map(added, CLASSES))))
     return found.select(*[F.col(f"`{c}`") for c in kept], "base", "extra")

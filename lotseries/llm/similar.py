@@ -426,27 +426,20 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         )
     )
     names = [F.col(f"`{c}`") for c in docs.columns]
+    blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     # Rows whose id is theirs alone are decided by the id.
     decided = stored(ids.where("doc_id IS NOT NULL AND (away = 1 OR rows > 1)").select("doc_id"))
-    bounded = decided.count() <= MAX_SHIPPED
-    kept = docs.where(F.col("doc_id").isNotNull()).join(
-        F.broadcast(decided) if bounded else decided, "doc_id", "left_anti"
-    )
-    kept = kept.select(*names)
-    repeated = ids.where("doc_id IS NULL OR rows > 1").select(F.col("doc_id").alias("id"))
-    row = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
-    blank = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    lost = row.where(F.col("id").isNull() & blank)
+    kept = docs.where(F.col("doc_id").isNotNull() & ~blank).join(decided, "doc_id", "left_anti").select(*names)
+    kept = kept.union(docs.where(blank).select(*names))
+    repeated = ids.where("doc_id IS NULL OR rows > 1").select(F.col("doc_id").alias("known"))
     if repeated.limit(1).count():
-        known = repeated.withColumnRenamed("id", "known")
-        rows = row.join(known, F.col("id").eqNullSafe(F.col("known")), "left_semi")
-        lost = lost.union(rows.where(F.col("id").isNotNull() & blank))
+        row = docs.where(~blank).select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("text"))
+        spoken = row.join(repeated, F.col("id").eqNullSafe(F.col("known")), "left_semi")
 
         def node(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             nodes = [_node(set_of(t)) for t in texts_of(batch.column(0))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary())], ["text", "node"])
 
-        spoken = rows.where(~blank)
         nodes = map_batches(spoken.select("text").distinct(), node, "text string, node binary")
         labels = classes.select("node", "component", "component_id").distinct()
         chosen = (
@@ -455,9 +448,6 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             .where(F.col("id").eqNullSafe(F.col("component_id")))
         )
         # Components can share their smallest id, or have none.
-        lost = lost.union(
-            chosen.groupBy("id", "component")
-            .agg(F.min_by("row", "text").alias("row"), F.min("text").alias("text"))
-            .select("row", "id", "text")
-        )
-    return kept.union(lost.select("row.*").select(*names))
+        first = chosen.groupBy("id", "component").agg(F.min_by("row", "text").alias("row"))
+        kept = kept.union(first.select("row.*").select(*names))
+    return kept

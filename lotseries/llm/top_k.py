@@ -13,7 +13,8 @@ they rise from block to block.
 Defined results: vectors that are null, empty, of another width than most, or hold null or
 non-finite components take no part, nor do rows without id; of several vectors with one id the
 smallest in array order counts, so repeated rows count once; ties go to the smaller id; with fewer
-than k candidates all are returned; an empty table gives an empty result. Other columns of any
+than k candidates all are returned; an empty table gives an empty result. Scores are exact whatever
+their size; components from 2**55 on, and scores beyond 64 bits, are an error. Other columns of any
 name are not looked at.
 """
 
@@ -37,8 +38,10 @@ QUERY_BLOCK = 512
 FIRST = 1024
 # Coordinates in the partial sums.
 HEAD = 16
-# Rounding of the rotated products, relative to the norms; the exact products are integers.
+# Rounding of products of doubles, relative to the norms; the scores themselves are exact.
 SLACK = 1e-9
+# Products of norms below which doubles hold every partial sum; beyond, Python's integers do.
+EXACT = 2.0**52
 
 
 def rotation(vectors: DataFrame) -> np.ndarray:
@@ -63,6 +66,12 @@ def rotation(vectors: DataFrame) -> np.ndarray:
     return np.linalg.eigh((gram + gram.T) / 2)[1][:, ::-1] if width else gram
 
 
+def _exact(values: np.ndarray, query: np.ndarray) -> list[int]:
+    """Inner products of integers of any size."""
+    q = [int(x) for x in query.tolist()]
+    return [sum(int(x) * y for x, y in zip(row, q)) for row in values.tolist()]
+
+
 class Search:
     """The best ``k`` of each query of a block over the vectors shown so far."""
 
@@ -71,7 +80,7 @@ class Search:
         self.turned = values @ turn
         self.norm = np.linalg.norm(values, axis=1)
         self.rest = np.linalg.norm(self.turned[:, HEAD:], axis=1)
-        self.best: list[list[tuple[float, int]]] = [[] for _ in ids]
+        self.best: list[list[tuple[int, int]]] = [[] for _ in ids]
 
     def show(self, ids: np.ndarray, values: np.ndarray) -> None:
         longest = np.sqrt((values * values).sum(axis=1).max())
@@ -87,18 +96,22 @@ class Search:
             near = np.flatnonzero(row & (ids != self.ids[q]))
             if not len(near):
                 continue
-            scores = values[near] @ self.values[q]  # integers below 2^53, exact in any order
-            if len(near) > self.k:
-                least = np.partition(scores, -self.k)[-self.k]
-                near, scores = near[scores >= least], scores[scores >= least]
-            order = np.lexsort((ids[near], -scores))[: self.k]
-            merged = self.best[q] + list(zip((-scores[order]).tolist(), ids[near[order]].tolist()))
-            self.best[q] = sorted(merged)[: self.k]
+            if reach[q] < EXACT:
+                scores = values[near] @ self.values[q]  # all partial sums are integers below 2^53
+                if len(near) > self.k:
+                    least = np.partition(scores, -self.k)[-self.k]
+                    near, scores = near[scores >= least], scores[scores >= least]
+                found = list(zip((-scores).astype(np.int64).tolist(), ids[near].tolist()))
+            else:
+                found = list(zip((-s for s in _exact(values[near], self.values[q])), ids[near].tolist()))
+            self.best[q] = sorted(self.best[q] + found)[: self.k]
             if len(self.best[q]) == self.k:
-                self.bounds[q] = max(self.bounds[q], -self.best[q][-1][0])
+                self.bounds[q] = max(self.bounds[q], float(-self.best[q][-1][0]))
 
     def rows(self) -> pd.DataFrame:
-        found = [(q, i, int(-s)) for q, best in zip(self.ids.tolist(), self.best) for s, i in best]
+        found = [(q, i, -s) for q, best in zip(self.ids.tolist(), self.best) for s, i in best]
+        if any(abs(s) >= 2**63 for _, _, s in found):
+            raise OverflowError("a score is too large for 64 bits")
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
 
 
@@ -108,9 +121,9 @@ def exact_top_k(df: DataFrame, queries: Column, k: int, ident: str = "vec_id", v
     ``queries`` is a condition on ``vec_id``. Blocks of queries meet blocks of vectors in an
     equi-join, so the pairs are those of the stated query set against all rows.
     """
-    scaled = finite_vectors(df, ident, vector).withColumn(
-        "v", F.transform("v", lambda x: F.floor(x * 256).cast("double"))
-    )
+    large = F.raise_error(F.lit("a component is too large for an integer of 64 bits")).cast("double")
+    whole = lambda x: F.when(F.abs(x) < 2.0**55, F.floor(x * 256).cast("double")).otherwise(large)
+    scaled = finite_vectors(df, ident, vector).withColumn("v", F.transform("v", whole))
     whole = stored(scaled.select(F.lit(0).alias("part"), "vec_id", "v", norm_of("v").alias("norm")))
     turn = rotation(whole)
 
@@ -128,6 +141,7 @@ def exact_top_k(df: DataFrame, queries: Column, k: int, ident: str = "vec_id", v
                     scores = q @ top_values.T
                     scores[i[:, None] == top_ids[None]] = -np.inf
                     least = np.partition(scores, -k, axis=1)[:, -k]
+                    least -= SLACK * np.linalg.norm(q, axis=1) * np.linalg.norm(top_values, axis=1).max()
                 low.append(least.astype("<f8").tobytes())
             yield batch.assign(low=low)
 

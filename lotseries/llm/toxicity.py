@@ -208,7 +208,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> NoisyOr:
         docs.select("doc_id", "text")
         .join(F.broadcast(known), "doc_id")
         .where(F.length("text") > 0)
-        .dropDuplicates(["doc_id"])
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # of several texts of an id the smallest
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
