@@ -134,7 +134,7 @@ def valid_cycles(spark: SparkSession, sf: str) -> DataFrame:
 
 def repaired_cycles(spark: SparkSession, sf: str) -> DataFrame:
     """Spoil age, gap and validity, then repair them from the cycle ends."""
-    spoiled = _cycles(spark, sf).withColumns(
+    spoiled = _stored_cycles(spark, sf).withColumns(
         {"crop_age_days": F.lit(None).cast("int"), "data_gap": F.lit(True), "valid_cycle": F.lit(False)}
     )
     repaired = cycles.recompute_cycles(spoiled)

@@ -12,13 +12,10 @@ from lotseries.operators.raster import PIXEL_KEY
 from lotseries.schema import INDEX_COLUMNS, INDICES
 from lotseries.sources.stored import stored
 
+FINE_BANDS = ["nir", "red"]
 COARSE_BAND = "swir16"
 
 
-def _band(pixels: DataFrame, band: str) -> DataFrame:
-    return pixels.where(F.col("band") == band).select(*PIXEL_KEY, F.col("value").alias(band))
-
-
 def _grids(transforms: DataFrame, band: str, prefix: str = "") -> DataFrame:
     return transforms.where(F.col("band") == band).select(
         "scene_id", *[F.col(n).alias(f"{prefix}{n}") for n in TRANSFORM]
@@ -38,12 +35,22 @@ def _windows(polygons: DataFrame, grids: DataFrame | None = None) -> DataFrame:
     return catalog.total_bounds(polygons, ["scene_id"]).join(grids, "scene_id")
 
 
-def band_values(polygons: DataFrame, pixels: DataFrame, transforms: DataFrame) -> DataFrame:
-    """Index values of the pixels covered by polygons: fine bands looked up, the coarse resampled."""
+def band_values(
+    polygons: DataFrame, pixels: DataFrame, transforms: DataFrame, block: int | None = None
+) -> DataFrame:
+    """Index values of the pixels covered by polygons: fine bands looked up, the coarse resampled.
 
-    def window(band: str, margin: float) -> DataFrame:
-        bounds = _windows(polygons, None if band == "nir" else _grids(transforms, band))
-        return raster.clip_pixels(_band(pixels, band), bounds, margin)
+    The fine bands share a grid; one scan clips both and one shuffle brings them together.
+    """
+    rows = [*PIXEL_KEY, "band", "value"] + ([raster.BLOCK_KEY] if block is not None else [])
+    chosen = pixels.where(F.col("band").isin(*FINE_BANDS)).select(*rows)
+    fine = raster.clip_pixels(chosen, _windows(polygons), 0.5, block)
+    by_band = [F.max(F.when(F.col("band") == b, F.col("value"))).alias(b) for b in FINE_BANDS]
+    wide = fine.groupBy(*PIXEL_KEY).agg(*by_band)
+    # a coarse neighbour may lie up to one coarse pixel outside the window
+    bounds = _windows(polygons, _grids(transforms, COARSE_BAND))
+    coarse = raster.clip_pixels(pixels.where(F.col("band") == COARSE_BAND).select(*rows), bounds, 1.5, block)
+    coarse = coarse.select(*PIXEL_KEY, F.col("value").alias(COARSE_BAND))
 
     # both transforms travel with the polygons, not by a join of pixels on their scene
     names = [f"{p}{n}" for p in ("fine_", "coarse_") for n in TRANSFORM]
@@ -51,12 +58,7 @@ def band_values(polygons: DataFrame, pixels: DataFrame, transforms: DataFrame) -
         _grids(transforms, COARSE_BAND, "coarse_"), "scene_id"
     )
     covered = raster.polygon_mask(placed, names)
-    # a coarse neighbour may lie up to one coarse pixel outside the window
-    bands = (
-        raster.resample_bilinear(covered, window(COARSE_BAND, 1.5), COARSE_BAND)
-        .join(window("nir", 0.5), PIXEL_KEY, "left")
-        .join(window("red", 0.5), PIXEL_KEY, "left")
-    )
+    bands = raster.resample_bilinear(covered, coarse, COARSE_BAND).join(wide, PIXEL_KEY, "left")
     values = spectral_indices(F.col("nir"), F.col("red"), F.col(COARSE_BAND))
     return bands.select("polygon_id", *PIXEL_KEY, *[c.alias(n) for n, c in values.items()])
 
@@ -66,12 +68,14 @@ def extract_scene_indices(
     catalogue: DataFrame,
     pixels: DataFrame,
     transforms: DataFrame,
+    block: int | None = None,
 ) -> DataFrame:
     """Indices per lot and day from scene bands.
 
     ``lots``: ``obs_date, polygon_id, lot_id`` and ``ring`` or ``rings``, one set per day. Pixels and
     transforms hold the bands nir, red and swir16 of every scene. The choice of
-    scene per polygon is stored, since windows, masks and results all start from it.
+    scene per polygon is stored, since windows, masks and results all start from it. ``block``: the
+    pixels are a pixel store with blocks of this size.
     """
     scenes = choose_scenes(lots, catalogue).select(
         "obs_date", "tile_order", "scene_id", *catalog.BOX
@@ -82,7 +86,7 @@ def extract_scene_indices(
         catalog.assign_first_tile(pairs, lots, scenes.drop(*catalog.BOX), ["obs_date"])
         .join(_grids(transforms, "nir"), "scene_id")
     )
-    values = band_values(assigned, pixels, transforms)
+    values = band_values(assigned, pixels, transforms, block)
     stats = raster.summarize(values, assigned, INDICES).withColumn("image_id", F.col("scene_id"))
     pooled = raster.pool_stats(stats, ["lot_id", "obs_date"], order="tile_order")
     return _output(raster.finalize_stats(pooled))
