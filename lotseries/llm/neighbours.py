@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lotseries.sources.stored import stored
 
-from .vectors import best_of, blocks_of, finite_vectors, meet, norm_of, unpack
+from .vectors import best_of_lists, blocks_of, finite_vectors, meet, norm_of, unpack
 
 # Bound of the sample the index is fitted on.
 SAMPLE = 8_000
@@ -216,13 +216,13 @@ def nearest_neighbours(
     query_blocks = stored(blocks_of(asked, [], QUERY_BLOCK))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # The blocks of a share follow each other, so a query leaves a task with its k best there.
+        # The blocks of a share follow each other, so a query leaves a task as one row with its k best there.
         best: dict[int, list[tuple[float, int]]] = {}
         of = None
 
         def rows() -> pd.DataFrame:
-            found = [(q, i, -s) for q, kept in best.items() for s, i in kept]
-            return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+            found = [(q, [i for _, i in kept], [-s for s, _ in kept]) for q, kept in best.items()]
+            return pd.DataFrame(found, columns=["query_id", "ids", "scores"])
 
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -241,4 +241,4 @@ def nearest_neighbours(
             yield rows()
 
     pairs = meet(query_blocks, vector_blocks).select("part", "share", "q_block", "q_ids", "q_data", "ids", "data")
-    return best_of(pairs.mapInPandas(search, "query_id bigint, vec_id bigint, score double"), k)
+    return best_of_lists(pairs.mapInPandas(search, "query_id bigint, ids array<bigint>, scores array<double>"), k)

@@ -112,3 +112,15 @@ def best_of(found: DataFrame, k: int) -> DataFrame:
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def best_of_lists(found: DataFrame, k: int) -> DataFrame:
+    """``best_of`` for rows that hold a list of a query's best: ``query_id, ids, scores``."""
+    pairs = F.transform(
+        F.arrays_zip("scores", "ids"), lambda x: F.struct((-x["scores"]).alias("worse"), x["ids"].alias("vec_id"))
+    )
+    lists = found.select("query_id", pairs.alias("best")).groupBy("query_id")
+    merged = lists.agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("best"))
+    return merged.select("query_id", F.posexplode("best").alias("pos", "b")).select(
+        "query_id", (F.col("pos") + 1).alias("rank"), "b.vec_id", (-F.col("b.worse")).alias("score")
+    )
