@@ -14,6 +14,9 @@ from lotseries.plans.training import master_table
 PATCH = 8
 PATCHES_ACROSS = 25
 TILE_PATCHES = 5
+# Tiles whose scenes fail.
+NO_SWIR = 102
+FLAT_TRANSFORM = 201
 # Labels whose ready rasters fail.
 NO_PIXELS = 3
 BAD_WORLD_FILE = 5
@@ -249,7 +252,7 @@ def _tile(row: str, col: str) -> Column:
 
 
 def scene_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mosaic cut into tiles of 40 x 40 pixels; swir16 has half the resolution."""
+    """Mosaic cut into tiles of 40 x 40 pixels; swir16 has half the resolution and is missing in one tile."""
     side = PATCH * TILE_PATCHES
     tiled = patch_pixels(spark, sf_dir).select(
         F.concat(F.lit("S2A_"), _tile("row", "col").cast("string"), F.lit("_0")).alias("scene_id"),
@@ -262,7 +265,8 @@ def scene_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     def band(df: DataFrame, name: str, value: Column) -> DataFrame:
         return df.select("scene_id", F.lit(name).alias("band"), "row", "col", value.alias("value"))
 
-    coarse = tiled.where("row % 2 = 0 and col % 2 = 0").withColumns(
+    known = F.col("scene_id") != f"S2A_{NO_SWIR}_0"
+    coarse = tiled.where(known & (F.col("row") % 2 == 0) & (F.col("col") % 2 == 0)).withColumns(
         {"row": (F.col("row") / 2).cast("int"), "col": (F.col("col") / 2).cast("int")}
     )
     return (
@@ -308,7 +312,9 @@ def scene_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = F.concat(F.lit("S2A_"), F.col("tile").cast("string"), F.lit("_0")).alias("scene_id")
 
     def of(band: str, size: float) -> DataFrame:
-        return tiles.select(scene, F.lit(band).alias("band"), *grid(F.col("x"), F.col("y"), size))
+        placed = tiles.select("tile", scene, F.lit(band).alias("band"), *grid(F.col("x"), F.col("y"), size))
+        flat = (F.col("tile") == FLAT_TRANSFORM) & (F.col("band") == "red")
+        return placed.withColumn("e", F.when(flat, 0.0).otherwise(F.col("e"))).drop("tile")
 
     return of("nir", 1.0).unionByName(of("red", 1.0)).unionByName(of("swir16", 2.0))
 

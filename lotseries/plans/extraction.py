@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotseries.functions.geometry import TRANSFORM
+from lotseries.functions.geometry import TRANSFORM, usable_transform
 from lotseries.functions.indices import spectral_indices
 from lotseries.operators import catalog, manifest, raster
 from lotseries.operators.raster import PIXEL_KEY
@@ -63,6 +63,20 @@ def band_values(
     return bands.select("polygon_id", *PIXEL_KEY, *[c.alias(n) for n, c in values.items()])
 
 
+def readable_scenes(pixels: DataFrame, transforms: DataFrame) -> DataFrame:
+    """Scenes (``scene_id``) of which every band has pixels and a usable transform. Only names are looked at."""
+    yes, no = F.lit(True), F.lit(False)
+    grids = transforms.where(usable_transform({n: F.col(n) for n in TRANSFORM}))
+    marks = pixels.select("scene_id", "band", yes.alias("has_pixels"), no.alias("has_grid")).union(
+        grids.select("scene_id", "band", no.alias("has_pixels"), yes.alias("has_grid"))
+    )
+    bands = marks.where(F.col("band").isin(*FINE_BANDS, COARSE_BAND)).groupBy("scene_id", "band").agg(
+        (F.max("has_pixels") & F.max("has_grid")).alias("readable")
+    )
+    whole = bands.where("readable").groupBy("scene_id").agg(F.count("*").alias("bands"))
+    return whole.where(F.col("bands") == len(FINE_BANDS) + 1).select("scene_id")
+
+
 def extract_scene_indices(
     lots: DataFrame,
     catalogue: DataFrame,
@@ -73,14 +87,13 @@ def extract_scene_indices(
     """Indices per lot and day from scene bands.
 
     ``lots``: ``obs_date, polygon_id, lot_id`` and ``ring`` or ``rings``, one set per day. Pixels and
-    transforms hold the bands nir, red and swir16 of every scene. The choice of
+    transforms hold the bands nir, red and swir16 of every scene; a scene that lacks one is passed over, as if it
+    were not there, and its polygons go to the next tile. The choice of
     scene per polygon is stored, since windows, masks and results all start from it. ``block``: the
     pixels are a pixel store with blocks of this size.
     """
-    scenes = choose_scenes(lots, catalogue).select(
-        "obs_date", "tile_order", "scene_id", *catalog.BOX
-    )
-    scenes = stored(scenes)
+    chosen = choose_scenes(lots, catalogue).select("obs_date", "tile_order", "scene_id", *catalog.BOX)
+    scenes = stored(chosen.join(readable_scenes(pixels, transforms), "scene_id", "left_semi"))
     pairs = catalog.lots_touching_tiles(lots, scenes, ["obs_date"])
     assigned = stored(
         catalog.assign_first_tile(pairs, lots, scenes.drop(*catalog.BOX), ["obs_date"])

@@ -309,3 +309,25 @@ def test_dates_with_a_failed_input_are_left_out(spark):
         spark.createDataFrame(transforms, f"scene_id string, {TRANSFORM}, world_file string"),
     )
     assert sorted((r.obs_date, r.ndvi_mean) for r in out.collect()) == [("2024-01-01", 0.5), ("2024-01-06", 0.5)]
+
+
+def test_a_scene_that_cannot_be_read_is_passed_over(spark):
+    from lotseries.plans.extraction import extract_scene_indices, readable_scenes
+
+    day, box = date(2024, 1, 1), [(0.6, 0.6), (3.4, 0.6), (3.4, 3.4), (0.6, 3.4)]
+    lots = spark.createDataFrame([(day, 1, "lot", box)], f"obs_date date, polygon_id int, lot_id string, ring {RING}")
+    scenes = [f"S2A_T{k}_x" for k in range(4)]
+    catalogue = spark.createDataFrame(
+        [(s, p, "2024-01-01 10:00:00", 1.0, {"nir": "", "red": "", "swir16": ""}, 0.0, 0.0, 4.0, 4.0) for p, s in enumerate(scenes)],
+        "scene_id string, pos int, datetime string, cloud_cover double, assets map<string,string>, xmin double, ymin double, xmax double, ymax double",
+    ).withColumn("datetime", F.to_timestamp("datetime"))
+    bands = {"nir": (1.0, 6.0), "red": (1.0, 2.0), "swir16": (2.0, 3.0)}
+    pixels = [(s, b, r, c, v) for s in scenes for b, (size, v) in bands.items() for r in range(int(4 / size)) for c in range(int(4 / size))]
+    pixels = [p for p in pixels if p[:2] != (scenes[0], "swir16")]  # a band without pixels
+    grids = [(s, b, size, 0.0, 0.0, 0.0, 0.0 if (s, b) == (scenes[1], "red") else size, 0.0) for s in scenes for b, (size, _) in bands.items()]
+    grids = [t for t in grids if t[:2] != (scenes[2], "nir")]  # a band without a transform
+    px = spark.createDataFrame(pixels, "scene_id string, band string, row int, col int, value double")
+    tf = spark.createDataFrame(grids, f"scene_id string, band string, {TRANSFORM}")
+    assert [r.scene_id for r in readable_scenes(px, tf).collect()] == [scenes[3]]
+    (row,) = extract_scene_indices(lots, catalogue, px, tf).collect()
+    assert (row.image_id, row.ndvi_mean, row.msi11_mean) == (scenes[3], 0.5, 0.5)
