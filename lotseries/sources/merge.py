@@ -11,7 +11,7 @@ import json
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -67,23 +67,37 @@ def _replace(spark: SparkSession, path: str, partition_by: Sequence[str]) -> Non
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def _in_partitions(names: list[Row], partition_by: Sequence[str]) -> Column:
+    """A condition on partition columns alone, so that Spark lists and opens only these folders."""
+    first, rest = partition_by[0], partition_by[1:]
+    if not rest:
+        values = [row[first] for row in names if row[first] is not None]
+        known = F.col(first).isin(values) if values else F.lit(False)
+        return known | F.col(first).isNull() if len(values) < len(names) else known
+    below: dict = {}
+    for row in names:
+        below.setdefault(row[first], []).append(row)
+    parts = [F.col(first).eqNullSafe(F.lit(value)) & _in_partitions(rows, rest) for value, rows in below.items()]
+    return reduce(Column.__or__, parts)
+
+
 def _rewrite(
     spark: SparkSession, path: str, changed: DataFrame, make: Callable[[DataFrame], DataFrame], partition_by: Sequence[str]
 ) -> DataFrame:
     """Rewrite the partitions that ``changed`` rows lie in by ``make``; the partitions rewritten."""
-    affected = stored(changed.select(*_prefixed(partition_by, "_part_")).distinct())
-    found = affected.withColumnsRenamed({f"_part_{p}": p for p in partition_by})
-    if affected.isEmpty():
-        return found
+    affected = stored(changed.select(*partition_by).distinct())
+    names = affected.collect()  # folders of the table at most, which the driver lists anyway
+    if not names:
+        return affected
     table = spark.read.parquet(path)
-    made = make(table.join(affected, _same(partition_by, "_part_"), "left_semi")).select(*table.columns)
+    made = make(table.where(_in_partitions(names, partition_by))).select(*table.columns)
     staged = made.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     staged.parquet(_path(path, f"{STAGE}/data"))
     _mark_ready(spark, path, table.schema)
     _replace(spark, path, partition_by)
     files, stage = file_system(spark, _path(path, STAGE))
     files.delete(stage, True)
-    return found
+    return affected
 
 
 def merge_update(

@@ -113,3 +113,35 @@ def test_repair_run_twice_leaves_files_alone(spark, tmp_path):
     assert changed(spoiled, repaired) == changed(whole, repaired) == {"year=2021"}
     assert sorted(map(str, spark.read.parquet(path).collect())) == want
     assert repair_table(spark, path, ["year"]).count() == 0 and files(path) == repaired
+
+
+def test_only_affected_partitions_are_read(spark, table, monkeypatch, plan):
+    path, _ = table
+    texts = []
+    whole = merge._rewrite
+
+    def seen(spark, path, changed, make, partition_by):
+        def looked(rows):
+            texts.append(plan(rows))
+            return make(rows)
+
+        return whole(spark, path, changed, looked, partition_by)
+
+    monkeypatch.setattr(merge, "_rewrite", seen)
+    merge.merge_update(spark, path, updates(spark, [(1, 5, True)]), ["k"], ["v", "flag"], ["part"])
+    filters = texts[0].split("PartitionFilters: [")[-1].split("]")[0]
+    assert "part" in filters and "(b" in filters or "= b" in filters or "IN (b)" in filters, filters
+
+
+def test_tables_with_two_levels_of_folders(spark, tmp_path):
+    path = str(tmp_path / "two")
+    rows = [(i, "x", i, False, p, q) for i, (p, q) in enumerate((p, q) for p in (None, "a", "b") for q in (1, 2, None))]
+    schema = SCHEMA + ", sub int"
+    spark.createDataFrame(rows, schema).write.partitionBy("part", "sub").parquet(path)
+    before = files(path)
+    new = updates(spark, [(0, 70, True), (4, 74, True), (8, 78, True), (5, 5, False)])
+    found = merge.merge_update(spark, path, new, ["k"], ["v", "flag"], ["part", "sub"])
+    assert {(r.part, r["sub"]) for r in found.collect()} == {(None, 1), ("a", 2), ("b", None)}
+    got = {tuple(r) for r in spark.read.parquet(path).select("k", "other", "v", "flag", "part", "sub").collect()}
+    assert got == {(k, o, 70 + k, True, p, q) if k in (0, 4, 8) else (k, o, v, f, p, q) for k, o, v, f, p, q in rows}
+    assert len(before.keys() ^ files(path).keys()) == 6  # three files gone, three new
