@@ -29,14 +29,14 @@ def map_batches(
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in _runs(batch):
+            for run in runs(batch):
                 yield from function(run)
         pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     return df.mapInArrow(over, schema)
 
 
-def _runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     if not batch.num_rows:
         return
     parts = max(1, min(batch.num_rows, -(-batch.nbytes // RUN_CHARS)))

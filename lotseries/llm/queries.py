@@ -24,7 +24,7 @@ URL_RULES = [
 
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.find_repeats(table(spark, sf, "documents")).select(
-        "doc_id", "first_word", "end_word", "source_id", "source_first", "source_end"
+        "doc_id", "first_word", "end_word", "source_id", "source_first", "source_end", "links"
     )
 
 

@@ -151,3 +151,25 @@ def test_a_changed_word_does_not_hide_a_passage():
     b[60:65] = 900 + np.arange(5)
     assert substrings.repeats_between(a, b, [(3, 3)]) == [(0, 120, 0, 120)]
     assert substrings.repeats_between(a, np.r_[np.arange(500, 530), a[:40]].astype(np.uint32), [(5, 35)]) == []
+
+
+def test_a_passage_is_one_row_with_all_its_sources(spark):
+    shared = prose(70, 41)
+    rows = [(k, f"{prose(30, 50 + k)} {shared} {prose(20, 60 + k)}") for k in range(4)]
+    rows.append((9, " ".join(shared.split()[5:60]) + " " + prose(30, 70)))
+    found = substrings.find_repeats(documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in found) == [1, 2, 3, 9]
+    for r in found:
+        assert r.source_id < r.doc_id and r.first_word == (30 if r.doc_id < 9 else 0)
+        assert {x.source_id for x in r.links} >= {r.source_id}
+        assert all(r.first_word <= x.first_word and x.end_word <= r.end_word for x in r.links)
+    together = substrings.find_repeats(documents(spark, rows).coalesce(1)).collect()
+    assert {r.doc_id: {x.source_id for x in r.links} for r in together} == {1: {0}, 2: {0, 1}, 3: {0, 2}, 9: {0, 3}}
+
+
+def test_longest_passages():
+    p = lambda a, b, s: (a, b, s, b"w", 0, b - a)
+    found = substrings.longest_passages([p(5, 60, 2), p(0, 70, 3), p(0, 70, 1), p(20, 90, None), p(80, 90, 4), p(100, 150, 5)])
+    assert [(x[0], x[1], x[2], [y[2] for y in links]) for x, links in found] == [
+        (0, 70, 1, [1, 3, 2]), (20, 90, None, [None, 4]), (100, 150, 5, [5])
+    ]
