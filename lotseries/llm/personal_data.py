@@ -276,6 +276,15 @@ def right_spans(text: str) -> set[Span]:
     return right
 
 
+def unclear(text: str, span: Span) -> bool:
+    """Whether the rules accept a span by itself but not where it stands, as when a match swallows two numbers.
+
+    Neither right nor wrong can be told from it, so calibration leaves it out.
+    """
+    kind, a, b = span
+    return base_spans(text[a:b]) == [(kind, 0, b - a)]
+
+
 def score_bin(scores: np.ndarray) -> np.ndarray:
     """Number of the histogram bin of a raw score; a bin holds the scores from its lower end on."""
     return np.clip(np.floor(scores * BINS_A_UNIT), -BIN_END, BIN_END).astype(np.int64)
@@ -299,8 +308,8 @@ def thresholds(counts: dict[str, dict[int, tuple[int, int]]]) -> dict[str, float
 def train(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Selector:
     """Trees fitted on the documents of smallest id hash, about ``documents`` of them; thresholds from all others.
 
-    The spans of every document that was not fitted on are counted by kind, score and whether they are right, and
-    Spark adds the counts up, so thresholds rest on the whole table whatever its size.
+    The spans of every document that was not fitted on are counted by kind, score and whether they are right (``unclear``
+    ones are not), and Spark adds the counts up, so thresholds rest on the whole table whatever its size.
     """
     n = docs.count()
     share = min(1.0, documents / max(n, 1))
@@ -337,6 +346,8 @@ def train(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Selector:
         for text in texts_of(batch.column(0)):
             if spans := proposed(text):
                 good = right_spans(text)
+                spans = [s for s in spans if s in good or not unclear(text, s)]
+            if spans:
                 bins = score_bin(unset.scores(text, spans)).tolist()
                 counts.update((KINDS.index(s[0]), b, int(s in good)) for s, b in zip(spans, bins))
         rows = [(*key, n) for key, n in counts.items()]
