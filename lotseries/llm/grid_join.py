@@ -40,6 +40,8 @@ LEAD = 8
 BLOCK_ROWS = 4096
 BLOCK_BYTES = 4_000_000
 LEAF = 256
+# Rows that one task cuts into blocks, about.
+ROWS_A_TASK = 65_536
 # Intervals of one level that make one of the next, as a power of two.
 FAN_BITS = 4
 # Products this close to the threshold are taken again from the vectors as they are.
@@ -217,7 +219,9 @@ def _blocks(classes: DataFrame, turn: np.ndarray, reach: float) -> DataFrame:
             yield made(held)
 
     keyed = classes.mapInArrow(placed, f"v {vector}, copies bigint, least bigint, cell array<int>, lead array<double>")
-    ranged = keyed.repartitionByRange("cell", "lead").sortWithinPartitions("cell", "lead")
+    # Many small partitions would make as many small blocks, and a pair of blocks costs the same however small.
+    tasks = -(-classes.count() // ROWS_A_TASK)
+    ranged = keyed.repartitionByRange("cell", "lead").sortWithinPartitions("cell", "lead").coalesce(max(tasks, 1))
     return ranged.select("v", "copies", "least", "lead").mapInArrow(
         cut,
         "task int, place int, first bigint, copies binary, ids array<bigint>, data binary, "
