@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -22,6 +23,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def give_back() -> None:
+    """Return free memory to the system at the end of a task: Python workers outlive their tasks, and their heaps
+    would else stay as large as the largest task made them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -31,7 +41,7 @@ def map_batches(
         for batch in batches:
             for run in runs(batch):
                 yield from function(run)
-        pa.default_memory_pool().release_unused()  # workers outlive their tasks
+        give_back()
 
     return df.mapInArrow(over, schema)
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lotseries.sources.stored import release, stored
 
-from .common import map_batches, texts_of
+from .common import give_back, map_batches, texts_of
 from .shingles import components, mixed, shingle_hashes, word_hashes
 
 PERCENT = 80
@@ -109,6 +109,8 @@ def _survey(docs: DataFrame) -> DataFrame:
                 ],
                 names,
             )
+        del total
+        give_back()
 
     schema = f"kind int, doc_id {kind}, n bigint, node binary, bucket int, amount bigint"
     return docs.select("doc_id", "text").mapInArrow(over, schema)
@@ -362,6 +364,7 @@ def _candidates(entries: DataFrame, percent: int) -> DataFrame:
             held = [{c: v[tail:] for c, v in last.items()}]
         if held:
             yield from made(joined())
+        give_back()
 
     pairs = dealt.mapInArrow(over, "a bigint, b bigint, wanted int")
     return (

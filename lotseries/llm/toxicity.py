@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, texts_of
+from .common import give_back, map_batches, texts_of
 
 SAMPLE = 12_000
 FEATURES = 2_000
@@ -224,6 +224,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> NoisyOr:
         yield pa.RecordBatch.from_arrays(
             [pa.array(names), pa.array([model.intercept, *model.weights.values()], pa.float64())], ["f", "w"]
         )
+        del texts, toxic
+        give_back()
 
     fitted = rows.select("text", "toxic").mapInArrow(learn, "f string, w double").collect()  # FEATURES rows
     weights = {row.f: row.w for row in fitted}
