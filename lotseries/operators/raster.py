@@ -90,10 +90,11 @@ def _tasks(in_pixels: DataFrame) -> int:
 def zonal_stats(pixels: DataFrame, polygons: DataFrame, values: Sequence[str]) -> DataFrame:
     """Count, mean, max, min and population std of the valid pixels of every polygon.
 
-    Null and NaN pixels do not count. Polygons without pixels are kept with count 0.
+    Null and NaN pixels do not count. Polygons without pixels are kept with count 0. The mask must not be
+    broadcast: its size is taken from that of its spans, which unfold to many times as many pixels.
     """
     columns = pixels.select(*PIXEL_KEY, *values)
-    return summarize(polygon_mask(polygons).join(columns, PIXEL_KEY), polygons, values)
+    return summarize(polygon_mask(polygons).hint("merge").join(columns, PIXEL_KEY), polygons, values)
 
 
 def summarize(covered: DataFrame, polygons: DataFrame, values: Sequence[str]) -> DataFrame:
