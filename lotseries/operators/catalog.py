@@ -159,11 +159,16 @@ def lots_touching_tiles(
     what it holds: a cell with the middles of more than ``most`` boxes of a day becomes four, so no cell,
     however dense its area, is too much for one task, and boxes in sparse areas stay in one large cell. A pair that shares several cells is kept only in the first one of its common box, so no
     de-duplication is needed.
+
+    Only boxes travel to the cells. Polygons cut by a tile's edge look their rings up afterwards, each
+    different polygon being held once, however many days it has.
     """
     lot_box, tile_box = {n: F.col(f"lot_{n}") for n in BOX}, {n: F.col(n) for n in BOX}
     rings = polygon_of(lots.columns)
     bounds = {f"lot_{n}": c for n, c in polygon_bounds(rings).items()}
-    left = lots.select(*by, "polygon_id", rings.alias("rings"), *[c.alias(n) for n, c in bounds.items()])
+    shape = F.xxhash64(rings).alias("shape")
+    left = lots.select(*by, "polygon_id", shape, *[c.alias(n) for n, c in bounds.items()])
+    shapes = lots.select(F.col("polygon_id").alias("_polygon"), shape.alias("_shape"), rings.alias("rings")).distinct()
     ends = {"min": F.min, "max": F.max}
     whole = left.agg(*[ends[n[1:]](f"lot_{n}").alias(n) for n in BOX]).first().asDict()  # one row
     area = {n: 0.0 if v is None else float(v) for n, v in whole.items()}
@@ -172,8 +177,9 @@ def lots_touching_tiles(
     corners = ["x0", "y0", "x1", "y1"]
     cut = crowded_cells(left.select(*by, *corners).union(right.select(*by, *corners)), by, most)
 
-    spread_tiles = spread_over_cells(right, cut).withColumnsRenamed({n: f"tile_{n}" for n in corners})
-    pairs = spread_over_cells(left, cut).join(spread_tiles, [*by, "level", "cell_x", "cell_y"])
+    far = ["x1", "y1"]
+    spread_tiles = spread_over_cells(right, cut).drop(*far).withColumnsRenamed({n: f"tile_{n}" for n in corners})
+    pairs = spread_over_cells(left, cut).drop(*far).join(spread_tiles, [*by, "level", "cell_x", "cell_y"])
     first = [
         F.expr(f"shiftright(greatest({a}0, tile_{a}0), {CELL_DEPTH} - level)") == F.col(f"cell_{a}") for a in "xy"
     ]
@@ -181,9 +187,14 @@ def lots_touching_tiles(
         (lot_box["xmin"] >= tile_box["xmin"]) & (lot_box["xmax"] <= tile_box["xmax"])
         & (lot_box["ymin"] >= tile_box["ymin"]) & (lot_box["ymax"] <= tile_box["ymax"])
     )
+    near = pairs.where(boxes_overlap(lot_box, tile_box) & first[0] & first[1]).select(
+        *by, "polygon_id", "shape", "scene_id", "tile_order", within.alias("within"),
+        *[F.when(~within, c).alias(n) for n, c in tile_box.items()],
+    )
+    same = F.col("polygon_id").eqNullSafe(F.col("_polygon")) & (F.col("shape") == F.col("_shape"))
     return (
-        pairs.where(boxes_overlap(lot_box, tile_box) & first[0] & first[1])
-        .where(within | polygon_meets_box(F.col("rings"), tile_box))
+        near.join(shapes, same & ~F.col("within"), "left")
+        .where(F.col("within") | polygon_meets_box(F.col("rings"), tile_box))
         .select(*by, "polygon_id", "scene_id", "tile_order")
     )
 
