@@ -30,7 +30,7 @@ from .common import map_batches, texts_of
 LIMIT = 4096
 END_ID = 1
 # Words kept with their ids by a Python worker, beside those of one run of texts; about 150 bytes each.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 # Pieces of one length ranked together in one window group.
 RANK_GROUP = 5_000
 
