@@ -38,8 +38,8 @@ BLANK = "▁"
 # Units in the broadcast table; with units of at most LONGEST_SHIPPED characters its size is bounded.
 MAX_SHIPPED = 150_000
 LONGEST_SHIPPED = 32
-# Words a worker remembers.
-MOST_KEPT = 200_000
+# Words a worker remembers; an executor has up to two workers a core, and each remembers its own.
+MOST_KEPT = 50_000
 # Added to the least score for a character that is no piece.
 UNKNOWN_PENALTY = 10.0
 

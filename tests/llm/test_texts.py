@@ -251,6 +251,20 @@ def test_pieces_are_the_librarys_and_decode_to_the_text(spark, monkeypatch, ship
     assert pieces.encode(nothing(spark), PIECES).collect() == []
 
 
+def test_a_worker_remembers_little(monkeypatch):
+    import tracemalloc
+
+    vocabulary = pieces.Vocabulary(PIECES)
+    tracemalloc.start()
+    found = [len(vocabulary.split(f"\u2581w{i:x}q")) for i in range(210_000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25_000_000
+    monkeypatch.setattr(pieces, "MOST_KEPT", 0)
+    other = pieces.Vocabulary(PIECES)
+    assert found[::5000] == [len(other.split(f"\u2581w{i:x}q")) for i in range(0, 210_000, 5000)]
+
+
 def test_the_fold_is_viterbi(spark):
     class Words(pieces.Vocabulary):
         def __init__(self):
